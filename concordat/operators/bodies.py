@@ -1,0 +1,104 @@
+"""Licence-body selection as ordered text segments per component."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from concordat.functions import text as T
+from concordat.operators.matching import best_file, rule_hits
+
+# A body is one value of the inventory document; larger ones stay as segments.
+MAX_BODY_CHARS = 256_000_000
+
+
+def assign_files(all_ids: Column, hint_ord: Column, phrase_ord: Column) -> Column:
+    """array<struct(ord, spdx_id)>: best file per id in id order, each file used once."""
+    picks = F.filter(
+        F.transform(
+            all_ids,
+            lambda i: F.struct(best_file(hint_ord, phrase_ord, i).alias("ord"), i.alias("spdx_id")),
+        ),
+        lambda p: p["ord"].isNotNull(),
+    )
+    ords = F.transform(picks, lambda p: p["ord"])
+    return F.filter(picks, lambda p, i: F.array_position(ords, p["ord"]) == i + 1)
+
+
+def choose(components: DataFrame, files: DataFrame) -> DataFrame:
+    """Decision per component that has plausible files: tag and the files it leads with.
+
+    `components(component_id, kind, value, all_ids)`, `files(component_id, ord, rel_path, text)`.
+    """
+    hits = rule_hits(files, ["component_id"])
+    base = components.join(hits, "component_id")
+    assigned = assign_files(F.col("all_ids"), F.col("hint_ord"), F.col("phrase_ord"))
+    single = best_file(F.col("hint_ord"), F.col("phrase_ord"), F.col("value"))
+    dual = (F.col("kind") == "expression") & (F.size("all_ids") > 1)
+    lead = lambda o: F.array(F.struct(o.alias("ord"), F.lit("").alias("spdx_id")))
+    return (
+        base.withColumn("assigned", assigned)
+        .withColumn("single", single)
+        .withColumn(
+            "source_tag",
+            F.when(dual & ((F.size("assigned") > 0) | F.col("has_notice")), "concatenated-dual")
+            .when((F.col("kind") == "id") & F.col("single").isNotNull(), "matched")
+            .otherwise("longest-file"),
+        )
+        .withColumn(
+            "leads",
+            F.when(F.col("source_tag") == "concatenated-dual", F.col("assigned"))
+            .when(F.col("source_tag") == "matched", lead(F.col("single")))
+            .otherwise(lead(F.col("longest_ord"))),
+        )
+        .select("component_id", "source_tag", "leads")
+    )
+
+
+def is_notice() -> Column:
+    return F.contains(F.lower("rel_path"), F.lit("notice"))
+
+
+def segments(chosen: DataFrame, files: DataFrame) -> DataFrame:
+    """(component_id, seg, piece): lead files in order, then unused notice files."""
+    pos = F.array_position(F.transform("leads", lambda x: x["ord"]), F.col("ord"))
+    joined = files.join(chosen, "component_id").withColumn("pos", pos)
+    lead_id = F.get(F.col("leads"), F.col("pos").cast("int") - 1)["spdx_id"]
+    headed = F.concat(
+        F.lit("=== "), F.col("rel_path"), F.lit(" ("), lead_id, F.lit(") ===\n\n"), F.col("text")
+    )
+    noted = F.concat(F.lit("=== NOTICE ("), F.col("rel_path"), F.lit(") ===\n\n"), F.col("text"))
+    is_lead = F.col("pos") > 0
+    piece = (
+        F.when(is_lead & (F.col("source_tag") == "concatenated-dual"), headed)
+        .when(is_lead, F.col("text"))
+        .otherwise(noted)
+    )
+    return joined.where(is_lead | is_notice()).select(
+        "component_id",
+        F.when(is_lead, F.struct(F.lit(0).alias("part"), F.col("pos").alias("at")))
+        .otherwise(F.struct(F.lit(1).alias("part"), F.col("ord").alias("at"))).alias("seg"),
+        piece.alias("piece"),
+    )
+
+
+def assemble(segs: DataFrame, max_chars: int = MAX_BODY_CHARS) -> DataFrame:
+    """One body per component; null `body` marks one above the size limit (its segments stay)."""
+    sizes = segs.groupBy("component_id").agg(F.sum(F.length("piece") + 2).alias("n_chars"))
+    sized = segs.join(sizes, "component_id")
+    small = (
+        sized.where(F.col("n_chars") <= max_chars)
+        .groupBy("component_id")
+        .agg(F.array_sort(F.collect_list(F.struct("seg", "piece"))).alias("parts"))
+        .select("component_id", F.array_join(F.transform("parts", lambda p: p["piece"]), "\n\n").alias("body"))
+    )
+    return sizes.join(small, "component_id", "left")
+
+
+def plausible_files(files: DataFrame) -> DataFrame:
+    """Decode landed licence files and keep those that read like licence text."""
+    return (
+        files.withColumn("text", T.decode_utf8(F.col("content")))
+        .drop("content")
+        .where(T.is_plausible_licence(F.col("text")))
+    )

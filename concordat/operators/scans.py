@@ -1,0 +1,147 @@
+"""Aggregations over file-level licence scans."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from concordat.functions import paths, spdx
+from concordat.functions.text import or_default
+
+IS_FILE = F.col("type") == "file"
+
+
+def top_score(detections: Column) -> Column:
+    """Best match score over nested detections, 0 when there is none."""
+    matches = F.flatten(
+        F.transform(
+            F.filter(detections, lambda d: d["matches"].isNotNull()),
+            lambda d: d["matches"],
+        )
+    )
+    scores = F.transform(matches, lambda m: F.coalesce(m["score"], F.lit(0.0)))
+    return F.coalesce(F.array_max(scores), F.lit(0.0))
+
+
+def expression_groups(files: DataFrame) -> DataFrame:
+    """One row per (bucket, top, raw expression): counts and first / last-root ordinals.
+
+    The first, large shuffle already carries combined rows; the rest works on those.
+    """
+    raw = or_default(F.col("expr"), "")
+    root = IS_FILE & paths.is_root_licence(F.col("path"))
+    return (
+        files.where(F.coalesce(F.col("path"), F.lit("")) != "")
+        .withColumn("top", paths.top_dir(F.col("path")))
+        .withColumn("raw", F.when(IS_FILE, raw))
+        .groupBy("bucket", "top", "raw")
+        .agg(
+            F.count_if(IS_FILE).alias("n"),
+            F.min("ord").alias("first_ord"),
+            F.max(F.when(root, F.col("ord"))).alias("root_any"),
+        )
+        .withColumn("detected", F.when(F.col("raw") != "", spdx.filter_false_positives(F.col("raw"))))
+        .withColumn("root_ord", F.when(F.col("raw") != "", F.col("root_any")))
+    )
+
+
+def aggregate_dirs(files: DataFrame) -> DataFrame:
+    """Dominant licence and file counts per scanned top-level directory.
+
+    The last root licence file with a detection wins unless filtering empties it;
+    then the commonest filtered expression, ties to the one seen first.
+    """
+    by_expr = (
+        expression_groups(files)
+        .repartition("bucket", "top")
+        .groupBy("bucket", "top", "detected")
+        .agg(
+            F.sum("n").alias("n"),
+            F.min("first_ord").alias("first_ord"),
+            F.max("root_ord").alias("root_ord"),
+            F.max("root_any").alias("root_any"),
+        )
+    )
+    has = F.col("detected").isNotNull()
+    return (
+        by_expr.groupBy("bucket", "top")
+        .agg(
+            F.sum("n").alias("n_files"),
+            F.coalesce(F.sum(F.when(has, F.col("n"))), F.lit(0)).alias("n_with_license"),
+            F.max("root_any").isNotNull().alias("license_file_seen"),
+            F.max_by("detected", "root_ord").alias("license_file_detected"),
+            F.max_by("detected", F.when(has, F.struct("n", -F.col("first_ord")))).alias("_mode"),
+        )
+        .withColumn(
+            "dominant",
+            F.coalesce(F.nullif("license_file_detected", F.lit("")), "_mode", F.lit("")),
+        )
+        .drop("_mode")
+    )
+
+
+def expression_histogram(files: DataFrame, filtered: bool = True) -> DataFrame:
+    """Files per detected expression and directory, one row each."""
+    col = "detected" if filtered else "raw"
+    return (
+        expression_groups(files)
+        .where(F.col("raw") != "")
+        .groupBy("bucket", "top", F.col(col).alias("expr"))
+        .agg(F.sum("n").alias("n_files"))
+    )
+
+
+def histogram_map(histogram: DataFrame, keys: list[str]) -> DataFrame:
+    """Report form: expression -> count as one map per directory (a few entries each)."""
+    return histogram.groupBy(*keys).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("expr", "n_files")))).alias("expressions")
+    )
+
+
+def file_conflicts(files: DataFrame, declared: str = "declared") -> DataFrame:
+    """Files whose detection differs from the declared licence, where one is declared."""
+    return files.where(
+        IS_FILE
+        & (F.coalesce(F.col("expr"), F.lit("")) != "")
+        & (F.coalesce(F.col(declared), F.lit("")) != "")
+        & (spdx.normalise_loose(F.col("expr")) != spdx.normalise_loose(F.col(declared)))
+    )
+
+
+def scan_summary(files: DataFrame, keys: list[str], declared: str = "declared") -> DataFrame:
+    """Files, conflicts and files without a licence per package."""
+    has = F.coalesce(F.col("expr"), F.lit("")) != ""
+    conflict = (
+        has
+        & (F.coalesce(F.col(declared), F.lit("")) != "")
+        & (spdx.normalise_loose(F.col("expr")) != spdx.normalise_loose(F.col(declared)))
+    )
+    return files.where(IS_FILE).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_files"),
+        F.count_if(conflict).alias("n_conflicts"),
+        F.count_if(~has).alias("n_no_license"),
+    )
+
+
+def scan_totals(summary: DataFrame) -> DataFrame:
+    return summary.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n_files", "n_conflicts", "n_no_license")]
+    )
+
+
+def dirs_per_bucket(dirs: DataFrame) -> DataFrame:
+    """Top-level directories per bucket with a grand total."""
+    return dirs.rollup("bucket").agg(F.count(F.lit(1)).alias("n_dirs")).select(
+        F.coalesce("bucket", F.lit("Total")).alias("bucket"), "n_dirs"
+    )
+
+
+def native_inventory(files: DataFrame, suffix: str = ".pyd") -> DataFrame:
+    """Native files per package directory; files at the root count under '(loose)'."""
+    return (
+        files.where(IS_FILE & F.endswith(F.lower("path"), F.lit(suffix)))
+        .withColumn("top", F.when(F.contains("path", F.lit("/")), paths.top_dir(F.col("path")))
+                    .otherwise(F.lit("(loose)")))
+        .groupBy("bucket", "top")
+        .agg(F.count(F.lit(1)).alias("n_native"))
+    )

@@ -1,0 +1,109 @@
+"""Scan-versus-declaration report: which components' detected licence disagrees with the declared one."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from concordat import constants as C
+from concordat.functions import paths, spdx
+from concordat.functions.text import or_default, shorten
+from concordat.operators.counts import verdict_counts
+from concordat.operators.curation import with_curation
+from concordat.operators.ordering import sample_with_rest
+from concordat.operators.matching import match_dirs
+from concordat.operators.scans import aggregate_dirs
+
+
+def classify(files: DataFrame, components: DataFrame, curation: DataFrame) -> DataFrame:
+    """One row per scanned directory with `outcome`.
+
+    `files(bucket, ord, path, type, expr)`, `components(prefix, ord, name, version, declared)`,
+    `curation(key, rationale)`. Outcomes are disjoint and cover every directory:
+    UNACCOUNTED, CURATED, ACK, MISMATCH, NO-DETECTION.
+    """
+    matched = match_dirs(aggregate_dirs(files), components)
+    return label(with_curation(matched, curation))
+
+
+def label(matched: DataFrame) -> DataFrame:
+    pair = spdx.verdict(F.col("declared"), F.col("dominant"))
+    open_row = F.col("matched") & ~F.col("curated")
+    return matched.withColumn("_v", pair).select(
+        "bucket", "top", "name", "version", "declared", F.col("dominant").alias("detected"),
+        "n_files", "n_with_license", "license_file_seen", "rationale",
+        F.when(~F.col("matched"), "UNACCOUNTED").when(F.col("curated"), "CURATED")
+        .otherwise(F.col("_v.verdict")).alias("outcome"),
+        F.when(open_row, F.col("_v.detail")).alias("detail"),
+    )
+
+
+def summary(classified: DataFrame) -> DataFrame:
+    """Counts for the fixed verdict list plus CURATED and UNACCOUNTED."""
+    return verdict_counts(classified, (*C.SCAN_VERDICTS, "CURATED", "UNACCOUNTED"), "outcome")
+
+
+def gate(classified: DataFrame) -> DataFrame:
+    """One row: may the release go out (no MISMATCH)."""
+    return classified.agg(F.count_if(F.col("outcome") == "MISMATCH").alias("n_mismatch")).withColumn(
+        "passes", F.col("n_mismatch") == 0
+    )
+
+
+def _tick(s: str):
+    return F.concat(F.lit("`"), F.coalesce(F.col(s), F.lit("")), F.lit("`"))
+
+
+def mismatch_rows(classified: DataFrame) -> DataFrame:
+    """(bucket, name, line) of the mismatch table; sort by the first two when writing."""
+    seen = F.when(F.col("license_file_seen"), "✓").otherwise("—")
+    line = F.concat(
+        F.lit("| "), F.col("bucket"), F.lit(" | "), _tick("name"), F.lit(" | "), _tick("version"), F.lit(" | "),
+        _tick("declared"), F.lit(" | "), _tick("detected"), F.lit(" | "), seen, F.lit(" | "),
+        F.col("n_files").cast("string"), F.lit(" |"),
+    )
+    return classified.where(F.col("outcome") == "MISMATCH").select("bucket", "name", "top", line.alias("line"))
+
+
+def report(classified: DataFrame) -> DataFrame:
+    """(section, at, line): the report as sorted rows. Sections are small samples and tables."""
+    def section(n: int, lines: DataFrame, order: list[str]) -> DataFrame:
+        return lines.select(
+            F.lit(n).alias("section"), F.concat_ws("\x1f", *order).alias("at"), "line"
+        )
+
+    counts = summary(classified).select(
+        "verdict", F.concat(F.lit("- "), F.col("verdict"), F.lit(": "), F.col("n").cast("string")).alias("line")
+    )
+    curated = classified.where(F.col("outcome") == "CURATED").select(
+        "name", "top",
+        F.concat(F.lit("- "), _tick("name"), F.lit(" "), _tick("version"), F.lit(": declared "), _tick("declared"),
+                 F.lit(", detected "), _tick("detected"), F.lit("\n  - "),
+                 shorten(F.coalesce("rationale", F.lit("(no rationale recorded)")))).alias("line"),
+    )
+    silent = classified.where(F.col("outcome") == "NO-DETECTION")
+    silent_line = F.concat(
+        F.lit("- "), _tick("name"), F.lit(" "), _tick("version"), F.lit(" (declared "), _tick("declared"),
+        F.lit(", "), F.col("n_files").cast("string"), F.lit(" files, "), F.col("bucket"), F.lit(")"),
+    )
+    loose = classified.where((F.col("outcome") == "UNACCOUNTED") & ~paths.is_noise_dir(F.col("top")))
+    loose_line = F.concat(
+        F.lit("- "), _tick("top"), F.lit(" ("), F.col("bucket"), F.lit(", "), F.col("n_files").cast("string"),
+        F.lit(" files, detected `"), or_default(F.col("detected"), "none"), F.lit("`)"),
+    )
+    acks = classified.where(F.col("outcome") == "ACK")
+    ack_line = F.concat(F.lit("- "), _tick("name"), F.lit(" "), _tick("version"), F.lit(": declared "),
+                        _tick("declared"), F.lit(" ✓"))
+    order = ["bucket", "top"]
+    parts = [
+        section(1, counts, ["verdict"]),
+        section(2, curated, ["name", "top"]),
+        section(3, mismatch_rows(classified), ["bucket", "name", "top"]),
+        section(4, sample_with_rest(silent, order, silent_line, 30).withColumn("k", F.lit("")), ["k"]),
+        section(5, sample_with_rest(loose, order, loose_line, 30).withColumn("k", F.lit("")), ["k"]),
+        section(6, acks.orderBy(*order).limit(25).select(ack_line.alias("line"), F.lit("").alias("k")), ["k"]),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
