@@ -26,16 +26,18 @@ def licence_info(licenses: Column) -> Column:
         kind = F.when(lid.isNotNull(), "id").when(lname.isNotNull(), "name").when(expr.isNotNull(), "expression")
         return F.struct(kind.alias("kind"), F.coalesce(lid, lname, expr).alias("value"))
 
-    first = F.get(F.filter(F.transform(licenses, tag), lambda t: t["kind"].isNotNull()), F.lit(0))
-    value = F.coalesce(first["value"], F.lit(""))
-    kind = F.coalesce(first["kind"], F.lit("none"))
-    empty = F.array().cast("array<string>")
-    ids = (
-        F.when(kind == "id", F.array(value))
-        .when(kind == "expression", spdx.split_expression(value))
-        .otherwise(empty)
-    )
-    return F.struct(kind.alias("kind"), value.alias("value"), ids.alias("all_ids"))
+    def with_ids(first: Column) -> Column:
+        value = F.coalesce(first["value"], F.lit(""))
+        kind = F.coalesce(first["kind"], F.lit("none"))
+        ids = (
+            F.when(kind == "id", F.array(value))
+            .when(kind == "expression", spdx.split_expression(value))
+            .otherwise(F.array().cast("array<string>"))
+        )
+        return F.struct(kind.alias("kind"), value.alias("value"), ids.alias("all_ids"))
+
+    tagged = F.filter(F.transform(licenses, tag), lambda t: t["kind"].isNotNull())
+    return text.let(F.get(tagged, F.lit(0)), with_ids)
 
 
 def licence_labels(licenses: Column) -> Column:
@@ -53,8 +55,8 @@ def licence_labels(licenses: Column) -> Column:
 
 
 def joined_label(licenses: Column, sep: str) -> Column:
-    labels = licence_labels(licenses)
-    return F.when(F.size(labels) > 0, F.concat_ws(sep, labels)).otherwise(F.lit("(none)"))
+    joined = F.array_join(licence_labels(licenses), sep)
+    return text.or_default(joined, "(none)")
 
 
 def audit_label(licenses: Column) -> Column:

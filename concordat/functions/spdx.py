@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from concordat import constants as C
-from concordat.functions.text import quoted, strip
+from concordat.functions.text import let, quoted, strip
 
 _MARK = "\x01"
 
@@ -29,8 +29,9 @@ def normalise_loose(expr: Column) -> Column:
 
 def normalise_spdx(expr: Column) -> Column:
     """Loose form with deprecated bare GNU ids mapped to their `-only` names."""
-    base = normalise_loose(expr)
-    return F.coalesce(F.element_at(literal_map(C.SPDX_SYNONYMS), base), base)
+    return let(
+        normalise_loose(expr), lambda b: F.coalesce(F.element_at(literal_map(C.SPDX_SYNONYMS), b), b)
+    )
 
 
 def normalise_family(expr: Column) -> Column:
@@ -43,9 +44,14 @@ def normalise_family(expr: Column) -> Column:
 
 def collapse_repeats(expr: Column) -> Column:
     """`X AND X` becomes `X` when all conjuncts agree ignoring case."""
-    parts = F.transform(F.split(expr, " AND "), strip)
-    same = F.size(F.array_distinct(F.transform(parts, F.lower))) == 1
-    return F.when((F.size(parts) > 1) & same, F.get(parts, F.lit(0))).otherwise(expr)
+
+    def settle(e: Column) -> Column:
+        parts = F.split(e, " AND ")
+        folded = F.array_distinct(F.transform(parts, lambda p: F.lower(strip(p))))
+        repeats = F.contains(e, F.lit(" AND ")) & (F.size(folded) == 1)
+        return F.when(repeats, strip(F.get(parts, F.lit(0)))).otherwise(e)
+
+    return let(expr, settle)
 
 
 def drop_commercial_alternative(expr: Column) -> Column:
@@ -69,39 +75,48 @@ def drop_internal_refs(expr: Column) -> Column:
 
 
 def filter_false_positives(expr: Column) -> Column:
-    cleaned = collapse_repeats(drop_internal_refs(drop_commercial_alternative(expr)))
-    out = cleaned
-    for raw, settled in C.APPENDIX_REWRITES:
-        out = F.when(cleaned == raw, F.lit(settled)).otherwise(out)
-    return out
+    def rewrite(cleaned: Column) -> Column:
+        out = cleaned
+        for raw, settled in C.APPENDIX_REWRITES:
+            out = F.when(cleaned == raw, F.lit(settled)).otherwise(out)
+        return out
+
+    without_alternative = let(expr, drop_commercial_alternative)
+    without_refs = let(without_alternative, drop_internal_refs)
+    return let(collapse_repeats(without_refs), rewrite)
 
 
 def verdict(declared: Column, detected: Column) -> Column:
     """struct(verdict, detail) for one declared / detected pair."""
-    want = normalise_spdx(detected)
-
-    def agrees(sep: str) -> Column:
-        terms = F.split(declared, sep)
-        hit = F.exists(terms, lambda t: normalise_spdx(F.trim(strip(t), F.lit("()"))) == want)
-        return F.contains(declared, F.lit(sep)) & hit
-
-    rows = [
-        (F.coalesce(detected, F.lit("")) == "", "NO-DETECTION", F.lit("no detectable license in source")),
-        (normalise_spdx(declared) == want, "ACK",
-         F.concat(F.lit("declared="), quoted(declared), F.lit(" matches detected="), quoted(detected))),
-        (agrees(" OR "), "ACK",
-         F.concat(F.lit("detected "), quoted(detected),
-                  F.lit(" is one of the declared alternatives in "), quoted(declared))),
-        (agrees(" AND "), "ACK",
-         F.concat(F.lit("detected "), quoted(detected),
-                  F.lit(" is one component of declared composite "), quoted(declared))),
-    ]
-    mismatch = F.concat(F.lit("declared="), quoted(declared), F.lit(" vs detected="), quoted(detected))
-    label, detail = F.lit("MISMATCH"), mismatch
-    for test, name, text in reversed(rows):
-        label = F.when(test, F.lit(name)).otherwise(label)
-        detail = F.when(test, text).otherwise(detail)
-    return F.struct(label.alias("verdict"), detail.alias("detail"))
+
+    def ladder(v: Column) -> Column:
+        dec, det, want = v["declared"], v["detected"], v["want"]
+
+        def agrees(sep: str) -> Column:
+            hit = F.exists(F.split(dec, sep), lambda t: normalise_spdx(F.trim(strip(t), F.lit("()"))) == want)
+            return F.contains(dec, F.lit(sep)) & hit
+
+        def said(name: str, *detail: Column) -> Column:
+            return F.struct(F.lit(name).alias("verdict"), F.concat(*detail).alias("detail"))
+
+        return (
+            F.when(F.coalesce(det, F.lit("")) == "",
+                   said("NO-DETECTION", F.lit("no detectable license in source")))
+            .when(normalise_spdx(dec) == want,
+                  said("ACK", F.lit("declared="), quoted(dec), F.lit(" matches detected="), quoted(det)))
+            .when(agrees(" OR "),
+                  said("ACK", F.lit("detected "), quoted(det),
+                       F.lit(" is one of the declared alternatives in "), quoted(dec)))
+            .when(agrees(" AND "),
+                  said("ACK", F.lit("detected "), quoted(det),
+                       F.lit(" is one component of declared composite "), quoted(dec)))
+            .otherwise(said("MISMATCH", F.lit("declared="), quoted(dec), F.lit(" vs detected="), quoted(det)))
+        )
+
+    pair = F.struct(
+        declared.alias("declared"), detected.alias("detected"), normalise_spdx(detected).alias("want")
+    )
+    return let(pair, ladder)
 
 
 def hub_licence(spdx_id: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -15,8 +15,17 @@ from concordat import constants as C
 LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85\u2028\u2029]"
 
 
-def strip(col: Column, chars: str = C.UNICODE_SPACE) -> Column:
-    return F.trim(col, F.lit(chars))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate `value` once per row and use it many times in `body`.
+
+    Higher-order functions are not deduplicated by code generation, so a value repeated in
+    nested conditions would be recomputed for each mention.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def strip(col: Column) -> Column:
+    return F.trim(col, F.lit(C.UNICODE_SPACE))
 
 
 def or_default(col: Column, default: str) -> Column:

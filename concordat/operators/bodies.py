@@ -60,7 +60,7 @@ def is_notice() -> Column:
 
 
 def segments(chosen: DataFrame, files: DataFrame) -> DataFrame:
-    """(component_id, seg, piece): lead files in order, then unused notice files."""
+    """(component_id, source_tag, seg, piece): lead files in order, then unused notice files."""
     pos = F.array_position(F.transform("leads", lambda x: x["ord"]), F.col("ord"))
     joined = files.join(chosen, "component_id").withColumn("pos", pos)
     lead_id = F.get(F.col("leads"), F.col("pos").cast("int") - 1)["spdx_id"]
@@ -75,8 +75,8 @@ def segments(chosen: DataFrame, files: DataFrame) -> DataFrame:
         .otherwise(noted)
     )
     return joined.where(is_lead | is_notice()).select(
-        "component_id",
-        F.when(is_lead, F.struct(F.lit(0).alias("part"), F.col("pos").alias("at")))
+        "component_id", "source_tag",
+        F.when(is_lead, F.struct(F.lit(0).alias("part"), F.col("pos").cast("bigint").alias("at")))
         .otherwise(F.struct(F.lit(1).alias("part"), F.col("ord").alias("at"))).alias("seg"),
         piece.alias("piece"),
     )
@@ -84,8 +84,8 @@ def segments(chosen: DataFrame, files: DataFrame) -> DataFrame:
 
 def assemble(segs: DataFrame, max_chars: int = MAX_BODY_CHARS) -> DataFrame:
     """One body per component; null `body` marks one above the size limit (its segments stay)."""
-    sizes = segs.groupBy("component_id").agg(F.sum(F.length("piece") + 2).alias("n_chars"))
-    sized = segs.join(sizes, "component_id")
+    sizes = segs.groupBy("component_id", "source_tag").agg(F.sum(F.length("piece") + 2).alias("n_chars"))
+    sized = segs.drop("source_tag").join(sizes.drop("source_tag"), "component_id")
     small = (
         sized.where(F.col("n_chars") <= max_chars)
         .groupBy("component_id")

@@ -37,6 +37,16 @@ def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, ra
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= n)
 
 
+def _ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Rows cut into even ranges of `order`, numbered by `_range`.
+
+    The range edges are sampled, so the layout is pinned before anything reads it twice.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+
+
 def previous_row(
     df: DataFrame,
     keys: Sequence[str],
@@ -56,9 +66,7 @@ def previous_row(
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(v).over(w).alias(f"prev_{v}") for v in values])
 
-    ensure_checkpoint_dir(df.sparkSession)
-    # The range edges are sampled, so the layout is pinned before it is read twice.
-    ranged = df.repartitionByRange(*keys, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    ranged = _ranges(df, [*keys, *order])
     w = Window.partitionBy("_range", *keys).orderBy(*order)
     local = ranged.select(
         "*",
@@ -94,3 +102,21 @@ def sample_with_rest(df: DataFrame, order: Sequence[str], line: Column, n: int)
         .select(F.format_string("... and %d more", "more").alias("line"))
     )
     return shown.unionByName(rest)
+
+
+def global_rank(df: DataFrame, order: Sequence[str], rank: str) -> DataFrame:
+    """1-based place of every row in `order` (a total order), ranked range by range.
+
+    Rows are cut into ranges; a range adds the row counts of the ranges before it, which
+    are one number per range.
+    """
+    ranged = _ranges(df, order)
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    local = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return (
+        ranged.withColumn("_local", local)
+        .join(F.broadcast(offsets), "_range")
+        .select(*df.columns, (F.col("_offset") + F.col("_local")).alias(rank))
+    )

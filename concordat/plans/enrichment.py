@@ -39,59 +39,60 @@ def plan_sources(flat: DataFrame, tools: DataFrame) -> DataFrame:
     ).withColumn("component_id", F.struct("sbom_id", "ord"))
 
 
-def wanted_archives(planned: DataFrame, landed: DataFrame) -> DataFrame:
-    """(component_id, key, prefix, format, wanted, url): the archive each component needs.
+def wanted_archives(planned: DataFrame, registry: DataFrame) -> DataFrame:
+    """(component_id, kind, url, prefix, format, wanted, key): the archive each component needs.
 
-    Registry metadata is itself a landed file, read by key to learn the archive's URL.
+    Registry metadata is itself a landed record, read by key to learn the archive's URL.
     """
     p = F.col("plan")
-    meta_key = T.content_key(p["metadata_url"])
-    meta = landed.select(F.col("key").alias("meta_key"), T.decode_utf8(F.col("content")).alias("meta"))
     rows = planned.where(p["kind"].isin(*ARCHIVE_KINDS)).select(
-        "component_id", "plan", "tool", F.when(p["metadata_url"].isNotNull(), meta_key).alias("meta_key")
+        "component_id", "plan", "tool",
+        F.when(p["metadata_url"].isNotNull(), T.content_key(p["metadata_url"])).alias("meta_key"),
     )
-    known = rows.join(meta, "meta_key", "left")
+    known = rows.join(registry.withColumnRenamed("key", "meta_key"), "meta_key", "left")
     url = (
         F.when(p["kind"] == "npm-via-metadata", archives.npm_archive_url(F.col("meta")))
         .when(p["kind"] == "pypi-via-metadata", archives.pypi_archive_url(F.col("meta")))
         .otherwise(p["url"])
     )
+    none = F.array().cast("array<string>")
     listed = F.concat(
-        F.coalesce(F.col("tool.license_files_in_tarball"), F.array().cast("array<string>")),
-        F.coalesce(F.col("tool.notice_files_in_tarball"), F.array().cast("array<string>")),
+        F.coalesce(F.col("tool.license_files_in_tarball"), none),
+        F.coalesce(F.col("tool.notice_files_in_tarball"), none),
     )
     return known.select(
-        "component_id", p["kind"].alias("kind"), url.alias("url"),
-        F.coalesce(p["path_prefix"], F.lit("")).alias("prefix"),
-        archives.archive_format(url).alias("format"),
+        "component_id", p["kind"].alias("kind"), "meta_key", F.col("meta").isNotNull().alias("has_meta"),
+        url.alias("url"), F.coalesce(p["path_prefix"], F.lit("")).alias("prefix"),
         F.when(p["kind"] == "system-curated", listed).alias("wanted"),
-    ).withColumn("key", F.when(F.col("url").isNotNull(), T.content_key(F.col("url"))))
+    ).select(
+        "*", archives.archive_format(F.col("url")).alias("format"),
+        F.when(F.col("url").isNotNull(), T.content_key(F.col("url"))).alias("key"),
+    )
+
 
+def wanted_probes(planned: DataFrame) -> DataFrame:
+    """(component_id, is_rescue, ord, rel_path, key): single files tried under a base URL.
 
-def homepage_rescue(planned: DataFrame, failed: DataFrame) -> DataFrame:
-    """(component_id, base_url): Python packages whose archive failed but whose homepage is on GitHub."""
+    A Python package with a GitHub homepage also lists that repository's files; they count
+    only when its archive cannot be had.
+    """
     p = F.col("plan")
     owner, repo, ref = urls.git_parts(p["homepage_fallback"])
-    return (
-        planned.where(F.startswith(p["homepage_fallback"], F.lit("https://github.com/")) & owner.isNotNull())
-        .join(failed.select("component_id"), "component_id", "left_semi")
-        .select(
-            "component_id",
-            F.concat(F.lit("https://raw.githubusercontent.com/"), owner, F.lit("/"), repo, F.lit("/"),
-                     F.coalesce(ref, F.lit("main"))).alias("base_url"),
-        )
+    rescue = F.when(
+        F.startswith(p["homepage_fallback"], F.lit("https://github.com/")) & owner.isNotNull(),
+        F.concat(F.lit("https://raw.githubusercontent.com/"), owner, F.lit("/"), repo, F.lit("/"),
+                 F.coalesce(ref, F.lit("main"))),
     )
-
-
-def wanted_probes(planned: DataFrame, rescued: DataFrame) -> DataFrame:
-    """(component_id, key, ord, rel_path): single files tried under a base URL."""
-    p = F.col("plan")
-    based = planned.where(p["kind"].isin(*PROBE_KINDS)).select("component_id", p["base_url"].alias("base_url"))
-    return based.unionByName(rescued).select(
-        "component_id", F.posexplode(P.probe_urls(F.col("base_url"))).alias("ord", "url")
+    based = planned.select(
+        "component_id", p["kind"].isin(*PROBE_KINDS).alias("is_probe"),
+        F.coalesce(p["base_url"], rescue).alias("base_url"),
+    ).where(F.col("base_url").isNotNull())
+    return based.select(
+        "component_id", (~F.col("is_probe")).alias("is_rescue"),
+        F.posexplode(P.probe_urls(F.col("base_url"))).alias("ord", "url"),
     ).select(
-        "component_id", T.content_key(F.col("url")).alias("key"),
-        F.col("ord").cast("bigint").alias("ord"), F.substring_index("url", "/", -1).alias("rel_path"),
+        "component_id", "is_rescue", F.col("ord").cast("bigint").alias("ord"),
+        F.substring_index("url", "/", -1).alias("rel_path"), T.content_key(F.col("url")).alias("key"),
     )
 
 
@@ -134,206 +135,200 @@ def enrich(
     curation: DataFrame,
     landed: DataFrame,
     spdx_texts: DataFrame,
+    registry: DataFrame | None = None,
     fetch_errors: DataFrame | None = None,
     profile: Profile = DEFAULT_PROFILE,
 ) -> Enriched:
     """Run the whole enrichment over flattened components.
 
-    `landed(key, content)`: downloads keyed by the SHA-256 of their URL; `spdx_texts(id, text)`;
+    `landed(key, content)`: archives and single files keyed by the SHA-256 of their URL;
+    `registry(key, meta)`: package-registry records, same keys, JSON text; `spdx_texts(id, text)`;
     `fetch_errors(key, code, reason)`: downloads that failed (code null when not an HTTP status).
+
+    Rows that several branches read are pinned by checkpoints: the planned components, the
+    extracted files, the decoded licence files and the body segments.
     """
     spark = flat.sparkSession
+    ensure_checkpoint_dir(spark)
+    if registry is None:
+        registry = spark.createDataFrame([], "key string, meta string")
     if fetch_errors is None:
         fetch_errors = spark.createDataFrame([], "key string, code int, reason string")
-    planned = plan_sources(flat, tools)
-    proprietary = P.is_proprietary(F.col("info"))
-    open_plan = planned.where(~proprietary)
-
-    # --- acquire: one extraction per distinct archive, then back to its components
-    arch = wanted_archives(open_plan, landed)
-    jobs = arch.where(F.col("key").isNotNull()).groupBy("key", "prefix", "format").agg(
-        F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted")
-    )
-    # Several branches read the extracted rows: walk each archive once and pin the rows.
-    ensure_checkpoint_dir(spark)
-    extracted = archives.extract(jobs.join(landed, "key"), profile).checkpoint()
+    planned = plan_sources(flat, tools).checkpoint()
+    open_plan = planned.where(~P.is_proprietary(F.col("info")))
+
+    # --- acquire: each distinct download is opened once, then shared by its components
+    arch = wanted_archives(open_plan, registry)
+    probes = wanted_probes(open_plan)
+    none = F.array().cast("array<string>")
+    opened = arch.where(F.col("key").isNotNull()).select("key", "prefix", "format", "wanted").unionByName(
+        probes.select("key", F.lit("").alias("prefix"), F.lit("single").alias("format"), none.alias("wanted"))
+    ).groupBy("key", "prefix", "format").agg(F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted"))
+    extracted = archives.extract(opened.join(landed, "key"), profile).checkpoint()
+
+    failed_all = _failures(arch, extracted, landed, fetch_errors).checkpoint()
+    rescued = probes.where("is_rescue").select("component_id").distinct()
+    failed = failed_all.join(rescued, "component_id", "left_anti")
+    usable_probes = probes.join(
+        failed_all.select("component_id", F.lit(True).alias("no_archive")), "component_id", "left"
+    ).where(~F.col("is_rescue") | F.col("no_archive"))
+
     per_component = arch.select("component_id", F.col("kind").alias("plan_kind"), "key", "prefix").join(
-        extracted, ["key", "prefix"]
-    )
-    all_failed = _failures(open_plan, arch, landed, extracted, fetch_errors)
-    rescued = homepage_rescue(open_plan, all_failed)
-    failed = all_failed.join(rescued.select("component_id"), "component_id", "left_anti")
-    probes = wanted_probes(open_plan, rescued).join(landed, "key").where(
-        T.is_probe_content(F.col("content"))
+        extracted.where(F.col("kind") != "single"), ["key", "prefix"]
     )
-    archive_files = per_component.where(
-        (F.col("kind") == "license") & (F.col("plan_kind") != "system-curated")
-    ).select("component_id", "ord", "rel_path", "content")
-    files = bodies.plausible_files(
-        archive_files.unionByName(probes.select("component_id", "ord", "rel_path", "content"))
-    ).unionByName(
-        curated_bodies(open_plan, per_component).where(T.is_plausible_licence(F.col("text")))
-    ).checkpoint()
-    has_raw = (
-        archive_files.select("component_id")
-        .unionByName(probes.select("component_id"))
-        .unionByName(curated_bodies(open_plan, per_component).select("component_id"))
-        .distinct()
-        .withColumn("has_files", F.lit(True))
+    singles = usable_probes.join(
+        extracted.where(F.col("kind") == "single").select("key", "content"), "key"
+    ).where(T.is_probe_content(F.col("content")))
+    from_archives = per_component.where((F.col("kind") == "license") & (F.col("plan_kind") != "system-curated"))
+    columns = ("component_id", "ord", "rel_path", "text")
+    all_files = (
+        from_archives.withColumn("text", T.decode_utf8(F.col("content"))).select(*columns)
+        .unionByName(singles.withColumn("text", T.decode_utf8(F.col("content"))).select(*columns))
+        .unionByName(curated_bodies(open_plan, per_component))
+        .withColumn("plausible", T.is_plausible_licence(F.col("text")))
+        .checkpoint()
     )
+    files = all_files.where("plausible").drop("plausible")
 
-    # --- choose the body
+    # --- choose the body; where nothing usable was found, the canonical text stands in
     known = open_plan.select("component_id", "info.kind", "info.value", "info.all_ids")
     chosen = bodies.choose(known, files)
-    segs = bodies.segments(chosen, files).withColumn(
-        "piece", T.redact_paths(F.col("piece"), profile.extra_path_patterns)
-    ).checkpoint()
+    canon = canonical_fallback(
+        known.where(F.col("kind").isin("id", "expression"))
+        .join(files.select("component_id").distinct(), "component_id", "left_anti")
+        .select("component_id", "all_ids"),
+        spdx_texts,
+    ).select("component_id", F.col("text").alias("canonical"))
+    no_source = (
+        open_plan.where(F.col("plan.kind") == "none").select("component_id")
+        .unionByName(failed.select("component_id"))
+    )
+    # Inside body selection the canonical text takes part in the later steps; as a stand-in
+    # for a missing source it is embedded as it is.
+    canon_segs = canon.join(no_source, "component_id", "left_anti").select(
+        "component_id", F.struct(F.lit(0).alias("part"), F.lit(1).cast("bigint").alias("at")).alias("seg"),
+        F.col("canonical").alias("piece"), F.lit("spdx-canonical-fallback").alias("source_tag"),
+    )
+    segs = (
+        bodies.segments(chosen, files).unionByName(canon_segs)
+        .withColumn("piece", T.redact_paths(F.col("piece"), profile.extra_path_patterns))
+        .checkpoint()
+    )
     made = bodies.assemble(segs)
 
     # --- derive
-    headers = per_component.where(
-        (F.col("kind") == "header") & (F.col("plan_kind") == "tarball")
-    ).select("component_id", F.col("ord"), archives.header_text(F.col("content"), profile.header_max_lines).alias("text"))
+    has_body = segs.select("component_id").distinct()
+    headers = (
+        per_component.where((F.col("kind") == "header") & (F.col("plan_kind") == "tarball"))
+        .join(has_body, "component_id", "left_semi")
+        .select("component_id", (F.col("ord") + F.lit(1 << 50)).alias("blob_ord"),
+                archives.header_text(F.col("content"), profile.header_max_lines).alias("text"))
+    )
     blobs = segs.select(
         "component_id", (F.col("seg.part").cast("bigint") * F.lit(1 << 40) + F.col("seg.at")).alias("blob_ord"),
         F.col("piece").alias("text"),
-    ).unionByName(
-        headers.join(made.select("component_id"), "component_id", "left_semi")
-        .select("component_id", (F.col("ord") + F.lit(1 << 50)).alias("blob_ord"), "text")
+    ).unionByName(headers)
+    seeds = open_plan.where(F.col("plan.kind") == "system-curated").join(has_body, "component_id", "left_semi").select(
+        "component_id", F.posexplode("tool.copyright_seed").alias("seed_ord", "line"))
+    harvested = copyrights.harvest(blobs, seeds, profile.extra_path_patterns).checkpoint()
+
+    facts = (
+        made.join(copyrights.joined(harvested).select("component_id", "copyright"), "component_id", "left")
+        .select("component_id", "source_tag", "body", "copyright")
     )
-    seeds = open_plan.where(F.col("tool").isNotNull() & (F.col("plan.kind") == "system-curated")).select(
-        "component_id", F.posexplode("tool.copyright_seed").alias("seed_ord", "line")
-    ).join(made.select("component_id"), "component_id", "left_semi")
-    harvested = copyrights.harvest(blobs, seeds, profile.extra_path_patterns)
-    joined = copyrights.joined(harvested).select("component_id", "copyright")
-
-    # --- fall back to canonical text where nothing usable was found
-    wants_canonical = open_plan.where(F.col("info.kind").isin("id", "expression")).join(
-        chosen.select("component_id"), "component_id", "left_anti"
-    )
-    canon = canonical_fallback(
-        wants_canonical.select("component_id", F.col("info.all_ids").alias("all_ids")), spdx_texts
-    ).select("component_id", F.col("text").alias("canonical"))
-
     rows = (
-        planned.join(chosen.select("component_id", "source_tag"), "component_id", "left")
-        .join(made, "component_id", "left")
-        .join(joined, "component_id", "left")
-        .join(canon, "component_id", "left")
-        .join(has_raw, "component_id", "left")
+        planned.join(facts, "component_id", "left")
+        .join(canon.join(no_source, "component_id", "left_semi"), "component_id", "left")
+        .join(all_files.select("component_id", F.lit(True).alias("has_files")).distinct(), "component_id", "left")
         .join(failed, "component_id", "left")
     )
-    rows = with_curation(rows, curation.select("key", "rationale"))
-    return _finish(rows, segs, harvested, profile)
+    done = _conclude(with_curation(rows, curation.select("key", "rationale")), profile).checkpoint()
+    results = done.select(
+        "sbom_id", "ord",
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "version", "purl", "category")],
+        "status", "reason", "drift", "source_tag",
+    )
+    by_id = lambda df: df.select("component_id.*", *[c for c in df.columns if c != "component_id"])
+    return Enriched(done.select("sbom_id", "ord", "component"), results, by_id(segs), by_id(harvested))
 
 
-def _failures(planned, arch, landed, extracted, fetch_errors) -> DataFrame:
+def _failures(arch: DataFrame, extracted: DataFrame, landed: DataFrame, fetch_errors: DataFrame) -> DataFrame:
     """(component_id, fail_status, fail_reason) of archive plans that could not be read."""
-    errors = extracted.where(F.col("kind") == "archive-error").select(
-        "key", "prefix", F.col("message").alias("bad_archive")
-    )
+    broken = extracted.where(F.col("kind") == "archive-error").select(
+        "key", "prefix", F.col("message").alias("broken"))
     there = landed.select("key", F.lit(True).alias("is_landed"))
-    needed = planned.select("component_id", "plan").join(
-        arch.select("component_id", "key", "prefix", "url"), "component_id"
-    ).withColumn("first_key", F.coalesce("key", T.content_key(F.col("plan.metadata_url"))))
+    errors = fetch_errors.select(F.col("key").alias("fetch_key"), "code", F.col("reason").alias("why"))
+    needed = arch.withColumn("fetch_key", F.when(F.col("meta_key").isNotNull() & ~F.col("has_meta"), F.col("meta_key"))
+                             .otherwise(F.col("key")))
     joined = (
-        needed.join(errors, ["key", "prefix"], "left")
-        .join(there, F.col("first_key") == there["key"], "left").drop(there["key"])
-        .join(fetch_errors.withColumnRenamed("key", "error_key"), F.col("first_key") == F.col("error_key"), "left")
+        needed.join(broken, ["key", "prefix"], "left").join(there, "key", "left").join(errors, "fetch_key", "left")
     )
-    no_url = F.col("is_landed") & F.col("url").isNull()
-    http = F.concat(F.lit("HTTP "), F.col("code").cast("string"), F.lit(": "), F.col("reason"))
+    no_url = F.col("has_meta") & F.col("url").isNull()
+    meta_url = F.coalesce(F.col("meta_key"), F.lit(""))
     status = (
-        F.when(F.col("bad_archive").isNotNull() | no_url, "download-error")
+        F.when(F.col("broken").isNotNull() | no_url, "download-error")
         .when(F.col("code") == 404, "download-404")
         .when(F.col("is_landed").isNull(), "download-error")
     )
     reason = (
-        F.when(F.col("bad_archive").isNotNull(),
-               F.concat(F.lit("Archive open failed for "), F.col("url"), F.lit(": "), F.col("bad_archive")))
-        .when(no_url & (F.col("plan.kind") == "npm-via-metadata"),
-              F.concat(F.lit("npm metadata has no dist.tarball: "), F.col("plan.metadata_url")))
-        .when(no_url, F.concat(F.lit("PyPI metadata has no sdist or wheel: "), F.col("plan.metadata_url")))
-        .when(F.col("code").isNotNull(), http)
-        .otherwise(F.coalesce("reason", F.lit("not landed")))
-    )
-    return joined.where(status.isNotNull()).select(
-        "component_id", status.alias("fail_status"), reason.alias("fail_reason")
+        F.when(F.col("broken").isNotNull(),
+               F.concat(F.lit("Archive open failed for "), F.col("url"), F.lit(": "), F.col("broken")))
+        .when(no_url & (F.col("kind") == "npm-via-metadata"),
+              F.concat(F.lit("npm metadata has no dist.tarball: "), meta_url))
+        .when(no_url, F.concat(F.lit("PyPI metadata has no sdist or wheel: "), meta_url))
+        .when(F.col("code").isNotNull(),
+              F.concat(F.lit("HTTP "), F.col("code").cast("string"), F.lit(": "), F.coalesce("why", F.lit(""))))
+        .otherwise(F.coalesce("why", F.lit("not landed")))
     )
+    return joined.select("component_id", status.alias("fail_status"), reason.alias("fail_reason")).where(
+        F.col("fail_status").isNotNull())
 
 
-def _finish(rows: DataFrame, segs: DataFrame, harvested: DataFrame, profile: Profile) -> Enriched:
+def _conclude(rows: DataFrame, profile: Profile) -> DataFrame:
+    """Status, reason, drift and the written-back component of every row."""
     info, plan = F.col("info"), F.col("plan")
-    proprietary = P.is_proprietary(info)
+    skipped = P.is_proprietary(info)
     no_plan = plan["kind"] == "none"
-    has_body = F.col("source_tag").isNotNull()
-    too_large = has_body & F.col("body").isNull()
-    has_canon = F.col("canonical").isNotNull() & ~has_body
-    failed = F.col("fail_status").isNotNull() & ~has_body
-    took_files = F.coalesce(F.col("has_files"), F.lit(False))
-
+    chosen = F.col("source_tag").isNotNull()
+    too_large = chosen & F.col("body").isNull()
+    stand_in = F.col("canonical").isNotNull()
+    failed = F.col("fail_status").isNotNull()
     status = (
-        F.when(proprietary, "skipped")
+        F.when(skipped, "skipped")
         .when(too_large, "body-too-large")
-        .when(has_body | has_canon, "enriched")
+        .when(chosen | stand_in, "enriched")
         .when(no_plan, "unresolvable-source")
         .when(failed, F.col("fail_status"))
         .otherwise("unresolvable-license")
     )
     reason = (
-        F.when(proprietary, F.concat(F.lit("proprietary license '"), info["value"], F.lit("'")))
-        .when(has_body, F.lit(""))
-        .when(no_plan & has_canon,
+        F.when(skipped, F.concat(F.lit("proprietary license '"), info["value"], F.lit("'")))
+        .when(chosen, F.lit(""))
+        .when(no_plan & stand_in,
               F.concat(F.lit("no source dispatch ("), plan["reason"], F.lit("); used SPDX canonical")))
         .when(no_plan, plan["reason"])
-        .when(failed & has_canon, F.concat(F.col("fail_reason"), F.lit(" — fell back to SPDX canonical")))
+        .when(failed & stand_in, F.concat(F.col("fail_reason"), F.lit(" — fell back to SPDX canonical")))
         .when(failed, F.col("fail_reason"))
-        .when(has_canon, F.lit(""))
-        .when(took_files, F.lit("suspicious-license-text"))
+        .when(F.col("has_files"), F.lit("suspicious-license-text"))
         .otherwise(F.lit("unresolvable"))
     )
-    # Canonical text chosen inside body selection goes through redaction and the later
-    # steps; as a stand-in for a missing source it is embedded as it is.
-    via_selection = has_canon & ~no_plan & ~failed
-    canonical = F.when(via_selection, T.redact_paths(F.col("canonical"), profile.extra_path_patterns)).otherwise(
-        F.col("canonical")
-    )
-    body = F.when(proprietary | too_large, F.lit(None).cast("string")).otherwise(
-        F.coalesce("body", F.when(has_canon, canonical))
-    )
-    canon_lines = F.when(via_selection, evidence.copyright_lines(body))
-    lowered = F.transform(canon_lines, lambda x: F.struct(F.lower(x).alias("k"), x.alias("line")))
-    canon_distinct = F.filter(
-        lowered, lambda r, i: F.array_position(F.transform(lowered, lambda x: x["k"]), r["k"]) == i + 1
-    )
-    canon_copyright = F.array_join(
-        F.transform(F.array_sort(canon_distinct), lambda r: T.redact_paths(r["line"], profile.extra_path_patterns)),
-        "\n",
-    )
-    notes = F.coalesce(F.col("copyright"), canon_copyright)
     drift = F.when(
-        (has_body | via_selection) & ~F.col("curated"),
-        evidence.drift_from(evidence.fingerprints(body), info["kind"], info["value"], info["all_ids"], body),
+        chosen & ~F.col("curated"),
+        evidence.drift_from(evidence.fingerprints(F.col("body")), info["kind"], info["value"], info["all_ids"],
+                            F.col("body")),
     )
-    done = (
+    settled = (
         rows.withColumn("status", status)
         .withColumn("reason", reason)
-        .withColumn("final_body", body)
-        .withColumn("notes", notes)
+        .withColumn("drift", drift)
+        .withColumn("final_body", F.coalesce("body", "canonical"))
         .withColumn("source_tag", F.when(
             F.col("status") == "enriched", F.coalesce("source_tag", F.lit("spdx-canonical-fallback"))
         ).otherwise(F.lit("")))
-        .withColumn("drift", F.when(F.col("status") == "enriched", drift))
     )
     written = F.when(
-        F.col("final_body").isNotNull() & (F.col("status") == "enriched"),
-        P.embed_text(F.col("component"), info["kind"], F.col("final_body"), F.col("notes"), profile),
+        F.col("status") == "enriched",
+        P.embed_text(F.col("component"), info["kind"], F.col("final_body"), F.col("copyright"), profile),
     ).otherwise(F.col("component"))
-    results = done.select(
-        "sbom_id", "ord",
-        *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "version", "purl", "category")],
-        "status", "reason", "drift", "source_tag",
-    )
-    enriched = done.select("sbom_id", "ord", written.alias("component"))
-    flat_ids = lambda d: d.select("component_id.*", *[c for c in d.columns if c != "component_id"])
-    return Enriched(enriched, results, flat_ids(segs), flat_ids(harvested))
+    return settled.withColumn("component", written).select(
+        "sbom_id", "ord", "component", "name", "version", "purl", "category", "status", "reason", "drift", "source_tag")

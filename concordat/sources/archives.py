@@ -48,7 +48,9 @@ def _members(blob: bytes, is_zip: bool) -> Iterator[tuple[str, object]]:
 
 
 def _walk(row, max_files: int) -> list[tuple]:
-    """Extracted rows of one archive: licence files, wanted files, first source files."""
+    """Extracted rows of one download: licence files, wanted files, first source files."""
+    if row.format == "single":
+        return [("single", 0, None, row.content, None)]
     out, n_source = [], 0
     wanted = set(row.wanted) if row.wanted is not None else set()
     prefix = row.prefix or ""
@@ -73,7 +75,7 @@ def _walk(row, max_files: int) -> list[tuple]:
 
 
 def extract(archives: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
-    """Rows of `kind` license, wanted, header, member-error or archive-error.
+    """Rows of `kind` license, wanted, header, single, member-error or archive-error.
 
     `archives(key, prefix, format, wanted, content)`, one row per distinct extraction. Each
     archive is one row of work; a broken one yields an error row and no others.
