@@ -19,6 +19,12 @@ from concordat.sources.inventory import flatten
 EXPR = I.expression_sql("o_orderkey")
 
 
+def expressions(spark, d):
+    """(key, cust, raw): a licence expression per order."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_custkey").alias("cust"))
+    return I.with_expression(o, F.col("key"), "raw")
+
+
 @query("spdx_split", f"""
 SELECT key, CAST(pos - 1 AS INTEGER) AS pos, ids[pos] AS spdx_id FROM (
   SELECT key, ids, unnest(range(1, len(ids) + 1)) AS pos FROM (
@@ -27,18 +33,17 @@ SELECT key, CAST(pos - 1 AS INTEGER) AS pos, ids[pos] AS spdx_id FROM (
         lambda t: trim(t)), lambda t: t <> '') AS ids
     FROM orders))""")
 def spdx_split(spark, d):
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"))
-    return o.select("key", F.posexplode(spdx.split_expression(I.expression(F.col("key")))).alias("pos", "spdx_id"))
+    o = expressions(spark, d)
+    return o.select("key", F.posexplode(spdx.split_expression(F.col("raw"))).alias("pos", "spdx_id"))
 
 
 @query("spdx_normalize", f"""
 WITH e AS (SELECT o_orderkey AS key, ' ' || replace({EXPR}, '-', CASE WHEN o_orderkey % 2 = 0 THEN '-' ELSE '_' END) AS x FROM orders)
 SELECT key, {I.loose_sql('x')} AS loose, {I.spdx_sql('x')} AS canonical, {I.family_sql('x')} AS family FROM e""")
 def spdx_normalize(spark, d):
-    key = F.col("o_orderkey")
-    dash = F.when(key % 2 == 0, "-").otherwise("_")
-    x = F.concat(F.lit(" "), F.replace(I.expression(key), F.lit("-"), dash))
-    return table(spark, d, "orders").select(key.alias("key"), x.alias("x")).select(
+    dash = F.when(F.col("key") % 2 == 0, "-").otherwise("_")
+    x = F.concat(F.lit(" "), F.replace("raw", F.lit("-"), dash))
+    return expressions(spark, d).select("key", x.alias("x")).select(
         "key", spdx.normalise_loose(F.col("x")).alias("loose"), spdx.normalise_spdx(F.col("x")).alias("canonical"),
         spdx.normalise_family(F.col("x")).alias("family"),
     )
@@ -46,10 +51,7 @@ def spdx_normalize(spark, d):
 
 @query("fp_filter", f"WITH {I.fp_cte('orders', 'o_orderkey', EXPR)} SELECT key, filtered FROM fp")
 def fp_filter(spark, d):
-    key = F.col("o_orderkey")
-    return table(spark, d, "orders").select(
-        key.alias("key"), spdx.filter_false_positives(I.expression(key)).alias("filtered")
-    )
+    return expressions(spark, d).select("key", spdx.filter_false_positives(F.col("raw")).alias("filtered"))
 
 
 def verdict_sql(declared: str, detected: str) -> tuple[str, str]:
@@ -79,11 +81,9 @@ WITH {I.fp_cte('orders', 'o_orderkey', I.expression_sql('o_orderkey + o_custkey
 {I.fp_cte('orders', 'o_orderkey', EXPR, 'fp2')}
 SELECT f.key, {_V} AS verdict, {_T} AS detail FROM fp2 f JOIN fp g ON f.key = g.key""")
 def classify_verdict(spark, d):
-    key = F.col("o_orderkey")
-    v = table(spark, d, "orders").select(
-        key.alias("key"), I.expression(key).alias("declared"),
-        spdx.filter_false_positives(I.expression(key + F.col("o_custkey") % 3)).alias("detected"),
-    )
+    other = I.with_expression(expressions(spark, d), F.col("key") + F.col("cust") % 3, "other")
+    v = other.select(
+        "key", F.col("raw").alias("declared"), spdx.filter_false_positives(F.col("other")).alias("detected"))
     return v.withColumn("v", spdx.verdict(F.col("declared"), F.col("detected"))).select("key", "v.verdict", "v.detail")
 
 

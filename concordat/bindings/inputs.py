@@ -50,6 +50,17 @@ def expression(key: Column) -> Column:
     )
 
 
+N_EXPRESSIONS = 12 * 12 * 7
+
+
+def with_expression(df: DataFrame, key: Column, name: str = "expr") -> DataFrame:
+    """Adds `expression(key)`; it repeats every N_EXPRESSIONS keys, so the distinct ones are joined in."""
+    spark = df.sparkSession
+    known = spark.range(N_EXPRESSIONS).select(
+        F.col("id").alias(f"_k_{name}"), expression(F.col("id")).alias(name))
+    return df.withColumn(f"_k_{name}", key % N_EXPRESSIONS).join(F.broadcast(known), f"_k_{name}").drop(f"_k_{name}")
+
+
 def expression_sql(key: str) -> str:
     a, b = pick_sql(TERMS, key), pick_sql(TERMS, f"({key}) // 12")
     ref = f"'{C.COMMERCIAL_REF}'"
@@ -249,13 +260,13 @@ def scan_files(spark: SparkSession, folder: str) -> DataFrame:
     hit = F.struct(F.lit("x").alias("license_expression_spdx"), score.alias("score"))
     low = F.struct(F.lit("x").alias("license_expression_spdx"), F.lit(None).cast("double").alias("score"))
     nothing = F.lit(None).cast("array<struct<license_expression_spdx:string,score:double>>")
-    return j.select(
+    return with_expression(j, seed, "found").select(
         pick(C.SCAN_BUCKETS, F.col("l_suppkey")).alias("bucket"),
         ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1048576
          + (F.col("l_partkey") * 31 + F.col("l_suppkey")) % 1048576).alias("ord"),
         F.concat(top, F.lit("/"), pick(TAILS, F.col("l_linenumber"))).alias("path"),
         F.when(F.col("l_quantity") > 48, "directory").otherwise("file").alias("type"),
-        F.when(F.col("l_partkey") % 3 > 0, expression(seed)).alias("expr"),
+        F.when(F.col("l_partkey") % 3 > 0, F.col("found")).alias("expr"),
         F.array(
             F.struct(F.array(hit, low).alias("matches")),
             F.struct(F.when(F.col("l_linenumber") > 3, F.array(low)).otherwise(nothing).alias("matches")),

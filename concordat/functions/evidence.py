@@ -7,39 +7,44 @@ from pyspark.sql import functions as F
 
 from concordat import constants as C
 from concordat.functions import spdx
-from concordat.functions.text import strip
+from concordat.functions.text import let, strip
 
 
 def fingerprints(body: Column) -> Column:
     """Ids whose phrase occurs in the head of the body, in table order, no repeats."""
-    head = F.lower(F.left(body, F.lit(C.FINGERPRINT_HEAD_CHARS)))
-    hits = F.array(*[F.when(F.contains(head, F.lit(p)), F.lit(i)) for i, p in C.FINGERPRINTS])
-    return F.array_distinct(F.filter(hits, lambda x: x.isNotNull()))
+    def matches(head: Column) -> Column:
+        hits = F.array(*[F.when(F.contains(head, F.lit(p)), F.lit(i)) for i, p in C.FINGERPRINTS])
+        return F.array_distinct(F.filter(hits, lambda x: x.isNotNull()))
+
+    return let(F.lower(F.left(body, F.lit(C.FINGERPRINT_HEAD_CHARS))), matches)
 
 
 def drift_from(detected: Column, kind: Column, value: Column, all_ids: Column, body: Column) -> Column:
     """struct(declared, detected, evidence) when no declared id is among the detected ones."""
-    declared = F.when(F.size(all_ids) > 0, all_ids).otherwise(F.array(value))
-    candidates = F.transform(declared, spdx.normalise_family)
-    expanded = F.flatten(
-        F.transform(detected, lambda d: F.transform(
-            F.split(spdx.normalise_family(d), r"\s+or\s+|\s+and\s+"), strip))
-    )
-    drifts = (
-        (F.coalesce(body, F.lit("")) != "")
-        & (kind != "none")
-        & (F.size(detected) > 0)
-        & ~F.arrays_overlap(candidates, expanded)
-    )
-    return F.when(
-        drifts,
-        F.struct(
-            value.alias("declared"),
-            F.array_join(detected, ", ").alias("detected"),
-            F.left(body, F.lit(C.EVIDENCE_CHARS)).alias("evidence"),
-        ),
+    candidates = F.transform(
+        F.when(F.size(all_ids) > 0, all_ids).otherwise(F.array(value)), lambda d: spdx.normalise_family(d)
     )
 
+    def judge(found: Column) -> Column:
+        expanded = F.flatten(F.transform(found, lambda d: F.transform(
+            F.split(spdx.normalise_family(d), r"\s+or\s+|\s+and\s+"), lambda part: strip(part))))
+        drifts = (
+            (F.coalesce(body, F.lit("")) != "")
+            & (kind != "none")
+            & (F.size(found) > 0)
+            & ~F.arrays_overlap(candidates, expanded)
+        )
+        return F.when(
+            drifts,
+            F.struct(
+                value.alias("declared"),
+                F.array_join(found, ", ").alias("detected"),
+                F.left(body, F.lit(C.EVIDENCE_CHARS)).alias("evidence"),
+            ),
+        )
+
+    return let(detected, judge)
+
 
 def copyright_lines(body: Column) -> Column:
     """Cleaned copyright statements in order of appearance (repeats kept)."""

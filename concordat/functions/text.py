@@ -118,8 +118,13 @@ def quoted(col: Column) -> Column:
 
 def head_lines(text: Column, n: int) -> Column:
     """First n lines; a line break at the very end opens no further line."""
-    body = F.regexp_replace(text, rf"(?:{LINE_BREAK})\z", "")
-    return F.slice(F.split(body, LINE_BREAK), 1, n)
+
+    def cut(parts: Column) -> Column:
+        ends_open = (F.size(parts) <= n) & (F.try_element_at(parts, F.lit(-1)) == "")
+        return F.slice(parts, F.lit(1), F.when(ends_open, F.size(parts) - 1).otherwise(F.lit(n)))
+
+    # The limit stops the split after the lines asked for, however long the text.
+    return let(F.split(text, LINE_BREAK, n + 1), cut)
 
 
 def partition_safe(name: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.session import ensure_checkpoint_dir
+from concordat.session import pin
 
 MAX_WINDOW_GROUP_ROWS = 2_000_000
 
@@ -42,9 +42,8 @@ def _ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
     The range edges are sampled, so the layout is pinned before anything reads it twice.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    return pin(df.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id()))
 
 
 def previous_row(

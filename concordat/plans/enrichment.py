@@ -13,7 +13,7 @@ from concordat.functions import text as T
 from concordat.operators import bodies, copyrights
 from concordat.operators.curation import with_curation, with_tool
 from concordat.operators.matching import canonical_fallback
-from concordat.session import ensure_checkpoint_dir
+from concordat.session import pin
 from concordat.settings import DEFAULT_PROFILE, Profile
 from concordat.sources import archives
 
@@ -145,16 +145,15 @@ def enrich(
     `registry(key, meta)`: package-registry records, same keys, JSON text; `spdx_texts(id, text)`;
     `fetch_errors(key, code, reason)`: downloads that failed (code null when not an HTTP status).
 
-    Rows that several branches read are pinned by checkpoints: the planned components, the
+    Rows that several branches read are pinned as tables: the planned components, the
     extracted files, the decoded licence files and the body segments.
     """
     spark = flat.sparkSession
-    ensure_checkpoint_dir(spark)
     if registry is None:
         registry = spark.createDataFrame([], "key string, meta string")
     if fetch_errors is None:
         fetch_errors = spark.createDataFrame([], "key string, code int, reason string")
-    planned = plan_sources(flat, tools).checkpoint()
+    planned = pin(plan_sources(flat, tools))
     open_plan = planned.where(~P.is_proprietary(F.col("info")))
 
     # --- acquire: each distinct download is opened once, then shared by its components
@@ -164,9 +163,9 @@ def enrich(
     opened = arch.where(F.col("key").isNotNull()).select("key", "prefix", "format", "wanted").unionByName(
         probes.select("key", F.lit("").alias("prefix"), F.lit("single").alias("format"), none.alias("wanted"))
     ).groupBy("key", "prefix", "format").agg(F.array_distinct(F.flatten(F.collect_set("wanted"))).alias("wanted"))
-    extracted = archives.extract(opened.join(landed, "key"), profile).checkpoint()
+    extracted = pin(archives.extract(opened.join(landed, "key"), profile))
 
-    failed_all = _failures(arch, extracted, landed, fetch_errors).checkpoint()
+    failed_all = pin(_failures(arch, extracted, landed, fetch_errors))
     rescued = probes.where("is_rescue").select("component_id").distinct()
     failed = failed_all.join(rescued, "component_id", "left_anti")
     usable_probes = probes.join(
@@ -181,12 +180,11 @@ def enrich(
     ).where(T.is_probe_content(F.col("content")))
     from_archives = per_component.where((F.col("kind") == "license") & (F.col("plan_kind") != "system-curated"))
     columns = ("component_id", "ord", "rel_path", "text")
-    all_files = (
+    all_files = pin(
         from_archives.withColumn("text", T.decode_utf8(F.col("content"))).select(*columns)
         .unionByName(singles.withColumn("text", T.decode_utf8(F.col("content"))).select(*columns))
         .unionByName(curated_bodies(open_plan, per_component))
         .withColumn("plausible", T.is_plausible_licence(F.col("text")))
-        .checkpoint()
     )
     files = all_files.where("plausible").drop("plausible")
 
@@ -209,10 +207,9 @@ def enrich(
         "component_id", F.struct(F.lit(0).alias("part"), F.lit(1).cast("bigint").alias("at")).alias("seg"),
         F.col("canonical").alias("piece"), F.lit("spdx-canonical-fallback").alias("source_tag"),
     )
-    segs = (
+    segs = pin(
         bodies.segments(chosen, files).unionByName(canon_segs)
         .withColumn("piece", T.redact_paths(F.col("piece"), profile.extra_path_patterns))
-        .checkpoint()
     )
     made = bodies.assemble(segs)
 
@@ -230,7 +227,7 @@ def enrich(
     ).unionByName(headers)
     seeds = open_plan.where(F.col("plan.kind") == "system-curated").join(has_body, "component_id", "left_semi").select(
         "component_id", F.posexplode("tool.copyright_seed").alias("seed_ord", "line"))
-    harvested = copyrights.harvest(blobs, seeds, profile.extra_path_patterns).checkpoint()
+    harvested = pin(copyrights.harvest(blobs, seeds, profile.extra_path_patterns))
 
     facts = (
         made.join(copyrights.joined(harvested).select("component_id", "copyright"), "component_id", "left")
@@ -242,7 +239,7 @@ def enrich(
         .join(all_files.select("component_id", F.lit(True).alias("has_files")).distinct(), "component_id", "left")
         .join(failed, "component_id", "left")
     )
-    done = _conclude(with_curation(rows, curation.select("key", "rationale")), profile).checkpoint()
+    done = pin(_conclude(with_curation(rows, curation.select("key", "rationale")), profile))
     results = done.select(
         "sbom_id", "ord",
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("name", "version", "purl", "category")],

@@ -1,8 +1,9 @@
-"""Session settings and the two guards every job uses: checkpoint and broadcast."""
+"""Session settings and the guards every job uses: pinned tables and sized broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="concordat-ckpt-"))
 
 
+def pin(df: DataFrame) -> DataFrame:
+    """Write rows that several branches read to a table in the checkpoint folder and read it back.
+
+    Cuts the lineage, survives lost executors, and unlike a raw checkpoint lets each branch
+    prune columns and lets the planner see the true size.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/pinned-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Hint a broadcast only when a bounded count proves the side small."""
     if df.limit(max_rows + 1).count() <= max_rows:
