@@ -161,7 +161,7 @@ UNION ALL SELECT top, 2, '  - `' || raw || '`: ' || count(*) || ' file(s)' || CA
 UNION ALL SELECT top, 3, '| `' || path || '` | `' || raw || '` | ' || CAST(score AS INTEGER) || ' |' FROM c""")
 def component_scan_report(spark, d):
     files = declared_files(spark, d).withColumn("component", F.col("top"))
-    only = files.where(scans.IS_FILE)
+    only = files.where(scans.is_file())
     summary = scans.scan_summary(files, ["component", "declared"])
     hist = only.where(F.col("expr").isNotNull()).groupBy("component", "declared", "expr").agg(F.count(F.lit(1)).alias("n_files"))
     bad = scans.file_conflicts(files).withColumn("top_score", scans.top_score(F.col("detections")))

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from concordat.functions import paths, spdx
 from concordat.functions.text import or_default
 
-IS_FILE = F.col("type") == "file"
+
+def is_file() -> Column:
+    return F.col("type") == "file"
 
 
 def top_score(detections: Column) -> Column:
@@ -29,14 +31,14 @@ def expression_groups(files: DataFrame) -> DataFrame:
     The first, large shuffle already carries combined rows; the rest works on those.
     """
     raw = or_default(F.col("expr"), "")
-    root = IS_FILE & paths.is_root_licence(F.col("path"))
+    root = is_file() & paths.is_root_licence(F.col("path"))
     return (
         files.where(F.coalesce(F.col("path"), F.lit("")) != "")
         .withColumn("top", paths.top_dir(F.col("path")))
-        .withColumn("raw", F.when(IS_FILE, raw))
+        .withColumn("raw", F.when(is_file(), raw))
         .groupBy("bucket", "top", "raw")
         .agg(
-            F.count_if(IS_FILE).alias("n"),
+            F.count_if(is_file()).alias("n"),
             F.min("ord").alias("first_ord"),
             F.max(F.when(root, F.col("ord"))).alias("root_any"),
         )
@@ -101,7 +103,7 @@ def histogram_map(histogram: DataFrame, keys: list[str]) -> DataFrame:
 def file_conflicts(files: DataFrame, declared: str = "declared") -> DataFrame:
     """Files whose detection differs from the declared licence, where one is declared."""
     return files.where(
-        IS_FILE
+        is_file()
         & (F.coalesce(F.col("expr"), F.lit("")) != "")
         & (F.coalesce(F.col(declared), F.lit("")) != "")
         & (spdx.normalise_loose(F.col("expr")) != spdx.normalise_loose(F.col(declared)))
@@ -116,7 +118,7 @@ def scan_summary(files: DataFrame, keys: list[str], declared: str = "declared")
         & (F.coalesce(F.col(declared), F.lit("")) != "")
         & (spdx.normalise_loose(F.col("expr")) != spdx.normalise_loose(F.col(declared)))
     )
-    return files.where(IS_FILE).groupBy(*keys).agg(
+    return files.where(is_file()).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_files"),
         F.count_if(conflict).alias("n_conflicts"),
         F.count_if(~has).alias("n_no_license"),
@@ -139,7 +141,7 @@ def dirs_per_bucket(dirs: DataFrame) -> DataFrame:
 def native_inventory(files: DataFrame, suffix: str = ".pyd") -> DataFrame:
     """Native files per package directory; files at the root count under '(loose)'."""
     return (
-        files.where(IS_FILE & F.endswith(F.lower("path"), F.lit(suffix)))
+        files.where(is_file() & F.endswith(F.lower("path"), F.lit(suffix)))
         .withColumn("top", F.when(F.contains("path", F.lit("/")), paths.top_dir(F.col("path")))
                     .otherwise(F.lit("(loose)")))
         .groupBy("bucket", "top")

@@ -61,10 +61,10 @@ def _keyed_map(spark: SparkSession, path: str, value: str) -> DataFrame:
         if path_exists(spark, path)
         else spark.createDataFrame([], "content binary")
     )
-    return (
-        whole.select(F.explode(F.from_json(F.col("content").cast("string"), f"map<string,{value}>")).alias("key", "value"))
-        .where(~F.startswith("key", F.lit("_")))
-    )
+    # Values are parsed one by one: a comment that is plain text must not spoil the object.
+    entries = whole.select(
+        F.explode(F.from_json(F.col("content").cast("string"), "map<string,string>")).alias("key", "json"))
+    return entries.where(~F.startswith("key", F.lit("_"))).select("key", F.from_json("json", value).alias("value"))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
