@@ -238,32 +238,30 @@ def content_key(spark, d):
 
 
 @query("registry_archive_url", """
-WITH r AS (SELECT o_custkey, o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'sdist' WHEN 1 THEN 'bdist_wheel' ELSE 'bdist_egg' END AS packagetype,
-    'https://files.example.org/' || o_orderkey || CASE o_orderkey % 3 WHEN 0 THEN '.tar.gz' WHEN 1 THEN '.whl' ELSE '.egg' END AS url FROM orders),
-b AS (SELECT o_custkey, arg_max(url, o_orderkey) FILTER (packagetype = 'sdist') AS s, arg_min(url, o_orderkey) FILTER (packagetype = 'bdist_wheel') AS w FROM r GROUP BY 1)
-SELECT o_custkey, coalesce(s, w) AS url, CASE WHEN coalesce(s, w) LIKE '%.whl' THEN 'zip' WHEN coalesce(s, w) IS NOT NULL THEN 'tar.gz' END AS format FROM b""")
+WITH r AS (SELECT o_orderkey, 'https://files.example.org/' || o_custkey || '/' || o_orderkey AS base FROM orders),
+u AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN base || '-b.tar.gz' WHEN o_orderkey % 2 = 0 THEN base || '-a.tar.gz'
+    WHEN o_orderkey % 3 = 0 THEN base || '-a.whl' WHEN o_orderkey % 7 = 0 THEN base || '-b.whl' END AS url FROM r)
+SELECT o_orderkey, url, CASE WHEN url LIKE '%.whl' THEN 'zip' WHEN url IS NOT NULL THEN 'tar.gz' END AS format FROM u""")
 def registry_archive_url(spark, d):
-    """Each customer's orders form one registry document (a registry record is one JSON value)."""
+    """Each order as one registry record listing up to five uploads."""
     k = F.col("o_orderkey")
-    o = table(spark, d, "orders").select(
-        "o_custkey", k,
-        F.struct(
-            pick3(("sdist", "bdist_wheel", "bdist_egg"), k).alias("packagetype"),
-            F.concat(F.lit("https://files.example.org/"), k.cast("string"), pick3((".tar.gz", ".whl", ".egg"), k)).alias("url"),
-        ).alias("u"),
-    )
-    docs = o.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "u"))).alias("us"))
-    meta = F.to_json(F.struct(F.transform("us", lambda x: x["u"]).alias("urls")))
+    base = F.concat(F.lit("https://files.example.org/"), F.col("o_custkey").cast("string"), F.lit("/"), k.cast("string"))
+
+    def upload(test, kind, tail):
+        return F.when(test, F.struct(F.lit(kind).alias("packagetype"), F.concat(base, F.lit(tail)).alias("url")))
+
+    uploads = F.filter(F.array(
+        upload(k % 3 == 0, "bdist_wheel", "-a.whl"), upload(k % 2 == 0, "sdist", "-a.tar.gz"),
+        upload(k % 4 == 1, "bdist_egg", ".egg"), upload(k % 7 == 0, "bdist_wheel", "-b.whl"),
+        upload(k % 5 == 0, "sdist", "-b.tar.gz"),
+    ), lambda u: u.isNotNull())
+    meta = table(spark, d, "orders").select("o_orderkey", F.to_json(F.struct(uploads.alias("urls"))).alias("meta"))
     url = archives.pypi_archive_url(F.col("meta"))
-    return docs.select("o_custkey", meta.alias("meta")).select("o_custkey", url.alias("url")).withColumn(
+    return meta.select("o_orderkey", url.alias("url")).withColumn(
         "format", F.when(F.col("url").isNotNull(), archives.archive_format(F.col("url")))
     )
 
 
-def pick3(values, k):
-    return I.pick(values, k)
-
-
 @query("path_predicates", f"""
 WITH {I.scan_cte()},
 p AS (SELECT top, CASE WHEN ord % 5 = 0 THEN path || '.d/COPYING-x' WHEN ord % 5 = 1 THEN replace(path, 'README.md', 'NOTICE_2') ELSE path END AS path FROM scan)

@@ -73,6 +73,14 @@ def conflict_topk(spark, d):
     return rows.orderBy(F.desc("top_score"), "path", "ord").limit(100)
 
 
+@query("conflict_sample", f"""WITH {I.scan_cte()}, {_DECL}, c AS (SELECT path, ord, raw FROM s WHERE type = 'file' AND {_CONF}),
+k AS (SELECT path || ': ' || raw AS line FROM c ORDER BY path, ord LIMIT 30)
+SELECT line FROM k UNION ALL SELECT '... and ' || (count(*) - 30) || ' more' FROM c HAVING count(*) > 30""")
+def conflict_sample(spark, d):
+    rows = scans.file_conflicts(declared_files(spark, d)).select("path", "ord", "expr")
+    return ordering.sample_with_rest(rows, ["path", "ord"], F.concat("path", F.lit(": "), "expr"), 30)
+
+
 @query("scan_summary", f"""WITH {I.scan_cte()}, {_DECL}
 SELECT bucket, top, count(*) AS n_files, count(*) FILTER ({_CONF}) AS n_conflicts, count(*) FILTER (raw IS NULL) AS n_no_license
 FROM s WHERE type = 'file' GROUP BY ALL""")

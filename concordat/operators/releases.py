@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from concordat import constants as C
 from concordat.operators.ordering import MAX_WINDOW_GROUP_ROWS, previous_row
+from concordat.session import broadcast_if_small
 
 
 def verify_hashes(local: DataFrame, published: DataFrame) -> DataFrame:
@@ -87,7 +88,7 @@ def apply_errata(published: DataFrame, errata: DataFrame) -> DataFrame:
     return (
         published.alias("p")
         .join(
-            errata.alias("e"),
+            broadcast_if_small(errata).alias("e"),
             (F.col("p.name") == F.col("e.name")) & F.col("p.release_seq").between(F.col("e.lo_seq"), F.col("e.hi_seq")),
             "left",
         )

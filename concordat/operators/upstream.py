@@ -41,14 +41,18 @@ def audit(
         F.col("error").alias("git_error"),
         F.lit(True).alias("git_known"),
     )
+    # Components without a repository never match; spreading their null keys keeps them from
+    # meeting in one partition.
+    spread = F.concat(F.lit("\x00"), F.xxhash64("name", "version", "recorded").cast("string"))
+    key = lambda c: F.coalesce(F.col(c), spread)
     located = (
         with_curation(components, curation)
         .withColumn("mirror_repo", urls.hub_repo_id(home))
-        .join(up_readme, "mirror_repo", "left")
+        .join(up_readme.withColumnRenamed("mirror_repo", "_r"), key("mirror_repo") == F.col("_r"), "left")
         .withColumn("upstream_repo", F.coalesce("readme_upstream", urls.hub_repo_id(vcs)))
-        .join(cards, "upstream_repo", "left")
+        .join(cards.withColumnRenamed("upstream_repo", "_c"), key("upstream_repo") == F.col("_c"), "left")
         .withColumn("git_repo", F.coalesce(urls.git_repo_id(vcs), urls.git_repo_id(home)))
-        .join(git, "git_repo", "left")
+        .join(git.withColumnRenamed("git_repo", "_g"), key("git_repo") == F.col("_g"), "left")
     )
     recorded = F.col("recorded")
     same = lambda other: spdx.normalise_loose(recorded) == spdx.normalise_loose(other)

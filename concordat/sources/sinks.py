@@ -18,7 +18,7 @@ from concordat.operators import counts, notices
 from concordat.settings import DEFAULT_PROFILE, Profile
 
 # A document is one JSON value; a larger one is written as component rows only.
-MAX_DOCUMENT_CHARS = 1_000_000_000
+MAX_DOCUMENT_CHARS = 500_000_000
 
 
 def write_sorted_lines(lines: DataFrame, order: list[str], path: str, column: str = "line") -> None:

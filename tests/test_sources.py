@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import glob
 import hashlib
 import json
 import os
@@ -80,32 +79,32 @@ def test_notices_round_trip(spark, tmp_path):
 
 def release(folder, tag, build, flagged=False):
     sha = hashlib.sha256(b"exe").hexdigest()
-    put(folder / tag / "hashes.json", {"tag": tag, "raw_buildid": build, "generated_at": "2026-01-02T03:04:05Z",
+    put(folder / tag / "release.json", {"tag": tag, "raw_buildid": build, "generated_at": "2026-01-02T03:04:05Z",
                                        "files": [{"filename": "a.exe", "sha256": sha.upper(), "size": 5}]})
-    put(folder / tag / "SHA256SUMS", f"{sha} *a.exe\n# comment\n")
+    put(folder / tag / "CHECKSUMS", f"{sha} *a.exe\n# comment\n")
     cats = ["undetected", "malicious" if flagged else "undetected", "failure"]
-    put(folder / tag / "virustotal_a.exe.json", {
+    put(folder / tag / "verdicts_a.json", {
         "tag": tag, "filename": "a.exe", "sha256": sha, "fetched_at": f"2026-01-0{build}T00:00:00Z",
         "last_analysis_stats": {"malicious": int(flagged), "undetected": 2 - flagged, "failure": 1, "type-unsupported": 0},
         "last_analysis_results": {f"e{i}": {"category": c, "engine_update": "20260101", "result": None} for i, c in enumerate(cats)}})
     notes = f"# {tag}\n\n| Field | Value |\n|-------|-------|\n| Depot | 7 |\n| Components | 1{build} (unchanged) |\n"
-    put(folder / tag / "RELEASE_NOTES.md", notes if build != "3" else "- **Depot:** 7\n- **Components:** 1,013 (CycloneDX)\n")
+    put(folder / tag / "NOTES.md", notes if build != "3" else "- **Depot:** 7\n- **Components:** 1,013 (CycloneDX)\n")
 
 
 def test_release_files(spark, tmp_path):
     for i, tag in enumerate(("r-0.9", "r-0.10", "r-0.11"), 1):
         release(tmp_path, tag, str(i), flagged=i == 3)
-    hashes = S.read_hashes(spark, f"{tmp_path}/*/hashes.json")
-    sums = S.read_checksums(spark, f"{tmp_path}/*/SHA256SUMS")
+    hashes = S.read_hashes(spark, f"{tmp_path}/*/release.json")
+    sums = S.read_checksums(spark, f"{tmp_path}/*/CHECKSUMS")
     assert R.checksum_differences(hashes, sums).count() == 0
     assert {r.build for r in hashes.collect()} == {1, 2, 3}
-    docs = S.read_verdict_documents(spark, f"{tmp_path}/*/virustotal_*.json")
+    docs = S.read_verdict_documents(spark, f"{tmp_path}/*/verdicts_*.json")
     v = S.explode_verdicts(docs)
     assert v.count() == 9 and v.where("engine_update is null").count() == 0
     assert R.verdict_reconcile(v, S.stored_stats(docs), ["tag", "filename"]).where("not agrees").count() == 0
     flags = R.retro_flags(v, ["sha256", "engine"], ["fetched_at"]).collect()
     assert [(r.tag, r.engine) for r in flags] == [("r-0.11", "e1")]
-    wide = S.pivot_notes(S.read_notes(spark, f"{tmp_path}/*/RELEASE_NOTES.md"), ["tag"], ["Depot", "Components"])
+    wide = S.pivot_notes(S.read_notes(spark, f"{tmp_path}/*/NOTES.md"), ["tag"], ["Depot", "Components"])
     rel = wide.withColumn("components", S.component_count(F.col("components"))).join(hashes.select("tag", "build"), "tag")
     delta = R.component_delta(rel.select("tag", "build", "components"), ["build"]).orderBy("build").collect()
     assert [(r.prev_tag, r.delta) for r in delta] == [(None, None), ("r-0.9", 1), ("r-0.10", 1001)]
@@ -113,18 +112,18 @@ def test_release_files(spark, tmp_path):
     assert {r.filename: r.outcome for r in R.verify_hashes(local, hashes).collect()} == {"a.exe": "mismatch", "b": "unpublished"}
 
 
-ARCHIVE = os.environ.get("RELEASE_ARCHIVE_DIR", "")
+ARCHIVE = {k: os.environ.get(f"ARCHIVE_{k.upper()}", "") for k in ("hashes", "sums", "verdicts", "notes")}
 
 
-@pytest.mark.skipif(not glob.glob(f"{ARCHIVE}/*/hashes.json"), reason="set RELEASE_ARCHIVE_DIR to a folder of releases")
+@pytest.mark.skipif(not all(ARCHIVE.values()), reason="set ARCHIVE_HASHES, _SUMS, _VERDICTS and _NOTES to path patterns")
 def test_published_release_archive(spark):
     """Invariants of a published archive: both hash renderings and both verdict tallies agree."""
-    hashes, sums = S.read_hashes(spark, f"{ARCHIVE}/*/hashes.json"), S.read_checksums(spark, f"{ARCHIVE}/*/SHA256SUMS")
+    hashes, sums = S.read_hashes(spark, ARCHIVE["hashes"]), S.read_checksums(spark, ARCHIVE["sums"])
     assert hashes.count() == sums.count() > 0
     assert R.checksum_differences(hashes, sums).count() == 0
-    docs = S.read_verdict_documents(spark, f"{ARCHIVE}/*/virustotal_*.json")
+    docs = S.read_verdict_documents(spark, ARCHIVE["verdicts"])
     v = S.explode_verdicts(docs)
     assert R.verdict_reconcile(v, S.stored_stats(docs), ["tag", "filename"]).where("not agrees").count() == 0
-    print(hashes.count(), docs.count(), v.count(), {r.category: r["count"] for r in v.groupBy("category").count().collect()})
-    print(S.pivot_notes(S.read_notes(spark, f"{ARCHIVE}/*/RELEASE_NOTES.md"), ["tag"], ["Components"]).count())
-    print(R.retro_flags(v, ["sha256", "engine"], ["fetched_at"]).count())
+    assert S.pivot_notes(S.read_notes(spark, ARCHIVE["notes"]), ["tag"], ["Components"]).count() > 0
+    assert R.retro_flags(v, ["sha256", "engine"], ["fetched_at"]).count() == 0
+    print(hashes.count(), docs.count(), {r.category: r["count"] for r in v.groupBy("category").count().collect()})
