@@ -12,9 +12,11 @@ from concordat.functions import paths, spdx, urls
 from concordat.functions import text as T
 from concordat.operators import curation as cur
 from concordat.operators import matching, upstream
+from concordat.operators.counts import verdict_counts
 from concordat.operators.ordering import first_wins
 from concordat.sources import archives
 from concordat.sources.inventory import flatten
+from concordat.sources.sinks import audit_lines
 
 EXPR = I.expression_sql("o_orderkey")
 
@@ -348,14 +350,14 @@ def hub_licence(spark, d):
     return c.select("ord", F.col("first_license").alias("recorded"), spdx.hub_licence(F.col("first_license")).alias("hub"))
 
 
-@query("upstream_ladder", f"""
+_LADDER = f"""
 WITH a AS (SELECT o_orderkey AS ord, o_custkey AS key, (['Apache-2.0', 'mit', 'MIT | ISC', '(none)'])[CAST(o_orderkey % 4 AS INTEGER) + 1] AS recorded,
   o_orderkey % 3 AS m, o_orderpriority = '1-URGENT' AS curated, coalesce(c_acctbal > 0, false) AS git_known FROM orders LEFT JOIN customer ON c_custkey = o_custkey),
 b AS (SELECT *, {_CARDS} AS card0,
   CASE WHEN m = 0 AND key % 2 = 0 THEN 1 WHEN m = 1 THEN 1 ELSE 0 END AS has_up,
   m <> 1 AS has_git FROM a),
-c AS (SELECT *, CASE WHEN has_up = 1 THEN card0 END AS card FROM b)
-SELECT ord, CASE WHEN curated OR has_up = 0 THEN NULL ELSE 'up/repo' || key END AS upstream_repo,
+c AS (SELECT *, CASE WHEN has_up = 1 THEN card0 END AS card FROM b),
+v AS (SELECT ord, CASE WHEN curated OR has_up = 0 THEN NULL ELSE 'up/repo' || key END AS upstream_repo,
   CASE WHEN curated THEN 'CURATED'
     WHEN card IS NOT NULL THEN CASE WHEN {I.loose_sql('recorded')} = {I.loose_sql('card')} THEN 'ACK' ELSE 'MISMATCH' END
     WHEN has_git THEN CASE WHEN NOT git_known OR key % 7 <= 1 THEN 'UNKNOWN' WHEN recorded = 'Apache-2.0' THEN 'ACK' ELSE 'MISMATCH' END
@@ -366,9 +368,30 @@ SELECT ord, CASE WHEN curated OR has_up = 0 THEN NULL ELSE 'up/repo' || key END
     WHEN has_git THEN CASE WHEN NOT git_known THEN 'github license API: not landed' WHEN key % 7 = 0 THEN 'github license API: HTTP 403'
       WHEN key % 7 = 1 THEN 'github license API returned no SPDX id'
       WHEN recorded = 'Apache-2.0' THEN 'github canonical LICENSE = ''Apache-2.0''' ELSE 'recorded=''' || recorded || ''' vs github LICENSE = ''Apache-2.0''' END
-    ELSE 'no documented upstream and no usable fallback' END AS detail
-FROM c""")
+    ELSE 'no documented upstream and no usable fallback' END AS detail, recorded, key, m FROM c)"""
+
+
+@query("upstream_ladder", _LADDER + " SELECT ord, upstream_repo, verdict, detail FROM v")
 def upstream_ladder(spark, d):
+    return audited(spark, d).select("ord", "upstream_repo", "verdict", "detail")
+
+
+@query("audit_report", _LADDER + f""" SELECT ord, '{'─' * 75}' || chr(10) || 'COMPONENT:   model' || ord || chr(10) || 'PIN:         1' || chr(10) || 'RECORDED:    ' || recorded || chr(10)
+  || 'HOMEPAGE:    ' || CASE WHEN m = 0 THEN 'https://huggingface.co/mirror/repo' || key ELSE '' END || chr(10)
+  || CASE WHEN upstream_repo IS NOT NULL THEN 'DOC_UPSTREAM:' || upstream_repo || chr(10) ELSE '' END
+  || 'VERDICT:     ' || verdict || chr(10) || 'DETAIL:      ' || detail AS line FROM v""")
+def audit_report(spark, d):
+    return audit_lines(audited(spark, d)).select(
+        F.regexp_extract("at", r"(\d+)$", 1).cast("bigint").alias("ord"), "line")
+
+
+@query("audit_counts", _LADDER + """, k(verdict) AS (VALUES ('ACK'), ('MISMATCH'), ('UNKNOWN'), ('CURATED'))
+SELECT k.verdict, count(v.verdict) AS n FROM k LEFT JOIN v ON v.verdict = k.verdict GROUP BY 1""")
+def audit_counts(spark, d):
+    return verdict_counts(audited(spark, d), C.AUDIT_VERDICTS)
+
+
+def audited(spark, d):
     """Orders as audited components: mirrored with a readme, with a hub vcs, or with git only."""
     readmes, cards, git = landed_lookups(spark, d)
     k, m = F.col("o_orderkey"), F.col("o_orderkey") % 3
@@ -384,7 +407,7 @@ def upstream_ladder(spark, d):
         F.concat(F.lit("model"), k.cast("string"), F.lit("@1")).alias("key"),
         F.concat(F.lit("order "), k.cast("string")).alias("rationale"),
     )
-    return upstream.audit(comps, curation, readmes, cards, git).select("ord", "upstream_repo", "verdict", "detail")
+    return upstream.audit(comps, curation, readmes, cards, git)
 
 
 _CLAIMS = f"""{I.components_cte()},

@@ -14,7 +14,7 @@ from concordat.functions import text as T
 from concordat.functions.documents import redact_document
 from concordat.operators import bodies, copyrights, matching, notices, ordering
 from concordat.sources.archives import header_text
-from concordat.sources.sinks import notices_blocks
+from concordat.sources.sinks import drift_lines, notices_blocks, subset_notices_lines
 
 _WORDS = " OR ".join(f"contains(lower(left({{t}}, {C.TEXT_HEAD_CHARS})), '{w}')" for w in C.LICENCE_WORDS)
 _MARKS = " OR ".join(f"contains(lower(left({{t}}, {C.TEXT_HEAD_CHARS})), '{w}')" for w in C.HTML_MARKS)
@@ -155,16 +155,35 @@ KINDS = ("id", "expression", "id", "name", "none", "expression")
 VALUES = ("MIT", "Apache-2.0 OR (MIT AND ISC)", "GPL-3.0-or-later", "Custom", "", "Apache-2.0 WITH LLVM-exception")
 
 
-@query("drift_detect", f"""
-WITH {I.licence_files_cte()},
+_DRIFT = f"""{I.licence_files_cte()},
 c AS (SELECT ord, text, {I.pick_sql(KINDS, 'ord // 13')} AS kind, {I.pick_sql(VALUES, 'ord // 13')} AS declared,
   {_ORDERED} AS detected FROM lf WHERE ord NOT IN (SELECT doc_id FROM labels WHERE quality = 1)),
 e AS (SELECT *, CASE declared WHEN 'Apache-2.0 OR (MIT AND ISC)' THEN ['apache-2.0', 'mit', 'isc'] WHEN 'GPL-3.0-or-later' THEN ['gpl-3.0']
     WHEN 'Apache-2.0 WITH LLVM-exception' THEN ['apache-2.0'] ELSE [lower(declared)] END AS cand,
-  flatten(list_transform(detected, lambda x: CASE WHEN x = 'Apache-2.0 OR MIT' THEN ['apache-2.0', 'mit'] ELSE [lower(x)] END)) AS expanded FROM c)
-SELECT ord, declared, array_to_string(detected, ', ') AS detected, left(text, 500) AS evidence FROM e
-WHERE kind <> 'none' AND len(detected) > 0 AND NOT list_has_any(cand, expanded)""")
+  flatten(list_transform(detected, lambda x: CASE WHEN x = 'Apache-2.0 OR MIT' THEN ['apache-2.0', 'mit'] ELSE [lower(x)] END)) AS expanded FROM c),
+dr AS (SELECT ord, declared, array_to_string(detected, ', ') AS detected, left(text, 500) AS evidence FROM e
+  WHERE kind <> 'none' AND len(detected) > 0 AND NOT list_has_any(cand, expanded))"""
+
+
+@query("drift_detect", f"WITH {_DRIFT} SELECT * FROM dr")
 def drift_detect(spark, d):
+    return drifts(spark, d).select("ord", "drift.*")
+
+
+@query("drift_report", f"""WITH {_DRIFT}
+SELECT ord, '  file' || ord || ' 1' || chr(10) || '    purl:     pkg:x/' || ord || chr(10) || '    declared: ' || declared || chr(10) || '    detected: ' || detected || chr(10)
+  || '    evidence (first 500 chars):' || chr(10)
+  || array_to_string(list_transform(string_split(regexp_replace(evidence, chr(10) || '$', ''), chr(10))[1:10], lambda l: '      | ' || l), chr(10)) || chr(10) AS line FROM dr""")
+def drift_report(spark, d):
+    k = F.col("ord").cast("string")
+    rows = drifts(spark, d).select(
+        F.lit("docs").alias("sbom_id"), "ord", F.concat(F.lit("file"), k).alias("name"), F.lit("1").alias("version"),
+        F.concat(F.lit("pkg:x/"), k).alias("purl"), "drift")
+    return drift_lines(rows).select("ord", "line")
+
+
+def drifts(spark, d):
+    """(ord, drift) of the document files that drift from a declared licence."""
     n = F.floor(F.col("ord") / 13)
     files = I.licence_files(spark, d)
     curated = table(spark, d, "labels").where("quality = 1").select(F.col("doc_id").alias("ord"))
@@ -174,8 +193,7 @@ def drift_detect(spark, d):
         .otherwise(F.array().cast("array<string>"))
     )
     drift = evidence.drift_from(evidence.fingerprints(F.col("text")), kind, value, ids, F.col("text"))
-    return files.join(curated, "ord", "left_anti").select("ord", drift.alias("drift")).where(
-        F.col("drift").isNotNull()).select("ord", "drift.*")
+    return files.join(curated, "ord", "left_anti").select("ord", drift.alias("drift")).where(F.col("drift").isNotNull())
 
 
 # --- body choice -------------------------------------------------------------
@@ -362,3 +380,16 @@ def notices_semi(spark, d):
 SELECT n_selected, n_expected, n_expected - n_selected AS diff FROM n""")
 def selection_counts(spark, d):
     return notices.selection_counts(blocks(spark, d), picked_pairs(spark, d))
+
+
+_SUBSET = f"WITH {_BLOCKS}, k AS (SELECT * FROM b WHERE (name, version) IN (SELECT name, version FROM s))"
+
+
+@query("subset_notices", f"""{_SUBSET}
+SELECT 0 AS part, '' AS at, CAST(0 AS BIGINT) AS pos, sha256('Subset' || chr(10) || chr(10) || '{_RULE}' || chr(10) || 'TABLE OF CONTENTS' || chr(10) || '{'─' * 75}' || chr(10)
+  || 'Total components: ' || count(*) || '. Alphabetical by name.' || chr(10)) AS line FROM k
+UNION ALL SELECT 1, lower(name || ' ' || version), block_ord, sha256('  ' || name || ' ' || version) FROM k
+UNION ALL SELECT 2, '', block_ord, sha256('{_RULE}' || chr(10) || 'COMPONENT:    ' || name || ' ' || version || chr(13) || chr(10) || 'LICENSE: x' || chr(10) || text) FROM k JOIN documents ON doc_id = block_ord""")
+def subset_notices(spark, d):
+    picked = notices.select_blocks(blocks(spark, d), picked_pairs(spark, d))
+    return subset_notices_lines(picked, "Subset").select("part", "at", "pos", F.sha2("line", 256).alias("line"))

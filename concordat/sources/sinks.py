@@ -38,7 +38,10 @@ def write_components(components: DataFrame, path: str) -> None:
 
 
 def rebuild_documents(components: DataFrame, documents: DataFrame, tools: Column | None = None) -> DataFrame:
-    """(sbom_id, value): documents as JSON, components in their order, metadata kept or stamped."""
+    """(sbom_id, value): documents as JSON, components in their order, metadata kept or stamped.
+
+    A document above the size limit gets a null value; its component rows are the result then.
+    """
     rows = components.select(
         "sbom_id", "ord", "component", F.length(F.to_json("component")).alias("n_chars")
     )
@@ -51,7 +54,7 @@ def rebuild_documents(components: DataFrame, documents: DataFrame, tools: Column
     )
     meta = F.col("metadata") if tools is None else F.struct(tools.alias("tools"))
     heads = documents.select("sbom_id", F.to_json(F.struct("bomFormat", "specVersion", meta.alias("metadata"))).alias("head"))
-    return heads.join(lists, "sbom_id").select(
+    return heads.join(lists, "sbom_id", "left").select(
         "sbom_id",
         F.concat(F.regexp_replace("head", r"\}$", ""), F.when(F.col("head") != "{}", ",").otherwise(""),
                  F.lit('"components":['), F.col("list"), F.lit("]}")).alias("value"),
@@ -82,8 +85,11 @@ def write_notices(flat: DataFrame, path: str, profile: Profile = DEFAULT_PROFILE
     write_sorted_lines(head.unionByName(notices_blocks(flat, profile)), ["sbom_id", "ord"], path, "block")
 
 
-def write_subset_notices(selected: DataFrame, path: str, title: str) -> None:
-    """Contents listing sorted ignoring case, then the blocks (`selected(block_ord, header, value)`)."""
+def subset_notices_lines(selected: DataFrame, title: str) -> DataFrame:
+    """(part, at, pos, line): contents listing sorted ignoring case, then the blocks.
+
+    `selected(block_ord, header, value)`; sort by the first three columns when writing.
+    """
     total = selected.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit(0).alias("part"), F.lit("").alias("at"), F.lit(0).cast("bigint").alias("pos"),
         F.concat(F.lit(f"{title}\n\n{C.BLOCK_RULE}\nTABLE OF CONTENTS\n{'─' * 75}\nTotal components: "),
@@ -97,7 +103,11 @@ def write_subset_notices(selected: DataFrame, path: str, title: str) -> None:
         F.lit(2).alias("part"), F.lit("").alias("at"), F.col("block_ord").alias("pos"),
         F.concat(F.lit(C.BLOCK_RULE), F.col("value")).alias("line"),
     )
-    write_sorted_lines(total.unionByName(listing).unionByName(blocks), ["part", "at", "pos"], path)
+    return total.unionByName(listing).unionByName(blocks)
+
+
+def write_subset_notices(selected: DataFrame, path: str, title: str) -> None:
+    write_sorted_lines(subset_notices_lines(selected, title), ["part", "at", "pos"], path)
 
 
 def enrichment_report(results: DataFrame) -> DataFrame:
