@@ -334,11 +334,11 @@ def matched_cte(dirs: str = "dirs", comp: str = "comp", name: str = "matched") -
       LEFT JOIN {name}_i b ON b.prefix = d.prefix AND b.nk = lower(d.top))"""
 
 
-def curation(spark: SparkSession, folder: str) -> DataFrame:
+def curation(spark: SparkSession, folder: str, flat: DataFrame | None = None) -> DataFrame:
     """(key, rationale): components without a repository homepage are curated, one entry per key."""
     from concordat.sources.inventory import flatten
 
-    flat = flatten(components(spark, folder))
+    flat = flatten(components(spark, folder)) if flat is None else flat
     keyed = flat.where(F.startswith("homepage", F.lit("https://example.org/"))).select(
         F.concat("name", F.lit("@"), "version").alias("key"), "ord"
     )

@@ -13,14 +13,14 @@ from concordat import constants as C
 from concordat.bindings import inputs as I
 from concordat.bindings.expressions import flat
 from concordat.bindings.registry import query, table
-from concordat.bindings.scanning import classified, declared_files
+from concordat.bindings.scanning import _CLASSED, classified, declared_files
 from concordat.bindings.texts import plausible_sql
 from concordat.functions import components as P
 from concordat.functions import paths
 from concordat.functions import text as T
 from concordat.operators import scans
 from concordat.plans import enrichment, scan_diff
-from concordat.session import ensure_checkpoint_dir
+from concordat.session import ensure_checkpoint_dir, pin
 from concordat.sources import sinks
 from concordat.streaming import verdicts as V
 
@@ -29,12 +29,12 @@ def member_text():
     return F.concat(I.pick(I.PHRASES, F.col("doc_id")), F.lit("\n"), F.col("text"))
 
 
-def packed_archives(spark, d):
+def packed_archives(spark, d, planned):
     """(key, content): one gzip tar per crate part that has a document of the same number.
 
     The archive holds a licence file, a notice on some, and a source file with a header.
     """
-    crates = enrichment.plan_sources(flat(spark, d), no_tools(spark)).where("plan.kind = 'tarball'")
+    crates = planned.where("plan.kind = 'tarball'")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), member_text().alias("body"), "source")
     rows = crates.select("ord", T.content_key(F.col("plan.url")).alias("key"), F.col("plan.path_prefix").alias("prefix")).join(docs, "ord")
     one = rows.groupBy("key", "prefix").agg(F.min_by(F.struct("ord", "body", "source"), "ord").alias("r"))
@@ -59,12 +59,11 @@ def packed_archives(spark, d):
     return one.select("key", "prefix", "r.*").mapInPandas(pack, "key string, content binary")
 
 
-def probe_files(spark, d):
+def probe_files(spark, d, planned):
     """(key, content): LICENSE files landed for git-hosted and hub parts with a document of the same number."""
-    planned = enrichment.plan_sources(flat(spark, d), no_tools(spark)).where(
-        F.col("plan.kind").isin(*enrichment.PROBE_KINDS))
+    hosted = planned.where(F.col("plan.kind").isin(*enrichment.PROBE_KINDS))
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("ord"), member_text().alias("body"))
-    rows = planned.select("ord", T.content_key(F.concat("plan.base_url", F.lit("/LICENSE"))).alias("key")).join(docs, "ord")
+    rows = hosted.select("ord", T.content_key(F.concat("plan.base_url", F.lit("/LICENSE"))).alias("key")).join(docs, "ord")
     return rows.groupBy("key").agg(F.min_by("body", "ord").alias("body")).select("key", F.encode("body", "UTF-8").alias("content"))
 
 
@@ -104,7 +103,7 @@ land AS (SELECT src, spot, min(ord) AS doc_id FROM (SELECT pl.*, CASE src WHEN '
 lan AS (SELECT spot, min(doc_id) AS doc_id FROM land GROUP BY 1),
 f AS (SELECT pl.ord, l.doc_id, b.body, pl.src = 'tar' AND l.doc_id % 4 = 0 AS has_notice FROM pl JOIN lan l ON l.spot = pl.spot JOIN body b ON b.doc_id = l.doc_id WHERE pl.src IN ('tar', 'probe')),
 g AS (SELECT *, {plausible_sql('body')} AS ok1, has_notice AND {plausible_sql("'notice: ' || body")} AS ok2, lower(left(body, 2000)) AS h, lower(left('notice: ' || body, 2000)) AS h2 FROM f),
-m AS (SELECT pl.*, g.doc_id, g.ok1, g.ok2,
+m AS (SELECT pl.*, g.doc_id, g.ok1, g.ok2, strlen(g.body) AS n_bytes,
     (SELECT text FROM canon WHERE id = CASE WHEN kind = 'expression' THEN 'MIT' WHEN kind = 'id' THEN value END) AS ctext,
     (SELECT text FROM canon WHERE kind = 'expression' AND id = 'ISC') AS ctext2,
     CASE WHEN ok1 AND contains(h, p1.phrase) OR ok2 AND contains(h2, p1.phrase) THEN 1 ELSE 0 END AS hit
@@ -117,20 +116,29 @@ SELECT ord, CASE WHEN src = 'skip' THEN 'skipped' WHEN has_file THEN 'enriched'
     WHEN src = 'none' THEN 'unresolvable-source' WHEN src = 'meta' OR src = 'tar' AND doc_id IS NULL THEN 'download-error' ELSE 'unresolvable-license' END AS status,
   CASE WHEN src = 'skip' THEN '' WHEN has_file THEN
       CASE WHEN kind = 'expression' AND (dual_hit OR ok2) THEN 'concatenated-dual' WHEN kind = 'id' AND hit = 1 THEN 'matched' ELSE 'longest-file' END
-    WHEN kind IN ('id', 'expression') AND coalesce(ctext, ctext2) IS NOT NULL THEN 'spdx-canonical-fallback' ELSE '' END AS source_tag
-FROM x"""
+    WHEN kind IN ('id', 'expression') AND coalesce(ctext, ctext2) IS NOT NULL THEN 'spdx-canonical-fallback' ELSE '' END AS source_tag,
+  CASE WHEN src = 'skip' THEN 'proprietary license ''' || value || '''' WHEN has_file THEN ''
+    WHEN src = 'none' AND kind IN ('id', 'expression') AND coalesce(ctext, ctext2) IS NOT NULL THEN 'no source dispatch (' || why || '); used SPDX canonical'
+    WHEN src = 'none' THEN why
+    WHEN src = 'meta' OR src = 'tar' AND doc_id IS NULL THEN 'not landed' || CASE WHEN kind IN ('id', 'expression') AND coalesce(ctext, ctext2) IS NOT NULL THEN ' — fell back to SPDX canonical' ELSE '' END
+    WHEN kind IN ('id', 'expression') AND coalesce(ctext, ctext2) IS NOT NULL THEN ''
+    WHEN doc_id IS NOT NULL AND (src = 'tar' OR n_bytes >= 50) THEN 'suspicious-license-text' ELSE 'unresolvable' END AS reason
+FROM (SELECT x.*, CASE category WHEN 'AI Models' THEN 'HF URL not parseable: ' || homepage WHEN 'ComfyUI Nodes' THEN 'GitHub URL not parseable: ' || homepage
+    WHEN 'System Tools' THEN 'No curation entry for ' || name || '@' || version ELSE 'Unknown category: ' || category END AS why FROM x)"""
 
 
 def enriched(spark, d):
-    landed = packed_archives(spark, d).unionByName(probe_files(spark, d))
+    base = pin(flat(spark, d))
+    planned = pin(enrichment.plan_sources(base, no_tools(spark)).select("ord", "plan"))
+    landed = pin(packed_archives(spark, d, planned).unionByName(probe_files(spark, d, planned)))
     return enrichment.enrich(
-        flat(spark, d), no_tools(spark), I.curation(spark, d), landed, spdx_texts(spark, d))
+        base, no_tools(spark), I.curation(spark, d, base), landed, pin(spdx_texts(spark, d)))
 
 
 @query("enrichment", f"WITH {_ENRICH}")
 def enrichment_query(spark, d):
     """Status and body source per component after the whole enrichment job."""
-    return enriched(spark, d).results.select("ord", "status", "source_tag")
+    return enriched(spark, d).results.select("ord", "status", "source_tag", "reason")
 
 
 @query("enriched_components")
@@ -141,12 +149,39 @@ def enriched_components(spark, d):
     return e.components.select("ord", c["name"].alias("name"), F.length(P.embedded_text(c)).alias("n_chars"), c["copyright"].alias("copyright"))
 
 
-@query("enrichment_report")
+_MARK = "SELECT ord, CASE WHEN src = 'skip' THEN 'skipped'"
+_HEAD, _TAIL = _ENRICH.split(_MARK)
+_RESULTS = f"{_HEAD.rstrip()}, r0 AS ({_MARK}{_TAIL}), r AS (SELECT r0.*, comp.name, comp.version, comp.category FROM r0 JOIN comp ON comp.ord = r0.ord)"
+
+
+@query("enrichment_report", f"""WITH {_RESULTS}
+SELECT 1 AS section, status AS at, '  ' || status || ': ' || count(*) AS line FROM r GROUP BY status
+UNION ALL SELECT 2, place, '  ' || what || ': ' || n FROM (
+  SELECT unnest(['0', '1', '2', '3', '4']) AS place, unnest(['total_in_sbom', 'processed', 'skipped', 'enriched', 'failed']) AS what,
+    unnest([count(*), count(*), count(*) FILTER (status = 'skipped'), count(*) FILTER (status = 'enriched'), count(*) FILTER (status NOT IN ('skipped', 'enriched'))]) AS n FROM r)
+UNION ALL SELECT 3, 'parts|' || lpad(CAST(ord AS VARCHAR), 19, '0'), '  [' || status || '] ' || name || ' ' || version || ' (' || category || '): ' || reason FROM r WHERE status NOT IN ('skipped', 'enriched')
+UNION ALL SELECT 4, source_tag, '  ' || source_tag || ': ' || count(*) FROM r WHERE status = 'enriched' GROUP BY source_tag""")
 def enrichment_report(spark, d):
     return sinks.enrichment_report(enriched(spark, d).results).orderBy("section", "at")
 
 
-@query("scan_report")
+_SCAN_REPORT = f"""WITH {_CLASSED},
+n(verdict) AS (VALUES ('ACK'), ('MISMATCH'), ('NO-DETECTION'), ('CURATED'), ('UNACCOUNTED')),
+quiet AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'NO-DETECTION'),
+loose AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'UNACCOUNTED' AND NOT (top LIKE '%.dist-info' OR top LIKE '~%')),
+acks AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'ACK')
+SELECT 1 AS section, verdict AS at, '- ' || verdict || ': ' || count(outcome) AS line FROM n LEFT JOIN cl ON outcome = verdict GROUP BY verdict
+UNION ALL SELECT 2, name || chr(31) || top, '- `' || name || '` `' || version || '`: declared `' || declared || '`, detected `' || detected || '`' || chr(10) || '  - ' || rationale FROM cl WHERE outcome = 'CURATED'
+UNION ALL SELECT 3, bucket || chr(31) || name || chr(31) || top, '| ' || bucket || ' | `' || name || '` | `' || version || '` | `' || declared || '` | `' || detected || '` | ' ||
+  CASE WHEN license_file_seen THEN '✓' ELSE '—' END || ' | ' || n_files || ' |' FROM cl WHERE outcome = 'MISMATCH'
+UNION ALL SELECT 4, '', '- `' || name || '` `' || version || '` (declared `' || declared || '`, ' || n_files || ' files, ' || bucket || ')' FROM quiet WHERE rn <= 30
+UNION ALL SELECT 4, '', '... and ' || (count(*) - 30) || ' more' FROM quiet HAVING count(*) > 30
+UNION ALL SELECT 5, '', '- `' || top || '` (' || bucket || ', ' || n_files || ' files, detected `' || coalesce(nullif(detected, ''), 'none') || '`)' FROM loose WHERE rn <= 30
+UNION ALL SELECT 5, '', '... and ' || (count(*) - 30) || ' more' FROM loose HAVING count(*) > 30
+UNION ALL SELECT 6, '', '- `' || name || '` `' || version || '`: declared `' || declared || '` ✓' FROM acks WHERE rn <= 25"""
+
+
+@query("scan_report", _SCAN_REPORT)
 def scan_report(spark, d):
     return scan_diff.report(classified(spark, d)).orderBy("section", "at")
 

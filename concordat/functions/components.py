@@ -86,84 +86,51 @@ def component_key(name: Column, version: Column) -> Column:
     return F.concat(F.coalesce(name, F.lit("")), F.lit("@"), F.coalesce(version, F.lit("")))
 
 
-_PLAN_FIELDS = (
-    "kind", "format", "url", "metadata_url", "path_prefix", "owner", "repo",
-    "revision", "base_url", "homepage_fallback", "reason",
-)
-
-
-def _plan(**fields: Column | str) -> Column:
-    none = F.lit(None).cast("string")
-    cols = []
-    for f in _PLAN_FIELDS:
-        v = fields.get(f, none)
-        cols.append((F.lit(v) if isinstance(v, str) else v).cast("string").alias(f))
-    return F.struct(*cols)
-
-
 def source_plan(
     category: Column, name: Column, version: Column, homepage: Column, tool: Column
 ) -> Column:
     """Where a component's source would come from, as one struct.
 
-    `tool` is the matched row of the system-tool map (null struct when none).
+    `tool` is the matched row of the system-tool map (null struct when none). Every field
+    lists only the categories that set it, so reading one field costs one short CASE.
     """
-    qn, qv = urls.quote_path(name), urls.quote_path(version)
+    rust, npm, pypi = category == C.CAT_RUST, category == C.CAT_NPM, category == C.CAT_PYTHON
+    system = category == C.CAT_SYSTEM
     home = F.coalesce(homepage, F.lit(""))
-    ref_default = F.coalesce(version, F.lit("main"))
-
-    crate = _plan(
-        kind="tarball", format="tar.gz",
-        url=F.concat(F.lit("https://crates.io/api/v1/crates/"), qn, F.lit("/"), qv, F.lit("/download")),
-        path_prefix=F.concat(name, F.lit("-"), version, F.lit("/")),
-    )
-    scoped = F.when(F.startswith(name, F.lit("@")), F.replace(name, F.lit("/"), F.lit("%2F"))).otherwise(name)
-    npm = _plan(
-        kind="npm-via-metadata", format="tar.gz",
-        metadata_url=F.concat(F.lit("https://registry.npmjs.org/"), scoped, F.lit("/"), qv),
-        path_prefix="package/",
-    )
-    pypi = _plan(
-        kind="pypi-via-metadata", format="auto",
-        metadata_url=F.concat(F.lit("https://pypi.org/pypi/"), qn, F.lit("/"), qv, F.lit("/json")),
-        homepage_fallback=home,
-    )
+    version_or_main = F.coalesce(version, F.lit("main"))
     h_owner, h_repo = urls.hub_parts(home)
-    hub = F.when(
-        h_owner.isNotNull(),
-        _plan(
-            kind="hf-probe", owner=h_owner, repo=h_repo, revision=ref_default,
-            base_url=F.concat(F.lit("https://huggingface.co/"), h_owner, F.lit("/"), h_repo,
-                              F.lit("/resolve/"), ref_default),
-        ),
-    ).otherwise(_plan(kind="none", reason=F.concat(F.lit("HF URL not parseable: "), home)))
     g_owner, g_repo, g_ref = urls.git_parts(home)
-    g_rev = F.coalesce(g_ref, ref_default)
-    git = F.when(
-        g_owner.isNotNull(),
-        _plan(
-            kind="gh-raw-probe", owner=g_owner, repo=g_repo, revision=g_rev,
-            base_url=F.concat(F.lit("https://raw.githubusercontent.com/"), g_owner, F.lit("/"), g_repo,
-                              F.lit("/"), g_rev),
-        ),
-    ).otherwise(_plan(kind="none", reason=F.concat(F.lit("GitHub URL not parseable: "), home)))
-    system = F.when(
-        tool.isNotNull(),
-        _plan(kind="system-curated", url=tool["source_tarball"],
-              path_prefix=F.coalesce(tool["tarball_root_prefix"], F.lit(""))),
-    ).otherwise(
-        _plan(kind="none", reason=F.concat(F.lit("No curation entry for "), component_key(name, version)))
-    )
-    unknown = _plan(kind="none", reason=F.concat(F.lit("Unknown category: "), F.coalesce(category, F.lit(""))))
-    return (
-        F.when(category == C.CAT_RUST, crate)
-        .when(category == C.CAT_NPM, npm)
-        .when(category == C.CAT_PYTHON, pypi)
-        .when(category == C.CAT_MODELS, hub)
-        .when(category.isin(*C.CAT_GIT_HOSTED), git)
-        .when(category == C.CAT_SYSTEM, system)
-        .otherwise(unknown)
-    )
+    hub, git = category == C.CAT_MODELS, category.isin(*C.CAT_GIT_HOSTED)
+    hub_ok, git_ok, tool_ok = hub & h_owner.isNotNull(), git & g_owner.isNotNull(), system & tool.isNotNull()
+    g_rev = F.coalesce(g_ref, version_or_main)
+    scoped = F.when(F.startswith(name, F.lit("@")), F.replace(name, F.lit("/"), F.lit("%2F"))).otherwise(name)
+    quoted_version = urls.quote_path(version)
+
+    def path(*parts: Column | str) -> Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    fields = {
+        "kind": F.when(rust, "tarball").when(npm, "npm-via-metadata").when(pypi, "pypi-via-metadata")
+        .when(hub_ok, "hf-probe").when(git_ok, "gh-raw-probe").when(tool_ok, "system-curated").otherwise("none"),
+        "format": F.when(rust | npm, "tar.gz").when(pypi, "auto"),
+        "url": F.when(rust, path("https://crates.io/api/v1/crates/", urls.quote_path(name), "/", quoted_version, "/download"))
+        .when(tool_ok, tool["source_tarball"]),
+        "metadata_url": F.when(npm, path("https://registry.npmjs.org/", scoped, "/", quoted_version))
+        .when(pypi, path("https://pypi.org/pypi/", urls.quote_path(name), "/", quoted_version, "/json")),
+        "path_prefix": F.when(rust, path(name, "-", version, "/")).when(npm, "package/")
+        .when(tool_ok, F.coalesce(tool["tarball_root_prefix"], F.lit(""))),
+        "owner": F.when(hub_ok, h_owner).when(git_ok, g_owner),
+        "repo": F.when(hub_ok, h_repo).when(git_ok, g_repo),
+        "revision": F.when(hub_ok, version_or_main).when(git_ok, g_rev),
+        "base_url": F.when(hub_ok, path("https://huggingface.co/", h_owner, "/", h_repo, "/resolve/", version_or_main))
+        .when(git_ok, path("https://raw.githubusercontent.com/", g_owner, "/", g_repo, "/", g_rev)),
+        "homepage_fallback": F.when(pypi, home),
+        "reason": F.when(hub & ~hub_ok, path("HF URL not parseable: ", home))
+        .when(git & ~git_ok, path("GitHub URL not parseable: ", home))
+        .when(system & ~tool_ok, path("No curation entry for ", component_key(name, version)))
+        .when(~(rust | npm | pypi | hub | git | system), path("Unknown category: ", category)),
+    }
+    return F.struct(*[c.cast("string").alias(f) for f, c in fields.items()])
 
 
 def probe_urls(base_url: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from concordat import constants as C
 from concordat.functions.text import any_of
 
-PACKAGE_ROOT_MAX_SEGMENTS = 3
+PACKAGE_ROOT_MAX_SLASHES = 2
 
 
 def top_dir(path: Column) -> Column:
@@ -26,7 +26,8 @@ def is_licence_file(path: Column) -> Column:
 def is_root_licence(path: Column) -> Column:
     """Licence base name at most three segments deep, so `pkg/sub/LICENSE` still counts."""
     known = F.lower(base_name(path)).isin(*C.ROOT_LICENCE_NAMES)
-    return known & (F.size(F.split(path, "/")) <= PACKAGE_ROOT_MAX_SEGMENTS)
+    slashes = F.length(path) - F.length(F.replace(path, F.lit("/"), F.lit("")))
+    return known & (slashes <= PACKAGE_ROOT_MAX_SLASHES)
 
 
 def is_source_file(path: Column) -> Column:

@@ -35,7 +35,7 @@ def plan_sources(flat: DataFrame, tools: DataFrame) -> DataFrame:
     """Adds `component_id`, `plan` and `tool` to flattened components."""
     return with_tool(flat, tools).withColumn(
         "plan",
-        P.source_plan(F.col("category"), F.col("name"), F.col("version"), F.col("homepage"), F.col("tool")),
+        P.source_plan(F.coalesce("category", F.lit("")), F.col("name"), F.col("version"), F.col("homepage"), F.col("tool")),
     ).withColumn("component_id", F.struct("sbom_id", "ord"))
 
 
