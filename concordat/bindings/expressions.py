@@ -181,10 +181,11 @@ def first_wins_query(spark, d):
 
 
 @query("declared_by_name", f"""WITH {I.components_cte()},
-f AS (SELECT name, first_license FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ord) AS rn FROM comp) WHERE rn = 1)
-SELECT comp.ord, f.first_license AS declared FROM comp JOIN f ON comp.name = f.name""")
+f AS (SELECT name, CASE declared WHEN 'Custom AND Zlib' THEN 'Zlib' WHEN 'LicenseRef-Proprietary' THEN NULL ELSE first_license END AS declared
+  FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY ord) AS rn FROM comp) WHERE rn = 1)
+SELECT comp.ord, f.declared FROM comp JOIN f ON comp.name = f.name""")
 def declared_by_name(spark, d):
-    c = flat(spark, d).select("name", "ord", F.col("first_license").alias("declared"))
+    c = flat(spark, d).select("name", "ord", F.col("scan_license").alias("declared"))
     return c.select("name", "ord").join(matching.declared_by_name(c), "name").select("ord", "declared")
 
 

@@ -315,20 +315,28 @@ WITH h AS (SELECT source AS component_id, {_HEADER} AS header FROM documents)
 SELECT component_id, lower(trim(regexp_replace(regexp_extract(header, 'SPDX-License-Identifier:[ \\t]*([^\\r\\n]+)', 1), '(\\*/|-->|#\\}}).*$', ''))) AS spdx_id,
   count(*) AS n_files FROM h WHERE contains(header, 'SPDX-License-Identifier:') GROUP BY ALL""")
 def header_evidence(spark, d):
+    return copyrights.header_evidence(headers(spark, d))
+
+
+def headers(spark, d):
+    """(component_id, doc_id, header): first lines of documents that start with a source-file marker."""
     k = F.col("doc_id")
     head = I.pick(("// SPDX-License-Identifier: MIT", "/* SPDX-License-Identifier: Apache-2.0 */", "# nothing", "x"), k)
     body = F.encode(F.concat(head, F.lit("\n"), F.col("text")), "UTF-8")
-    headers = table(spark, d, "documents").select(
-        F.col("source").alias("component_id"), header_text(body, C.HEADER_MAX_LINES).alias("header"))
-    return copyrights.header_evidence(headers)
+    return table(spark, d, "documents").select(
+        F.col("source").alias("component_id"), k, header_text(body, C.HEADER_MAX_LINES).alias("header"))
+
+
+@query("header_totals", f"""
+WITH h AS (SELECT source AS component_id, doc_id % 4 AS marker, {_HEADER} AS header FROM documents)
+SELECT component_id, count(*) AS n_files, count(DISTINCT marker) AS n_ids FROM h WHERE contains(header, 'SPDX-License-Identifier:') GROUP BY ALL""")
+def header_totals(spark, d):
+    return copyrights.header_totals(headers(spark, d))
 
 
 @query("source_headers", f"SELECT doc_id, sha256({_HEADER}) AS header FROM documents")
 def source_headers(spark, d):
-    k = F.col("doc_id")
-    head = I.pick(("// SPDX-License-Identifier: MIT", "/* SPDX-License-Identifier: Apache-2.0 */", "# nothing", "x"), k)
-    body = F.encode(F.concat(head, F.lit("\n"), F.col("text")), "UTF-8")
-    return table(spark, d, "documents").select("doc_id", F.sha2(header_text(body, C.HEADER_MAX_LINES), 256).alias("header"))
+    return headers(spark, d).select("doc_id", F.sha2("header", 256).alias("header"))
 
 
 # --- notices -----------------------------------------------------------------

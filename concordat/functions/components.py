@@ -71,6 +71,16 @@ def first_label(licenses: Column) -> Column:
     return F.get(licence_labels(licenses), F.lit(0))
 
 
+def scan_label(licenses: Column) -> Column:
+    """First id or expression; entries that only carry a free-text name are passed over."""
+    blank = F.lit("")
+    usable = F.filter(
+        F.transform(licenses, lambda e: F.coalesce(F.nullif(e["license"]["id"], blank), F.nullif(e["expression"], blank))),
+        lambda x: x.isNotNull(),
+    )
+    return F.get(usable, F.lit(0))
+
+
 def purl_prefix(purl: Column) -> Column:
     out = F.lit(None).cast("string")
     for prefix in reversed(C.PURL_PREFIXES):

@@ -95,10 +95,12 @@ def assemble(segs: DataFrame, max_chars: int = MAX_BODY_CHARS) -> DataFrame:
     return sizes.join(small, "component_id", "left")
 
 
-def plausible_files(files: DataFrame) -> DataFrame:
-    """Decode landed licence files and keep those that read like licence text."""
-    return (
-        files.withColumn("text", T.decode_utf8(F.col("content")))
-        .drop("content")
-        .where(T.is_plausible_licence(F.col("text")))
-    )
+def implausible_bodies(components: DataFrame) -> DataFrame:
+    """Components whose embedded licence text does not read like one; empty before a release."""
+    def entry_text(entry: Column) -> Column:
+        body = entry["license"]["text"]
+        return F.when(body["encoding"] == "base64", T.decode_text(body["content"]))
+
+    texts = F.filter(F.transform("component.licenses", entry_text), lambda t: t.isNotNull())
+    first = components.select("sbom_id", "ord", F.col("component.name").alias("name"), F.get(texts, F.lit(0)).alias("text"))
+    return first.where(F.col("text").isNotNull() & ~T.is_plausible_licence(F.col("text"))).drop("text")

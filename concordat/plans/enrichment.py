@@ -16,6 +16,7 @@ from concordat.operators.matching import canonical_fallback
 from concordat.session import pin
 from concordat.settings import DEFAULT_PROFILE, Profile
 from concordat.sources import archives
+from concordat.sources.sinks import redact_components
 
 ARCHIVE_KINDS = ("tarball", "npm-via-metadata", "pypi-via-metadata", "system-curated")
 PROBE_KINDS = ("hf-probe", "gh-raw-probe")
@@ -25,7 +26,7 @@ PROBE_KINDS = ("hf-probe", "gh-raw-probe")
 class Enriched:
     """Outputs of one run."""
 
-    components: DataFrame  # (sbom_id, ord, component)
+    components: DataFrame  # (sbom_id, ord, component), every string redacted
     results: DataFrame  # flat result record per component
     segments: DataFrame  # licence body pieces per component
     copyrights: DataFrame  # one row per component and statement
@@ -246,7 +247,8 @@ def enrich(
         "status", "reason", "drift", "source_tag",
     )
     by_id = lambda df: df.select("component_id.*", *[c for c in df.columns if c != "component_id"])
-    return Enriched(done.select("sbom_id", "ord", "component"), results, by_id(segs), by_id(harvested))
+    components = redact_components(done.select("sbom_id", "ord", "component"), profile)
+    return Enriched(components, results, by_id(segs), by_id(harvested))
 
 
 def _failures(arch: DataFrame, extracted: DataFrame, landed: DataFrame, fetch_errors: DataFrame) -> DataFrame:

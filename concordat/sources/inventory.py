@@ -47,6 +47,7 @@ def flatten(components: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFr
         P.declared_label(c["licenses"]).alias("declared"),
         P.audit_label(c["licenses"]).alias("recorded"),
         P.first_label(c["licenses"]).alias("first_license"),
+        P.scan_label(c["licenses"]).alias("scan_license"),
         P.licence_info(c["licenses"]).alias("info"),
     )
 

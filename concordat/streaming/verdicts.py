@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from concordat import constants as C
 from concordat import schemas as S
 from concordat.session import broadcast_if_small
+from concordat.settings import DEFAULT_PROFILE, Profile
 from concordat.sources.releases import explode_verdicts
 
 LATENESS = "2 days"
@@ -36,6 +37,11 @@ def read_verdict_stream(spark: SparkSession, folder: str, max_files: int = 1000)
     return explode_verdicts(docs)
 
 
+def vendor_table(spark: SparkSession, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
+    """(engine): the vendors whose flags raise an alert."""
+    return spark.createDataFrame([(v,) for v in profile.major_vendors], "engine string")
+
+
 def drop_repeats(verdicts: DataFrame, lateness: str = LATENESS) -> DataFrame:
     return verdicts.withWatermark("fetched_at", lateness).dropDuplicatesWithinWatermark(
         ["sha256", "engine", "fetched_at"]
@@ -66,7 +72,8 @@ class _FlagTracker(StatefulProcessor):
         held = self.last.get() if self.last.exists() else None
         turns = []
         # Chunks of one batch arrive in no order and state must see time order, so the narrow
-        # columns of this key's new rows are sorted here; older history is only the one state row.
+        # columns of this key's new rows are sorted here. A batch is bounded by the source's
+        # maxFilesPerTrigger; older history is only the one state row.
         new = pd.concat([c[["fetched_at", "category"]] for c in rows], ignore_index=True)
         for at, category in new.sort_values("fetched_at", kind="stable").itertuples(index=False):
             if held is not None and at < pd.Timestamp(held[0]):
