@@ -9,14 +9,12 @@ import uuid
 import pandas as pd
 from pyspark.sql import functions as F
 
-from concordat import constants as C
 from concordat.bindings import inputs as I
 from concordat.bindings.expressions import flat
 from concordat.bindings.registry import query, table
 from concordat.bindings.scanning import _CLASSED, classified, declared_files
 from concordat.bindings.texts import plausible_sql
 from concordat.functions import components as P
-from concordat.functions import paths
 from concordat.functions import text as T
 from concordat.operators import scans
 from concordat.plans import enrichment, scan_diff

@@ -270,7 +270,7 @@ def canonical_fallback(spark, d):
         F.array(F.concat(lic(k * 3 % 1117), F.lit(" WITH x")), lic(F.col("o_custkey") % 991), lic(k)).alias("all_ids"),
     )
     return matching.canonical_fallback(wanted, texts).select(
-        "component_id", "fallback_id", F.length("text").alias("n_chars"))
+        "component_id", "fallback_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query("first_n_per_group", f"""

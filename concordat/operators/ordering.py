@@ -24,7 +24,7 @@ def longest(df: DataFrame, keys: Sequence[str], text: str, order: str) -> DataFr
 
     Only lengths enter the shuffle; join the text back on (keys, order).
     """
-    sized = df.select(*keys, order, F.length(text).alias("n_chars"))
+    sized = df.select(*keys, order, F.length(text).cast("bigint").alias("n_chars"))
     return sized.groupBy(*keys).agg(
         F.min_by(order, F.struct(-F.col("n_chars"), F.col(order))).alias(order),
         F.max("n_chars").alias("n_chars"),
