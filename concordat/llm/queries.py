@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from concordat.llm import mixing
+from concordat.llm import mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +59,17 @@ def pipeline(spark, folder):
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+# The twin has the base columns; kept is held against a brute-force version in the tests.
+@query("op8_line_first")
+def op8_line_first(spark, folder):
+    found = quality.assess(table(spark, folder, "documents").select("doc_id", "text"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "n_failed_lines")
+    return found.select("doc_id", *[F.col(f"_{n}").alias(n) for n in names])
+
+
+@query("op2_simhash_pivots")
+def op2_simhash_pivots(spark, folder):
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
