@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import mixing, quality, simhash
+from concordat.llm import mixing, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -73,3 +73,11 @@ def op8_line_first(spark, folder):
 def op2_simhash_pivots(spark, folder):
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op4_secret_owners")
+def op4_secret_owners(spark, folder):
+    found = secrets.scan(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_live", "n_example",
+    )
