@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import mixing, quality, secrets, simhash
+from concordat.llm import mixing, quality, secrets, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,14 @@ def op4_secret_owners(spark, folder):
     return found.select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_live", "n_example",
     )
+
+
+def tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op7_heap_merge_counts")
+def op7_heap_merge_counts(spark, folder):
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer())
