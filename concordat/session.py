@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +44,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="concordat-ckpt-"))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that they need not have it on their path."""
+    sc = spark.sparkContext
+    if getattr(sc, "_concordat_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="concordat-package-"), "concordat-package.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(target)
+    sc._concordat_shipped = True
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write rows that several branches read to a table in the checkpoint folder and read it back.
 
