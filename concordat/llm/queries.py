@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import mixing, quality, secrets, simhash, token_counts
+from concordat.llm import idfiles, mixing, quality, secrets, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,3 +92,8 @@ def tokenizer() -> str:
 @query("op7_heap_merge_counts")
 def op7_heap_merge_counts(spark, folder):
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer())
+
+
+@query("op9_mixing_coder")
+def op9_mixing_coder(spark, folder):
+    return idfiles.read_ids(idfiles.write_ids(table(spark, folder, "documents"), tokenizer()))

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.llm.bpe import CACHE, Pieces, distinct_words, per_text
+from concordat.session import ship_package
 
 LIMIT = 2048
 
@@ -82,22 +84,20 @@ class Merger:
 _mergers: dict[str, Merger] = {}
 
 
-def _counter(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = _mergers.get(path) or _mergers.setdefault(path, Merger(path))
-        for batch in batches:
-            texts = batch.column("text")
-            words, index, bounds = distinct_words(texts)
-            each = np.fromiter(map(merger.count, words), np.int64, len(words))
-            tokens = per_text(each[index], bounds) if len(words) else np.zeros(len(texts), np.int64)
-            size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
-            yield pa.record_batch([batch.column("doc_id"), size, pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
-
-    return run
+def _count(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    merger = _mergers.get(path) or _mergers.setdefault(path, Merger(path))
+    for batch in batches:
+        texts = batch.column("text")
+        words, index, bounds = distinct_words(texts)
+        each = np.fromiter(map(merger.count, words), np.int64, len(words))
+        tokens = per_text(each[index], bounds) if len(words) else np.zeros(len(texts), np.int64)
+        size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
+        yield pa.record_batch([batch.column("doc_id"), size, pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every row; tokenizer is the path of a json file on every machine."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    counted = rows.mapInArrow(_counter(tokenizer), "doc_id long, n_bytes long, n_tokens long")
+    counted = rows.mapInArrow(partial(_count, tokenizer), "doc_id long, n_bytes long, n_tokens long")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)
