@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import idfiles, mixing, quality, secrets, simhash, token_counts
+from concordat.llm import decontaminate, idfiles, mixing, quality, secrets, simhash, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,3 +97,9 @@ def op7_heap_merge_counts(spark, folder):
 @query("op9_mixing_coder")
 def op9_mixing_coder(spark, folder):
     return idfiles.read_ids(idfiles.write_ids(table(spark, folder, "documents"), tokenizer()))
+
+
+@query("op10_simhash_windows")
+def op10_simhash_windows(spark, folder):
+    found = decontaminate.found_in(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "window_start")

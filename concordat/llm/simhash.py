@@ -71,19 +71,28 @@ def shingle_hashes(text: Column, n: int) -> Column:
     )[0]
 
 
+def lane_sums(h: Column | str) -> list[Column]:
+    """Aggregates _c0 to _c31: how many hashes have bit k set, and in the upper half bit k + 32."""
+    two = F.lit((1 << 32) | 1)
+    return [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(two)).alias(f"_c{k}") for k in range(32)]
+
+
+def majority(n: Column | str) -> Column:
+    """The fingerprint of n hashes from their lane sums: bits set in over half of them."""
+    fp, n = F.lit(0).cast("long"), F.col(n) if isinstance(n, str) else n
+    for k in range(32):
+        low, high = F.col(f"_c{k}").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(f"_c{k}", 32)
+        fp = fp.bitwiseOR(F.when(low * 2 > n, F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
+        fp = fp.bitwiseOR(F.when(high * 2 > n, F.lit(_signed(1 << (k + 32)))).otherwise(F.lit(0)).cast("long"))
+    return fp
+
+
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
     """doc_id, _row and fp (the 64 bits as a signed number) of every row."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", shingle_hashes(F.col("text"), n).alias("_s"))
     each = rows.select("_row", "doc_id", F.explode_outer("_s").alias("_h"))
-    two = (1 << 32) | 1
-    lanes = [F.sum(F.shiftrightunsigned("_h", k).bitwiseAND(F.lit(two))).alias(f"_c{k}") for k in range(32)]
-    sums = each.groupBy("_row", "doc_id").agg(F.count("_h").alias("_n"), *lanes)
-    fp = F.lit(0).cast("long")
-    for k in range(32):
-        low, high = F.col(f"_c{k}").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftrightunsigned(f"_c{k}", 32)
-        fp = fp.bitwiseOR(F.when(low * 2 > F.col("_n"), F.lit(1 << k)).otherwise(F.lit(0)).cast("long"))
-        fp = fp.bitwiseOR(F.when(high * 2 > F.col("_n"), F.lit(_signed(1 << (k + 32)))).otherwise(F.lit(0)).cast("long"))
-    return sums.select("_row", "doc_id", fp.alias("fp"))
+    sums = each.groupBy("_row", "doc_id").agg(F.count("_h").alias("_n"), *lane_sums("_h"))
+    return sums.select("_row", "doc_id", majority("_n").alias("fp"))
 
 
 def pivot_table(fps: DataFrame) -> DataFrame:
