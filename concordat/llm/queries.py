@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import chat, decontaminate, idfiles, mixing, quality, secrets, simhash, token_counts
+from concordat.llm import chat, decontaminate, idfiles, mixing, quality, secrets, simhash, token_counts, warc
 from concordat.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,3 +118,18 @@ def op6_event_log(spark, folder):
     )
     written = pin(chat.render(chat.fold(chat.events_of(rows.unionByName(added)))))
     return chat.digests(chat.parse(written))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id <> top THEN top END AS refers_to
+FROM m
+"""
+
+
+@query("op3_warc_shards", WARC_SQL)
+def op3_warc_shards(spark, folder):
+    return warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
