@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import chat, decontaminate, idfiles, mixing, quality, secrets, simhash, token_counts, warc
+from concordat.llm import chat, decontaminate, idfiles, line_dedup, mixing, quality, secrets, simhash, token_counts, warc
 from concordat.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,3 +133,9 @@ FROM m
 @query("op3_warc_shards", WARC_SQL)
 def op3_warc_shards(spark, folder):
     return warc.read_archives(warc.write_archives(table(spark, folder, "pages")))
+
+
+@query("op5_fuzzy_lines")
+def op5_fuzzy_lines(spark, folder):
+    found = line_dedup.fuzzy_lines(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
