@@ -10,7 +10,7 @@ Targets are filled exactly: slots that a source has beyond its target stay empty
 and its last slot is cut to size.
 
 Defined cases: null text is empty; a null source is a source of its own, the last one; a null doc_id is kept; rows
-with equal doc_id and size are told apart by nothing and share the outcome in any order; empty documents and an
+with equal doc_id and size follow each other as they are read; empty documents and an
 empty table take nothing.
 """
 
@@ -35,7 +35,7 @@ def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
     size = n_words(F.col("text"))
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), size.cast("string")))
     return docs.select(
-        "doc_id", "source", size.alias("size"),
+        F.monotonically_increasing_id().alias("_number"), "doc_id", "source", size.alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("_src"),
         F.conv(F.substring(digest, 1, _ORDER_BITS // 4), 16, 10).cast("long").alias("_h"),
     )
@@ -121,15 +121,15 @@ def mixture(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0,
     block: int = BLOCK, seed: str = "mix",
 ) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken, and rounds.
+    """One row per document: _number, doc_id, source, size, source_size, target, taken, and rounds.
 
-    rounds says how often the mix has the document's first word; taken counts its words in the mix.
+    _number is its place in docs as they are read; rounds says how often the mix has the document's first word; taken counts its words in the mix.
     """
     rows = pin(sized(docs, seed).withColumn("_piece_no", F.shiftright("_h", _ORDER_BITS - _PIECES)))
     sources = pin(targets(rows, weights, share, cap))
     slots = schedule(sources, block)
-    placed = running(rows, "_src", "_piece_no", ["_h", "doc_id", "size"], "size", "_start", "_row")
-    placed = pin(placed.select("doc_id", "source", "size", "_src", "_piece_no", "_row", "_start"))
+    placed = running(rows, "_src", "_piece_no", ["_h", "doc_id", "size", "_number"], "size", "_start", "_row")
+    placed = pin(placed.select("_number", "doc_id", "source", "size", "_src", "_piece_no", "_row", "_start"))
     parts = (
         placed.where("size > 0")
         .select("_src", "_piece_no", "_row", "_start", (F.col("_start") + F.col("size")).alias("_end"),
@@ -144,6 +144,13 @@ def mixture(
     return (
         placed.join(parts, ["_src", "_piece_no", "_row"], "left")
         .join(sources.select("_src", "source_size", "target"), "_src")
-        .select("doc_id", "source", "size", "source_size", "target",
+        .select("_number", "doc_id", "source", "size", "source_size", "target",
                 F.coalesce("taken", zero).alias("taken"), F.coalesce("rounds", zero).alias("rounds"))
     )
+
+
+def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block: int = BLOCK) -> DataFrame:
+    """The documents, each as often as its first word is in the mix; same columns. docs must be read from files."""
+    often = pin(mixture(docs, weights, share, cap, block).where("rounds > 0").select(F.col("_number").alias("_mix_number"), "rounds"))
+    rows = docs.withColumn("_mix_number", F.monotonically_increasing_id()).join(often.withColumnRenamed("rounds", "_mix_rounds"), "_mix_number")
+    return rows.withColumn("_mix_rounds", F.explode(F.expr("sequence(1, _mix_rounds)"))).select(*docs.columns)

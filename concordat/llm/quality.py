@@ -104,15 +104,17 @@ def assess(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> D
     df = df.withColumn("_good", F.filter("_lines", lambda x: ~x.rlike(r"[^\x20\x09-\x0D]") | ~line_fails(x)))
     df = df.withColumn("_clean", F.array_join("_good", "\n"))
     lost = F.length(t) - F.length("_clean") - (F.size("_lines") - F.size("_good"))
-    df = df.select(
-        *[c for c in docs.columns], "_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words",
-        ((F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEATED * F.col("_n_words"))).alias("_base_failed"),
-        F.greatest(lost, F.lit(0)).cast("long").alias("_lost_chars"),
-        (F.length(t) - F.size("_lines") + 1).cast("long").alias("_judged_chars"),
-        (F.size("_lines") - F.size("_good")).cast("long").alias("_n_failed_lines"),
-        "_clean",
-    )
-    return df.withColumn("_kept", ~F.col("_base_failed") & (F.col("_lost_chars") <= F.lit(max_lost) * F.col("_judged_chars")))
+    base = (F.col("_n_words") < MIN_WORDS) | (100 * F.col("_n_repeat_words") > MAX_REPEATED * F.col("_n_words"))
+    judged = (F.length(t) - F.size("_lines") + 1).cast("long")
+    found = {
+        **{c: F.col(c) for c in ("_n_words", "_word_chars", "_n_symbols", "_n_dup_lines", "_n_repeat_words", "_clean")},
+        "_base_failed": base, "_lost_chars": F.greatest(lost, F.lit(0)).cast("long"), "_judged_chars": judged,
+        "_n_failed_lines": (F.size("_lines") - F.size("_good")).cast("long"),
+        "_kept": ~base & (F.greatest(lost, F.lit(0)) <= F.lit(max_lost) * judged),
+    }
+    # One struct out of a generator: a filter on the verdict stays above it, and the rules are evaluated once.
+    one = F.explode_outer(F.array(F.struct(*[v.alias(k) for k, v in found.items()]))).alias("_found")
+    return df.select(*docs.columns, one).select(*docs.columns, "_found.*")
 
 
 def clean(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
