@@ -20,6 +20,15 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE))).cast("long")
 
 
+# Rows of a narrow written table that may be broadcast: a few dozen MB.
+MAX_BROADCAST = 1_000_000
+
+
+def counted(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
+    """A written table as the small side of a join: broadcast if its rows, counted, are few, else merged."""
+    return F.broadcast(df) if df.count() <= most else df.hint("merge")
+
+
 def running(df: DataFrame, key: str, chunk: str, order: list[str], value: str | None, into: str, row: str) -> DataFrame:
     """Exclusive running sum of a value (a count if None) within each key, in the given order.
 

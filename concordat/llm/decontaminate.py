@@ -12,7 +12,7 @@ it, and texts without a benchmark shingle, nearly all, leave after one scan. At
 more than 20 once in some thousand pairs.
 
 The benchmark is the bounded side. Its distinct shingles are counted, and broadcast up to MAX_BROADCAST rows; beyond
-that the join shuffles. Nothing grows with the pairs within a group of documents: each document meets the items only.
+that the join shuffles. So are the documents that hold such shingles, when their texts are read again. Nothing grows with the pairs within a group of documents: each document meets the items only.
 
 Defined cases: null text is empty; items of fewer than five words have no shingle and are never found; rows with the same
 item_id are variants of one item; repeated documents are found each; an empty table on either side gives no rows;
@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from concordat.llm.common import MAX_BROADCAST, counted
 from concordat.llm.simhash import lane_sums, majority
 from concordat.session import pin
 
@@ -31,7 +32,6 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 20
 SHARE = 0.75
-MAX_BROADCAST = 1_000_000
 
 
 def plain_words(text: Column) -> Column:
@@ -64,14 +64,15 @@ def _block(fp: Column, first: int, mask: int) -> Column:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Weighted similarity of two bags given as sorted arrays of equal length."""
-    distinct = F.array_union(a, b)
-
+    """Weighted similarity of two bags given as arrays of equal length."""
     def times(bag, x):
         return F.size(F.filter(bag, lambda y: y == x))
 
-    less = F.aggregate(F.transform(distinct, lambda x: F.least(times(a, x), times(b, x))), F.lit(0), lambda s, x: s + x)
-    return less / (F.size(a) + F.size(b) - less)
+    # Without repeats the lesser counts are those of the common elements.
+    plain = (F.size(F.array_distinct(a)) == F.size(a)) & (F.size(F.array_distinct(b)) == F.size(b))
+    bags = F.aggregate(F.transform(F.array_intersect(a, b), lambda x: F.least(times(a, x), times(b, x))), F.lit(0), lambda s, x: s + x)
+    less = F.when(plain, F.size(F.array_intersect(a, b))).otherwise(bags)
+    return F.transform(F.array(less), lambda n: n / (F.size(a) + F.size(b) - n))[0]
 
 
 def items(benchmark: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def found_in(
         .groupBy("_row").agg(F.collect_set(F.struct("m", "_start")).alias("_windows"))
     )
     windows = (
-        read.join(pin(places), "_row").withColumn("_s", shingles(F.col("text")))
+        read.join(counted(pin(places)), "_row").withColumn("_s", shingles(F.col("text")))
         .select("_row", "doc_id", "_s", F.explode("_windows").alias("_x"))
         .where(F.col("_x._start") + F.col("_x.m") <= F.size("_s"))
         .select("_row", "doc_id", F.col("_x.m").alias("m"), F.col("_x._start").alias("window_start"),
@@ -143,7 +144,7 @@ def found_in(
     untouched = F.coalesce(*[F.when(_block(apart, *x) == 0, i) for i, x in enumerate(_blocks(radius))])
     met = left.join(right, ["m", "b", "v"]).where((F.bit_count(apart) <= radius) & (F.col("b") == untouched))
     return (
-        met.withColumn("similarity", similarity(F.col("_bag"), F.col("_item")))
+        met.withColumn("similarity", F.explode_outer(F.array(similarity(F.col("_bag"), F.col("_item")))))  # evaluated once
         .where(F.col("similarity") >= least)
         .groupBy("_row", "doc_id", "item_id")
         .agg(F.min(F.struct((-F.col("similarity")).alias("s"), F.col("window_start").alias("w"))).alias("_best"))
@@ -155,4 +156,4 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found; same columns. docs must be read from files."""
     hit = pin(found_in(docs, benchmark).select(F.col("_row").alias("_decontaminate_row")).distinct())
     numbered = docs.withColumn("_decontaminate_row", F.monotonically_increasing_id())
-    return numbered.join(hit, "_decontaminate_row", "left_anti").select(*docs.columns)
+    return numbered.join(counted(hit), "_decontaminate_row", "left_anti").select(*docs.columns)

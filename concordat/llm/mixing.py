@@ -152,5 +152,6 @@ def mixture(
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block: int = BLOCK) -> DataFrame:
     """The documents, each as often as its first word is in the mix; same columns. docs must be read from files."""
     often = pin(mixture(docs, weights, share, cap, block).where("rounds > 0").select(F.col("_number").alias("_mix_number"), "rounds"))
-    rows = docs.withColumn("_mix_number", F.monotonically_increasing_id()).join(often.withColumnRenamed("rounds", "_mix_rounds"), "_mix_number")
+    often = often.withColumnRenamed("rounds", "_mix_rounds").hint("merge")  # most documents, so never broadcast
+    rows = docs.withColumn("_mix_number", F.monotonically_increasing_id()).join(often, "_mix_number")
     return rows.withColumn("_mix_rounds", F.explode(F.expr("sequence(1, _mix_rounds)"))).select(*docs.columns)

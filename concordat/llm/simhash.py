@@ -165,4 +165,5 @@ def keep_one(docs: DataFrame, n: int = 3) -> DataFrame:
     found = near_duplicates(docs, n)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("_row").alias("_row"))
     numbered = docs.withColumn("_simhash_row", F.monotonically_increasing_id())
-    return numbered.join(first.select(F.col("_row").alias("_simhash_row")), "_simhash_row", "left_semi").select(*docs.columns)
+    kept = first.select(F.col("_row").alias("_simhash_row")).hint("merge")  # most documents, so never broadcast
+    return numbered.join(kept, "_simhash_row", "left_semi").select(*docs.columns)
