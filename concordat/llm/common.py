@@ -20,6 +20,16 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(F.size(F.split(bare, SPACE))).cast("long")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct, _doc, so that no column of the input can clash with one of an operator."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """_row, the row's place as the files are read, and _doc."""
+    return docs.select(F.monotonically_increasing_id().alias("_row"), packed(docs))
+
+
 # Rows of a narrow written table that may be broadcast: a few dozen MB.
 MAX_BROADCAST = 1_000_000
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import MAX_BROADCAST, counted
+from concordat.llm.common import MAX_BROADCAST, counted, numbered
 from concordat.llm.simhash import lane_sums, majority
 from concordat.session import pin
 
@@ -154,6 +154,5 @@ def found_in(
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents in which no benchmark item is found; same columns. docs must be read from files."""
-    hit = pin(found_in(docs, benchmark).select(F.col("_row").alias("_decontaminate_row")).distinct())
-    numbered = docs.withColumn("_decontaminate_row", F.monotonically_increasing_id())
-    return numbered.join(counted(hit), "_decontaminate_row", "left_anti").select(*docs.columns)
+    hit = pin(found_in(docs, benchmark).select("_row").distinct())
+    return numbered(docs).join(counted(hit), "_row", "left_anti").select("_doc.*")

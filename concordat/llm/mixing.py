@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import n_words, running
+from concordat.llm.common import n_words, numbered, running
 from concordat.session import pin
 
 BLOCK = 1024
@@ -151,7 +151,6 @@ def mixture(
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block: int = BLOCK) -> DataFrame:
     """The documents, each as often as its first word is in the mix; same columns. docs must be read from files."""
-    often = pin(mixture(docs, weights, share, cap, block).where("rounds > 0").select(F.col("_number").alias("_mix_number"), "rounds"))
-    often = often.withColumnRenamed("rounds", "_mix_rounds").hint("merge")  # most documents, so never broadcast
-    rows = docs.withColumn("_mix_number", F.monotonically_increasing_id()).join(often, "_mix_number")
-    return rows.withColumn("_mix_rounds", F.explode(F.expr("sequence(1, _mix_rounds)"))).select(*docs.columns)
+    often = pin(mixture(docs, weights, share, cap, block).where("rounds > 0").select(F.col("_number").alias("_row"), "rounds"))
+    rows = numbered(docs).join(often.hint("merge"), "_row")  # most documents, so never broadcast
+    return rows.select("_doc", F.explode(F.expr("sequence(1, rounds)"))).select("_doc.*")

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import SPACE, words
+from concordat.llm.common import SPACE, packed, words
 
 SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
@@ -71,13 +71,13 @@ def line_fails(line: Column) -> Column:
 
 
 def assess(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> DataFrame:
-    """The rows with _clean (the text without failing lines), counts, base_failed and kept.
+    """_doc (the row) with _clean (its text without failing lines), counts, base_failed and kept.
 
-    Added columns: _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words, _base_failed, _lost_chars,
+    Columns beside _doc: _n_words, _word_chars, _n_symbols, _n_dup_lines, _n_repeat_words, _base_failed, _lost_chars,
     _judged_chars, _n_failed_lines, _clean, _kept. Work is row by row; nothing is shuffled.
     """
-    t = F.coalesce(F.col(text), F.lit(""))
-    df = docs.withColumn("_words", words(F.col(text))).withColumn("_lines", F.split(t, "\n"))
+    t = F.coalesce(F.col("_doc").getField(text), F.lit(""))
+    df = docs.select(packed(docs)).withColumn("_words", words(t)).withColumn("_lines", F.split(t, "\n"))
     df = df.withColumn("_full", F.filter("_lines", lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     df = df.withColumn("_hash", F.transform("_words", lambda w: F.xxhash64(w)))
     windows = F.transform(
@@ -85,7 +85,7 @@ def assess(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> D
         lambda i: F.xxhash64(*[F.get("_hash", i + k) for k in range(WINDOW)]),
     )
     df = df.select(
-        *[c for c in docs.columns], "_lines",
+        "_doc", "_lines",
         F.size("_words").cast("long").alias("_n_words"),
         F.length(F.regexp_replace(t, SPACE, "")).cast("long").alias("_word_chars"),
         _times(t, SYMBOLS).cast("long").alias("_n_symbols"),
@@ -114,11 +114,13 @@ def assess(docs: DataFrame, text: str = "text", max_lost: float = MAX_LOST) -> D
     }
     # One struct out of a generator: a filter on the verdict stays above it, and the rules are evaluated once.
     one = F.explode_outer(F.array(F.struct(*[v.alias(k) for k, v in found.items()]))).alias("_found")
-    return df.select(*docs.columns, one).select(*docs.columns, "_found.*")
+    return df.select("_doc", one).select("_doc", "_found.*")
 
 
 def clean(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
     """The documents that are kept, without their failing lines; same columns, n_chars follows the text."""
     kept = assess(docs, max_lost=max_lost).where("_kept")
-    out = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
-    return kept.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
+    doc = F.col("_doc").withField("text", F.col("_clean"))
+    if "n_chars" in docs.columns:
+        doc = doc.withField("n_chars", F.length("_clean").cast("long"))
+    return kept.withColumn("_doc", doc).select("_doc.*")

@@ -67,7 +67,7 @@ def pipeline(spark, folder):
 def op8_line_first(spark, folder):
     found = quality.assess(table(spark, folder, "documents").select("doc_id", "text"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars", "n_failed_lines")
-    return found.select("doc_id", *[F.col(f"_{n}").alias(n) for n in names])
+    return found.select("_doc.doc_id", *[F.col(f"_{n}").alias(n) for n in names])
 
 
 @query("op2_simhash_pivots")

@@ -202,7 +202,7 @@ def decode_group(data: bytes) -> np.ndarray:
         span = (end - start).astype(_U) * step
         full = np.flatnonzero(span < _LIMIT)
         if len(full):
-            code[full] = (code[full] << _S32) | words[place[full]]
+            code[full] = (code[full] << _S32) | words.take(place[full], mode="clip")  # damaged data may run over
             place[full] += 1
             span[full] <<= _S32
         model.learn(x, h2, h1, np.flatnonzero(e1 == x))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import words
+from concordat.llm.common import numbered, words
 from concordat.llm.components import components
 from concordat.session import pin
 
@@ -164,6 +164,5 @@ def keep_one(docs: DataFrame, n: int = 3) -> DataFrame:
     """
     found = near_duplicates(docs, n)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("_row").alias("_row"))
-    numbered = docs.withColumn("_simhash_row", F.monotonically_increasing_id())
-    kept = first.select(F.col("_row").alias("_simhash_row")).hint("merge")  # most documents, so never broadcast
-    return numbered.join(kept, "_simhash_row", "left_semi").select(*docs.columns)
+    kept = first.select("_row").hint("merge")  # most documents, so never broadcast
+    return numbered(docs).join(kept, "_row", "left_semi").select("_doc.*")
