@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-CACHE = 1 << 20  # pieces that a worker remembers; then it forgets them all
+CACHE = 1 << 19  # pieces that a worker remembers; then it forgets them all
 
 
 def byte_symbols() -> list[str]:

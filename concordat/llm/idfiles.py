@@ -14,8 +14,8 @@ are ordered by their texts; an empty table makes no rows; other columns are not
 
 from __future__ import annotations
 
+import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import partial
@@ -31,10 +31,14 @@ from concordat.llm.bpe import CACHE, Pieces, distinct_words
 from concordat.session import pin, ship_package
 
 END_ID = 2
-FILE_TEXT = 48 << 20  # bytes of text that a file is meant to hold
+FILE_TEXT = 32 << 20  # bytes of text that a file is meant to hold
 _LENGTH = "<Q"
 
 
+# Printing ASCII without the sign that opens added tokens, and composed Latin letters that lower-case one by one.
+_PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
+
+
 class Encoder:
     """Ids of words by the tokenizers library. Plain words skip its normaliser, which they would leave as they are."""
 
@@ -43,29 +47,29 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.cutter = Pieces(path)
-        self.known: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
-        if not self._plain(word):
-            return self.library.encode(word, add_special_tokens=False).ids
-        ids, known = [], self.known
-        for piece in self.cutter.pieces(word):
+        self.known: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        """The word's ids as unsigned 32-bit numbers."""
+        if not _PLAIN.fullmatch(word):
+            return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids, known, lower = [], self.known, word.lower()
+        # Most words are letters, or letters and one mark; the pattern would cut them just so.
+        if lower.isalpha():
+            pieces = (lower,)
+        elif lower[:-1].isalpha() and lower[-1] in ".,!?;:":
+            pieces = (lower[:-1], lower[-1])
+        else:
+            pieces = self.cutter.cut.findall(lower)
+        for piece in pieces:
             got = known.get(piece)
             if got is None:
                 if len(known) >= CACHE:
                     known.clear()
-                got = known[piece] = [t.id for t in self.library.model.tokenize(self.cutter.mapped(piece))]
-            ids += got
-        return ids
-
-    @staticmethod
-    def _plain(word: str) -> bool:
-        """Printing ASCII and Latin letters with their accents, without the sign that opens added tokens."""
-        if "<" in word:
-            return False
-        return word.isascii() and word.isprintable() or (
-            all("!" <= c <= "~" or ("\xc0" <= c <= "ɏ" and c not in "×÷İ") for c in word) and unicodedata.is_normalized("NFC", word)
-        )
+                tokens = self.library.model.tokenize(self.cutter.mapped(piece))
+                got = known[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+            ids.append(got)
+        return b"".join(ids)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch in order, and the number of ids of each text."""
@@ -73,8 +77,9 @@ class Encoder:
         if not len(index):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         lists = [self.word(w) for w in words]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for ids in lists for i in ids), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), "<u4")
+        del lists, words
         first = np.cumsum(sizes) - sizes
         per_word = sizes[index]
         ends = np.cumsum(per_word)

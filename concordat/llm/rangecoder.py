@@ -20,7 +20,7 @@ import zlib
 import numpy as np
 
 BLOCK = 2048
-LANES = 4096
+LANES = 2048
 _SLOTS = 2048
 _HEAD = struct.Struct("<4sIIII")
 _NONE = np.uint32(0xFFFFFFFC)  # no id, no confidence
