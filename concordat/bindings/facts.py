@@ -97,11 +97,11 @@ def release_delta(spark, d):
     return releases_in_order(spark, d)
 
 
-def releases_in_order(spark, d, max_group_rows=R.MAX_WINDOW_GROUP_ROWS):
+def releases_in_order(spark, d, small_groups=True):
     o = table(spark, d, "orders").select(
         "o_orderdate", "o_orderkey", F.concat(F.lit("r"), F.col("o_orderkey").cast("string")).alias("tag"),
         (F.col("o_custkey") % 9).alias("components"))
-    return R.component_delta(o, ["o_orderdate", "o_orderkey"], max_group_rows).select("tag", "prev_tag", "delta", "unchanged")
+    return R.component_delta(o, ["o_orderdate", "o_orderkey"], small_groups).select("tag", "prev_tag", "delta", "unchanged")
 
 
 @query("release_delta_ranged", """
@@ -110,7 +110,7 @@ WITH r AS (SELECT 'r' || o_orderkey AS tag, lag('r' || o_orderkey) OVER w AS pre
 SELECT tag, prev_tag, delta, coalesce(delta = 0, false) AS unchanged FROM r""")
 def release_delta_ranged(spark, d):
     """The same history forced through the range-cut path used for histories too long for one task."""
-    return releases_in_order(spark, d, max_group_rows=0)
+    return releases_in_order(spark, d, small_groups=False)
 
 
 _CATS = ", ".join(f"count(*) FILTER (category = '{c}') AS {c.replace('-', '_')}" for c in C.AV_CATEGORIES)
@@ -147,7 +147,7 @@ def retro_flag(spark, d):
 def retro_flag_ranged(spark, d):
     """Retro flags through the range-cut path used when one binary holds a large share of rows."""
     return R.retro_flags(
-        I.verdicts(spark, d), ["sha256", "engine"], ["fetched_at", "event_id"], max_group_rows=0,
+        I.verdicts(spark, d), ["sha256", "engine"], ["fetched_at", "event_id"], small_groups=False,
     ).select("event_id", "sha256", "engine", "category", "prev_category")
 
 

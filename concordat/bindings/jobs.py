@@ -19,7 +19,7 @@ from concordat.functions import text as T
 from concordat.operators import scans
 from concordat.plans import enrichment, scan_diff
 from concordat.session import ensure_checkpoint_dir, pin
-from concordat.sources import sinks
+from concordat.sources import inventory, sinks
 from concordat.streaming import verdicts as V
 
 
@@ -147,6 +147,37 @@ def enriched_components(spark, d):
     return e.components.select("ord", c["name"].alias("name"), F.length(P.embedded_text(c)).alias("n_chars"), c["copyright"].alias("copyright"))
 
 
+_PART_JSON = """'{"type":"library","bom-ref":"ref-' || p_partkey || '","name":"' || p_name || '","version":"' || p_size || '","hashes":[{"alg":"SHA-256","content":"'
+  || sha256(p_name) || '"}],"licenses":[{"license":{"id":"' || p_type || '","url":"https://example.org/' || p_partkey || '"}}],"pedigree":{"notes":"kept"}}'"""
+
+
+@query("inventory_roundtrip", f"""WITH p AS (SELECT p_brand, {_PART_JSON} AS js, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS ord,
+  row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey DESC) AS back FROM part WHERE p_brand IS NOT NULL)
+SELECT p_brand AS brand, CAST(ord AS BIGINT) AS ord, js || CASE WHEN back > 1 THEN ',' ELSE '' END AS line FROM p
+UNION ALL SELECT p_brand, -1, '{{"bomFormat":"CycloneDX","serialNumber":"urn:' || p_brand || '","components":[' FROM p GROUP BY p_brand
+UNION ALL SELECT p_brand, 9223372036854775807, ']}}' FROM p GROUP BY p_brand
+UNION ALL SELECT 'empty', -1, '{{"bomFormat":"CycloneDX","components":[' UNION ALL SELECT 'empty', 9223372036854775807, ']}}'""")
+def inventory_roundtrip(spark, d):
+    """Inventories made of the parts of each brand, and an empty one, through the real reader and writer."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/inventories-{uuid.uuid4().hex}"
+    key = F.col("p_partkey").cast("string")
+    text = lambda s: F.lit(s)
+    js = F.concat(
+        text('{"type":"library","bom-ref":"ref-'), key, text('","name":"'), "p_name", text('","version":"'), F.col("p_size").cast("string"),
+        text('","hashes":[{"alg":"SHA-256","content":"'), F.sha2("p_name", 256), text('"}],"licenses":[{"license":{"id":"'), "p_type",
+        text('","url":"https://example.org/'), key, text('"}}],"pedigree":{"notes":"kept"}}'))
+    made = table(spark, d, "part").where("p_brand is not null").groupBy("p_brand").agg(
+        F.array_sort(F.collect_list(F.struct("p_partkey", js.alias("js")))).alias("cs")).select(
+        F.col("p_brand").alias("brand"), F.concat(
+            text('{"bomFormat":"CycloneDX","serialNumber":"urn:'), "p_brand", text('","components":['),
+            F.array_join(F.transform("cs", lambda c: c["js"]), ","), text("]}")).alias("value"))
+    empty = spark.range(1).select(text("empty").alias("brand"), text('{"bomFormat":"CycloneDX","components":[]}').alias("value"))
+    made.unionByName(empty).repartition("brand").write.partitionBy("brand").text(folder)
+    lines = sinks.document_lines(inventory.read_components(spark, folder), inventory.read_documents(spark, folder))
+    return lines.select(F.url_decode(F.url_decode(F.regexp_extract("sbom_id", "brand=([^/]*)", 1))).alias("brand"), "ord", F.col("value").alias("line"))
+
+
 _MARK = "SELECT ord, CASE WHEN src = 'skip' THEN 'skipped'"
 _HEAD, _TAIL = _ENRICH.split(_MARK)
 _RESULTS = f"{_HEAD.rstrip()}, r0 AS ({_MARK}{_TAIL}), r AS (SELECT r0.*, comp.name, comp.version, comp.category FROM r0 JOIN comp ON comp.ord = r0.ord)"

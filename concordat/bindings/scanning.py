@@ -73,6 +73,15 @@ def conflict_topk(spark, d):
     return rows.orderBy(F.desc("top_score"), "path", "ord").limit(100)
 
 
+@query("conflicts", f"""WITH {I.scan_cte()}, {_DECL}
+SELECT path, ord, raw AS expr, CAST(score AS DOUBLE) AS top_score FROM s WHERE type = 'file' AND {_CONF}""")
+def conflicts(spark, d):
+    """Every conflict in report order; conflict_topk is the view of the first hundred."""
+    rows = scans.file_conflicts(declared_files(spark, d)).select(
+        "path", "ord", "expr", scans.top_score(F.col("detections")).alias("top_score"))
+    return rows.orderBy(F.desc("top_score"), "path", "ord")
+
+
 @query("conflict_sample", f"""WITH {I.scan_cte()}, {_DECL}, c AS (SELECT path, ord, raw FROM s WHERE type = 'file' AND {_CONF}),
 k AS (SELECT path || ': ' || raw AS line FROM c ORDER BY path, ord LIMIT 30)
 SELECT line FROM k UNION ALL SELECT '... and ' || (count(*) - 30) || ' more' FROM c HAVING count(*) > 30""")

@@ -29,5 +29,81 @@ def map_strings(col: Column, dtype: T.DataType, fn: Callable[[Column], Column])
     return col
 
 
+def merge(raw: Column, typed_json: Column) -> Column:
+    """JSON text of a record: the raw fields, with those of the typed record laid over them at any depth of structs.
+
+    Objects are merged field by field and lists of equal length entry by entry, two levels down (licence entries and
+    their licences); what the typed record does not know stays as it was read.
+    """
+    return F.when(raw.isNull(), typed_json).otherwise(_merge_objects(raw, typed_json, 3))
+
+
+_ANY = "map<string,variant>"
+
+
+def _merge_objects(raw: Column, typed: Column, depth: int) -> Column:
+    if not depth:
+        return typed
+    old, new = F.from_json(raw, _ANY), F.from_json(typed, _ANY)
+
+    def both(o: Column, n: Column) -> Column:
+        names = F.array_union(F.map_keys(o), F.map_keys(n))
+
+        def field(name: Column) -> Column:
+            was, now = F.to_json(F.get(F.map_values(F.map_filter(o, lambda k, v: k == name)), F.lit(0))), F.to_json(
+                F.get(F.map_values(F.map_filter(n, lambda k, v: k == name)), F.lit(0)))
+            value = F.when(now.isNull(), was).when(was.isNull(), now)
+            if depth > 1:
+                value = value.when(F.startswith(now, F.lit("{")) & F.startswith(was, F.lit("{")), _merge_objects(was, now, depth - 1))
+                value = value.when(F.startswith(now, F.lit("[")) & F.startswith(was, F.lit("[")), _merge_lists(was, now, depth))
+            return F.concat(F.to_json(F.struct(name.alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(name.alias("k")))) - 6),
+                            F.lit(":"), value.otherwise(now))
+
+        return F.concat(F.lit("{"), F.array_join(F.transform(names, field), ","), F.lit("}"))
+
+    return both(old, new)
+
+
+def _merge_lists(raw: Column, typed: Column, depth: int) -> Column:
+    """Entries one by one; a list whose length has changed keeps raw entries for the first ones."""
+    old, new = F.from_json(raw, "array<variant>"), F.from_json(typed, "array<variant>")
+
+    def entry(n: Column, i: Column) -> Column:
+        was, now = F.to_json(F.get(old, i)), F.to_json(n)
+        inner = F.startswith(now, F.lit("{")) & F.startswith(was, F.lit("{"))
+        return F.when(inner, _merge_objects(was, now, depth - 1)).otherwise(now)
+
+    return F.concat(F.lit("["), F.array_join(F.transform(new, entry), ","), F.lit("]"))
+
+
+def without_tools(raw: Column) -> Column:
+    """Raw head of a document without metadata.tools, which are about to be stamped anew."""
+    whole = F.from_json(raw, _ANY)
+    rest = F.to_json(F.map_filter(F.from_json(F.get_json_object(raw, "$.metadata"), _ANY), lambda k, v: k != "tools"))
+    kept = F.map_filter(whole, lambda k, v: k != "metadata")
+    return F.coalesce(F.to_json(F.map_concat(kept, F.create_map(F.lit("metadata"), F.try_parse_json(rest)))), raw)
+
+
+# A JSON string literal; possessive, so that long texts need no stack.
+_LITERAL = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def redact_json(raw: Column, extra: tuple[str, ...] = ()) -> Column:
+    """JSON text with every string value redacted, at any depth; keys stay as they are."""
+    literals, gaps = F.regexp_extract_all(raw, F.lit(_LITERAL), F.lit(0)), F.split(raw, _LITERAL)
+
+    def shown(literal: Column, after: Column) -> Column:
+        text = F.from_json(F.concat(F.lit('{"k":'), literal, F.lit("}")), "k string")["k"]
+        quoted = F.to_json(F.struct(redact_paths(text, extra).alias("k")))
+        value = F.substring(quoted, F.lit(6), F.length(quoted) - 6)
+        return F.when(F.startswith(F.ltrim(after), F.lit(":")), literal).otherwise(value)
+
+    def piece(gap: Column, i: Column) -> Column:
+        literal = F.get(literals, i)
+        return F.concat(gap, F.when(literal.isNull(), "").otherwise(shown(literal, F.get(gaps, i + 1))))
+
+    return F.array_join(F.transform(gaps, piece), "")
+
+
 def redact_document(col: Column, dtype: T.DataType, extra: tuple[str, ...] = ()) -> Column:
     return map_strings(col, dtype, lambda s: redact_paths(s, extra))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 from functools import reduce
 
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -64,15 +65,16 @@ def is_probe_content(blob: Column) -> Column:
 
 
 def usable_patterns(extra: Iterable[str]) -> list[str]:
-    """User patterns in order; blank lines, # comments and invalid ones are left out."""
+    """User patterns in order; blank lines, # comments and those that Spark's regex engine rejects are left out."""
     kept = []
+    engine = SparkContext._active_spark_context._jvm.java.util.regex.Pattern
     for line in extra:
         line = line.strip()
         if not line or line.startswith("#"):
             continue
         try:
-            re.compile(line)
-        except re.error:
+            engine.compile(line)
+        except IllegalArgumentException:
             continue
         kept.append(line)
     return kept

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from concordat.functions import text as T
 from concordat.operators.matching import best_file, rule_hits
 
-# A body is one value of the inventory document; larger ones stay as segments.
-MAX_BODY_CHARS = 256_000_000
-
 
 def assign_files(all_ids: Column, hint_ord: Column, phrase_ord: Column) -> Column:
     """array<struct(ord, spdx_id)>: best file per id in id order, each file used once."""
@@ -82,17 +79,14 @@ def segments(chosen: DataFrame, files: DataFrame) -> DataFrame:
     )
 
 
-def assemble(segs: DataFrame, max_chars: int = MAX_BODY_CHARS) -> DataFrame:
-    """One body per component; null `body` marks one above the size limit (its segments stay)."""
-    sizes = segs.groupBy("component_id", "source_tag").agg(F.sum(F.length("piece") + 2).alias("n_chars"))
-    sized = segs.drop("source_tag").join(sizes.drop("source_tag"), "component_id")
-    small = (
-        sized.where(F.col("n_chars") <= max_chars)
-        .groupBy("component_id")
-        .agg(F.array_sort(F.collect_list(F.struct("seg", "piece"))).alias("parts"))
-        .select("component_id", F.array_join(F.transform("parts", lambda p: p["piece"]), "\n\n").alias("body"))
+def assemble(segs: DataFrame) -> DataFrame:
+    """One body per component: the inventory format holds it as one value, so its segments meet in one row."""
+    return (
+        segs.groupBy("component_id", "source_tag")
+        .agg(F.sum(F.length("piece") + 2).alias("n_chars"), F.array_sort(F.collect_list(F.struct("seg", "piece"))).alias("parts"))
+        .select("component_id", "source_tag", "n_chars",
+                F.array_join(F.transform("parts", lambda p: p["piece"]), "\n\n").alias("body"))
     )
-    return sizes.join(small, "component_id", "left")
 
 
 def implausible_bodies(components: DataFrame) -> DataFrame:

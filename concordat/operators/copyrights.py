@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from concordat.functions import evidence
 from concordat.functions import text as T
 
-# The joined form is one value of the inventory document.
-MAX_JOINED_CHARS = 64_000_000
-
 
 def harvest(blobs: DataFrame, seeds: DataFrame | None = None, extra_patterns: tuple[str, ...] = ()) -> DataFrame:
     """(component_id, line_key, line): distinct statements ignoring case, redacted.
@@ -40,21 +37,14 @@ def harvest(blobs: DataFrame, seeds: DataFrame | None = None, extra_patterns: tu
     )
 
 
-def joined(harvested: DataFrame, max_chars: int = MAX_JOINED_CHARS) -> DataFrame:
-    """One newline-joined value per component, sorted ignoring case.
-
-    A component above the limit gets no joined value; its rows stay in the harvest table.
-    """
-    sizes = harvested.groupBy("component_id").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line") + 1).alias("n_chars")
-    )
-    small = (
-        harvested.join(sizes.where(F.col("n_chars") <= max_chars).select("component_id"), "component_id", "left_semi")
-        .groupBy("component_id")
-        .agg(F.array_sort(F.collect_list(F.struct("line_key", "line"))).alias("rows"))
-        .select("component_id", F.array_join(F.transform("rows", lambda r: r["line"]), "\n").alias("copyright"))
+def joined(harvested: DataFrame) -> DataFrame:
+    """One newline-joined value per component, sorted ignoring case; the inventory format holds it as one value."""
+    return (
+        harvested.groupBy("component_id")
+        .agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("line") + 1).alias("n_chars"),
+             F.array_sort(F.collect_list(F.struct("line_key", "line"))).alias("rows"))
+        .select("component_id", "n_lines", "n_chars", F.array_join(F.transform("rows", lambda r: r["line"]), "\n").alias("copyright"))
     )
-    return sizes.join(small, "component_id", "left")
 
 
 def header_evidence(headers: DataFrame) -> DataFrame:

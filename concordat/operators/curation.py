@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat.functions.components import component_key
-from concordat.session import broadcast_if_small
 
 
 def _keyed(df: DataFrame) -> DataFrame:
@@ -18,7 +17,7 @@ def with_curation(df: DataFrame, curation: DataFrame) -> DataFrame:
     side = curation.select(F.col("key").alias("_ck"), F.lit(True).alias("curated"), "rationale")
     return (
         _keyed(df)
-        .join(broadcast_if_small(side), "_ck", "left")
+        .join(side, "_ck", "left")
         .drop("_ck")
         .withColumn("curated", F.coalesce("curated", F.lit(False)))
     )
@@ -26,10 +25,10 @@ def with_curation(df: DataFrame, curation: DataFrame) -> DataFrame:
 
 def without_curated(df: DataFrame, curation: DataFrame) -> DataFrame:
     side = curation.select(F.col("key").alias("_ck"))
-    return _keyed(df).join(broadcast_if_small(side), "_ck", "left_anti").drop("_ck")
+    return _keyed(df).join(side, "_ck", "left_anti").drop("_ck")
 
 
 def with_tool(df: DataFrame, tools: DataFrame) -> DataFrame:
     """Left join to the system-tool map; adds struct `tool`, null when there is no entry."""
     side = tools.select(F.col("key").alias("_ck"), "tool")
-    return _keyed(df).join(broadcast_if_small(side), "_ck", "left").drop("_ck")
+    return _keyed(df).join(side, "_ck", "left").drop("_ck")

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from concordat.session import pin
 
-MAX_WINDOW_GROUP_ROWS = 2_000_000
-
-
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the earliest by `order`; a partial aggregate, never a sort of the group."""
     rest = [c for c in df.columns if c not in keys]
@@ -51,17 +48,15 @@ def previous_row(
     keys: Sequence[str],
     order: Sequence[str],
     values: Sequence[str],
-    max_group_rows: int = MAX_WINDOW_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Add `prev_<value>` from the row before, per key in `order` (which must be total).
 
-    Groups proven small use a plain window. A larger group is cut into ranges of
-    (keys, order), so it spreads over many tasks; the first row of a range takes the
-    last row of the range before it, one row per range.
+    Groups are cut into ranges of (keys, order), so a large one spreads over many tasks; the
+    first row of a range takes the last row of the range before it, one row per range. A caller
+    who knows that every group fits one task may say `small_groups` for a plain window.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= max_group_rows:
+    if small_groups:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.select("*", *[F.lag(v).over(w).alias(f"prev_{v}") for v in values])
 

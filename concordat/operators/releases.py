@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat import constants as C
-from concordat.operators.ordering import MAX_WINDOW_GROUP_ROWS, previous_row
-from concordat.session import broadcast_if_small
+from concordat.operators.ordering import previous_row
 
 
 def verify_hashes(local: DataFrame, published: DataFrame) -> DataFrame:
@@ -33,10 +32,10 @@ def checksum_differences(hashes: DataFrame, sums: DataFrame) -> DataFrame:
 
 
 def component_delta(
-    releases: DataFrame, order: Sequence[str], max_group_rows: int = MAX_WINDOW_GROUP_ROWS
+    releases: DataFrame, order: Sequence[str], small_groups: bool = False
 ) -> DataFrame:
     """Change in component count against the release before, in build order (never tag text)."""
-    prev = previous_row(releases, [], order, ["tag", "components"], max_group_rows)
+    prev = previous_row(releases, [], order, ["tag", "components"], small_groups)
     return prev.withColumn("delta", F.col("components") - F.col("prev_components")).withColumn(
         "unchanged", F.coalesce(F.col("delta") == 0, F.lit(False))
     )
@@ -69,10 +68,10 @@ def retro_flags(
     keys: Sequence[str],
     order: Sequence[str],
     flagged: Sequence[str] = C.AV_FLAGGED,
-    max_group_rows: int = MAX_WINDOW_GROUP_ROWS,
+    small_groups: bool = False,
 ) -> DataFrame:
     """Scans on which an engine turns from clean to flagged for the same binary."""
-    seen = previous_row(verdicts, keys, order, ["category"], max_group_rows)
+    seen = previous_row(verdicts, keys, order, ["category"], small_groups)
     return seen.where(
         F.col("category").isin(*flagged)
         & F.col("prev_category").isNotNull()
@@ -88,7 +87,7 @@ def apply_errata(published: DataFrame, errata: DataFrame) -> DataFrame:
     return (
         published.alias("p")
         .join(
-            broadcast_if_small(errata).alias("e"),
+            errata.alias("e"),
             (F.col("p.name") == F.col("e.name")) & F.col("p.release_seq").between(F.col("e.lo_seq"), F.col("e.hi_seq")),
             "left",
         )

@@ -93,18 +93,12 @@ def expression_histogram(files: DataFrame, filtered: bool = True) -> DataFrame:
     )
 
 
-def histogram_map(histogram: DataFrame, keys: list[str], max_entries: int = 100_000) -> DataFrame:
-    """Report form: expression -> count as one map per directory.
-
-    A directory with more distinct expressions than the limit gets a null map; its rows
-    are all in the long form.
-    """
-    sizes = histogram.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_expressions"))
-    small = sizes.where(F.col("n_expressions") <= max_entries)
-    maps = histogram.join(small.select(*keys), keys, "left_semi").groupBy(*keys).agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("expr", "n_files")))).alias("expressions")
+def histogram_map(histogram: DataFrame, keys: list[str]) -> DataFrame:
+    """Report form: expression -> count as one map per directory. The long form stays the one to compute with."""
+    return histogram.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_expressions"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("expr", "n_files")))).alias("expressions"),
     )
-    return sizes.join(maps, keys, "left")
 
 
 def file_conflicts(files: DataFrame, declared: str = "declared") -> DataFrame:

@@ -62,7 +62,7 @@ def wanted_archives(planned: DataFrame, registry: DataFrame) -> DataFrame:
         F.coalesce(F.col("tool.notice_files_in_tarball"), none),
     )
     return known.select(
-        "component_id", p["kind"].alias("kind"), "meta_key", F.col("meta").isNotNull().alias("has_meta"),
+        "component_id", p["kind"].alias("kind"), "meta_key", p["metadata_url"].alias("meta_url"), F.col("meta").isNotNull().alias("has_meta"),
         url.alias("url"), F.coalesce(p["path_prefix"], F.lit("")).alias("prefix"),
         F.when(p["kind"] == "system-curated", listed).alias("wanted"),
     ).select(
@@ -168,9 +168,10 @@ def enrich(
 
     failed_all = pin(_failures(arch, extracted, landed, fetch_errors))
     rescued = probes.where("is_rescue").select("component_id").distinct()
-    failed = failed_all.join(rescued, "component_id", "left_anti")
+    # A recorded error without a status is a broken connection, after which no other place is tried.
+    failed = failed_all.join(rescued.withColumn("fail_final", F.lit(False)), ["component_id", "fail_final"], "left_anti").drop("fail_final")
     usable_probes = probes.join(
-        failed_all.select("component_id", F.lit(True).alias("no_archive")), "component_id", "left"
+        failed_all.where("not fail_final").select("component_id", F.lit(True).alias("no_archive")), "component_id", "left"
     ).where(~F.col("is_rescue") | F.col("no_archive"))
 
     per_component = arch.select("component_id", F.col("kind").alias("plan_kind"), "key", "prefix").join(
@@ -247,12 +248,15 @@ def enrich(
         "status", "reason", "drift", "source_tag",
     )
     by_id = lambda df: df.select("component_id.*", *[c for c in df.columns if c != "component_id"])
-    components = redact_components(done.select("sbom_id", "ord", "component"), profile)
+    components = redact_components(done.select("sbom_id", "ord", "component", *[c for c in ("raw",) if c in done.columns]), profile)
+    broken = bodies.implausible_bodies(components)
+    if not broken.isEmpty():
+        raise ValueError(f"embedded licence text does not read like one: {broken.first()}")
     return Enriched(components, results, by_id(segs), by_id(harvested))
 
 
 def _failures(arch: DataFrame, extracted: DataFrame, landed: DataFrame, fetch_errors: DataFrame) -> DataFrame:
-    """(component_id, fail_status, fail_reason) of archive plans that could not be read."""
+    """(component_id, fail_status, fail_reason, fail_final) of archive plans that could not be read."""
     broken = extracted.where(F.col("kind") == "archive-error").select(
         "key", "prefix", F.col("message").alias("broken"))
     there = landed.select("key", F.lit(True).alias("is_landed"))
@@ -263,23 +267,26 @@ def _failures(arch: DataFrame, extracted: DataFrame, landed: DataFrame, fetch_er
         needed.join(broken, ["key", "prefix"], "left").join(there, "key", "left").join(errors, "fetch_key", "left")
     )
     no_url = F.col("has_meta") & F.col("url").isNull()
-    meta_url = F.coalesce(F.col("meta_key"), F.lit(""))
+    meta_url = F.coalesce(F.col("meta_url"), F.lit(""))
     status = (
         F.when(F.col("broken").isNotNull() | no_url, "download-error")
         .when(F.col("code") == 404, "download-404")
         .when(F.col("is_landed").isNull(), "download-error")
     )
+    # What an archive's failure is reported as; system tools have a wording of their own.
+    said = F.when(F.col("kind") == "system-curated", "system-tool tarball error: ").otherwise("RuntimeError: ")
     reason = (
         F.when(F.col("broken").isNotNull(),
-               F.concat(F.lit("Archive open failed for "), F.col("url"), F.lit(": "), F.col("broken")))
+               F.concat(said, F.lit("Archive open failed for "), F.col("url"), F.lit(": "), F.col("broken")))
         .when(no_url & (F.col("kind") == "npm-via-metadata"),
-              F.concat(F.lit("npm metadata has no dist.tarball: "), meta_url))
-        .when(no_url, F.concat(F.lit("PyPI metadata has no sdist or wheel: "), meta_url))
+              F.concat(said, F.lit("npm metadata has no dist.tarball: "), meta_url))
+        .when(no_url, F.concat(said, F.lit("PyPI metadata has no sdist or wheel: "), meta_url))
         .when(F.col("code").isNotNull(),
               F.concat(F.lit("HTTP "), F.col("code").cast("string"), F.lit(": "), F.coalesce("why", F.lit(""))))
         .otherwise(F.coalesce("why", F.lit("not landed")))
     )
-    return joined.select("component_id", status.alias("fail_status"), reason.alias("fail_reason")).where(
+    final = F.col("broken").isNull() & ~F.coalesce(no_url, F.lit(False)) & F.col("code").isNull() & F.col("why").isNotNull()
+    return joined.select("component_id", status.alias("fail_status"), reason.alias("fail_reason"), final.alias("fail_final")).where(
         F.col("fail_status").isNotNull())
 
 
@@ -289,12 +296,10 @@ def _conclude(rows: DataFrame, profile: Profile) -> DataFrame:
     skipped = P.is_proprietary(info)
     no_plan = plan["kind"] == "none"
     chosen = F.col("source_tag").isNotNull()
-    too_large = chosen & F.col("body").isNull()
     stand_in = F.col("canonical").isNotNull()
     failed = F.col("fail_status").isNotNull()
     status = (
         F.when(skipped, "skipped")
-        .when(too_large, "body-too-large")
         .when(chosen | stand_in, "enriched")
         .when(no_plan, "unresolvable-source")
         .when(failed, F.col("fail_status"))
@@ -330,4 +335,5 @@ def _conclude(rows: DataFrame, profile: Profile) -> DataFrame:
         P.embed_text(F.col("component"), info["kind"], F.col("final_body"), F.col("copyright"), profile),
     ).otherwise(F.col("component"))
     return settled.withColumn("component", written).select(
-        "sbom_id", "ord", "component", "name", "version", "purl", "category", "status", "reason", "drift", "source_tag")
+        "sbom_id", "ord", "component", *[c for c in ("raw",) if c in rows.columns], "name", "version", "purl", "category",
+        "status", "reason", "drift", "source_tag")

@@ -1,4 +1,4 @@
-"""Session settings and the guards every job uses: pinned tables and sized broadcasts."""
+"""Session settings, pinned tables, and the package for the workers."""
 
 from __future__ import annotations
 
@@ -10,10 +10,6 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A dimension up to this many rows may be broadcast; beyond it the join shuffles.
-BROADCAST_MAX_ROWS = 200_000
-
-
 def build_session(app: str = "concordat", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -72,10 +68,3 @@ def pin(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/pinned-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when a bounded count proves the side small."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

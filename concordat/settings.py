@@ -16,7 +16,7 @@ class Profile:
     text_property: str = "component:licenseText"
     notices_title: str = "Third-Party Notices"
     extra_path_patterns: tuple[str, ...] = ()
-    header_max_files: int = C.HEADER_MAX_FILES
+    header_max_files: int | None = None  # C.HEADER_MAX_FILES gives the published tools' cost cap
     header_max_lines: int = C.HEADER_MAX_LINES
     upstream_order: tuple[str, ...] = ("hub", "git")
     major_vendors: tuple[str, ...] = field(

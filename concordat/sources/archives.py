@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from concordat import constants as C
 from concordat import schemas as S
 from concordat.functions.text import decode_utf8, head_lines
+from concordat.session import ship_package
 from concordat.settings import DEFAULT_PROFILE, Profile
 
 _LICENCE = re.compile(C.LICENCE_FILE_PATTERN)
@@ -47,21 +48,21 @@ def _members(blob: bytes, is_zip: bool) -> Iterator[tuple[str, object]]:
                     yield member.name, lambda m=member: box.extractfile(m).read()
 
 
-def _walk(row, max_files: int) -> list[tuple]:
+def _walk(row, max_files: int | None) -> list[tuple]:
     """Extracted rows of one download: licence files, wanted files, first source files."""
     if row.format == "single":
         return [("single", 0, None, row.content, None)]
     out, n_source = [], 0
-    wanted = set(row.wanted) if row.wanted is not None else set()
     prefix = row.prefix or ""
+    wanted = {prefix + w for w in row.wanted} if row.wanted is not None else set()
     for at, (name, read) in enumerate(_members(row.content, row.format == "zip")):
         rel = name[len(prefix):] if prefix and name.startswith(prefix) else name
         kinds = []
-        if name in {prefix + w for w in wanted}:
+        if name in wanted:
             kinds.append("wanted")
         if _LICENCE.search(rel):
             kinds.append("license")
-        if _SOURCE.search(name) and n_source < max_files:
+        if _SOURCE.search(name) and (max_files is None or n_source < max_files):
             n_source += 1
             kinds.append("header")
         if kinds:
@@ -80,6 +81,7 @@ def extract(archives: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFram
     `archives(key, prefix, format, wanted, content)`, one row per distinct extraction. Each
     archive is one row of work; a broken one yields an error row and no others.
     """
+    ship_package(archives.sparkSession)
     max_files = profile.header_max_files
     names = [f.split()[0] for f in S.EXTRACTED.split(", ")]
 
@@ -89,7 +91,7 @@ def extract(archives: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFram
                 try:
                     found = _walk(row, max_files)
                 except _ARCHIVE_ERRORS as e:
-                    found = [("archive-error", 0, None, None, f"{type(e).__name__}: {e}")]
+                    found = [("archive-error", 0, None, None, str(e))]
                 yield pd.DataFrame(
                     [(row.key, row.prefix, kind, at, rel, body, msg) for kind, at, rel, body, msg in found],
                     columns=names,

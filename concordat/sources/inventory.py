@@ -13,19 +13,25 @@ from concordat.settings import DEFAULT_PROFILE, Profile
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per inventory document."""
-    return (
-        spark.read.schema(S.INVENTORY).option("multiLine", True).json(path)
-        .withColumn("sbom_id", F.col("_metadata.file_path"))
+    """One row per inventory document: the typed fields, and beside them the raw text of all fields but components
+    (`raw`) and of each component (`raw_components`), so that nothing the types do not know is lost on writing.
+    """
+    whole = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("sbom_id"))
+    typed = F.from_json("value", S.INVENTORY)
+    rest = F.map_filter(F.from_json("value", "map<string,variant>"), lambda k, v: k != "components")
+    return whole.withColumn("_d", typed).select(
+        "_d.*", "sbom_id", F.to_json(rest).alias("raw"),
+        F.from_json("value", "components array<string>")["components"].alias("raw_components"),
     )
 
 
 def read_components(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """(sbom_id, ord, component) in document order; `limit` keeps the first n per document.
+    """(sbom_id, ord, component, raw) in document order; `limit` keeps the first n per document.
 
     A multi-line document is parsed by one task, so the exploded rows are spread out again.
     """
-    rows = read_documents(spark, path).select("sbom_id", F.posexplode("components").alias("ord", "component"))
+    both = F.transform("components", lambda c, i: F.struct(c.alias("component"), F.get("raw_components", i).alias("raw")))
+    rows = read_documents(spark, path).select("sbom_id", F.posexplode(both).alias("ord", "_c")).select("sbom_id", "ord", "_c.*")
     if limit > 0:
         rows = rows.where(F.col("ord") < limit)
     return rows.withColumn("ord", F.col("ord").cast("bigint")).repartition("sbom_id", "ord")
@@ -35,7 +41,7 @@ def flatten(components: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFr
     """The scalar columns most operators need, next to the nested record."""
     c = F.col("component")
     return components.select(
-        "sbom_id", "ord", "component",
+        "sbom_id", "ord", "component", *[x for x in ("raw",) if x in components.columns],
         c["name"].alias("name"),
         c["version"].alias("version"),
         c["purl"].alias("purl"),

@@ -12,14 +12,12 @@ from pyspark.sql import functions as F
 from concordat import constants as C
 from concordat.functions import components as P
 from concordat.functions import text as T
-from concordat.functions.documents import redact_document
+from concordat.functions.documents import merge as documents_merge
+from concordat.functions.documents import redact_document, redact_json, without_tools
 from concordat.functions.spdx import normalise_loose
 from concordat.operators import counts, notices
 from concordat.settings import DEFAULT_PROFILE, Profile
 
-# A document is one JSON value; a larger one is written as component rows only.
-MAX_DOCUMENT_CHARS = 500_000_000
-
 
 def write_sorted_lines(lines: DataFrame, order: list[str], path: str, column: str = "line") -> None:
     lines.orderBy(*order).select(F.col(column).alias("value")).write.mode("overwrite").text(path)
@@ -27,9 +25,12 @@ def write_sorted_lines(lines: DataFrame, order: list[str], path: str, column: st
 
 def redact_components(components: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
     dtype = components.schema["component"].dataType
-    return components.withColumn(
+    clean = components.withColumn(
         "component", redact_document(F.col("component"), dtype, profile.extra_path_patterns)
     )
+    if "raw" in components.columns:
+        clean = clean.withColumn("raw", redact_json(F.col("raw"), profile.extra_path_patterns))
+    return clean
 
 
 def write_components(components: DataFrame, path: str) -> None:
@@ -37,32 +38,42 @@ def write_components(components: DataFrame, path: str) -> None:
     components.write.mode("overwrite").parquet(path)
 
 
-def rebuild_documents(components: DataFrame, documents: DataFrame, tools: Column | None = None) -> DataFrame:
-    """(sbom_id, value): documents as JSON, components in their order, metadata kept or stamped.
+def document_lines(components: DataFrame, documents: DataFrame, tools: Column | None = None) -> DataFrame:
+    """(sbom_id, ord, value): each document as lines: its head, one line per component, its end.
 
-    A document above the size limit gets a null value; its component rows are the result then.
+    Together, in order, they are one JSON document; no row holds more than a component. Fields that the typed
+    record lacks come from the raw text of documents and components where the reader has kept it.
     """
-    rows = components.select(
-        "sbom_id", "ord", "component", F.length(F.to_json("component")).alias("n_chars")
-    )
-    small = rows.groupBy("sbom_id").agg(F.sum("n_chars").alias("n")).where(F.col("n") <= MAX_DOCUMENT_CHARS)
-    lists = (
-        rows.join(small.select("sbom_id"), "sbom_id", "left_semi")
-        .groupBy("sbom_id")
-        .agg(F.array_sort(F.collect_list(F.struct("ord", F.to_json("component").alias("json")))).alias("cs"))
-        .select("sbom_id", F.array_join(F.transform("cs", lambda c: c["json"]), ",").alias("list"))
+    last = components.groupBy("sbom_id").agg(F.max("ord").alias("_last"))
+    raw = F.col("raw") if "raw" in components.columns else F.lit(None).cast("string")
+    rows = components.join(last, "sbom_id").select(
+        "sbom_id", "ord",
+        F.concat(documents_merge(raw, F.to_json("component")), F.when(F.col("ord") < F.col("_last"), ",").otherwise("")).alias("value"),
     )
     meta = F.col("metadata") if tools is None else F.struct(tools.alias("tools"))
-    heads = documents.select("sbom_id", F.to_json(F.struct("bomFormat", "specVersion", meta.alias("metadata"))).alias("head"))
-    return heads.join(lists, "sbom_id", "left").select(
-        "sbom_id",
-        F.concat(F.regexp_replace("head", r"\}$", ""), F.when(F.col("head") != "{}", ",").otherwise(""),
-                 F.lit('"components":['), F.col("list"), F.lit("]}")).alias("value"),
-    )
+    head = F.to_json(F.struct("bomFormat", "specVersion", meta.alias("metadata")))
+    if "raw" in documents.columns:
+        head = documents_merge(F.col("raw") if tools is None else without_tools(F.col("raw")), head)
+    heads = documents.select("sbom_id", F.lit(-1).cast("bigint").alias("ord"), F.concat(
+        F.regexp_replace(head, r"\}$", ""), F.when(head != "{}", ",").otherwise(""), F.lit('"components":[')).alias("value"))
+    ends = documents.select("sbom_id", F.lit((1 << 63) - 1).cast("bigint").alias("ord"), F.lit("]}").alias("value"))
+    return heads.unionByName(rows).unionByName(ends)
 
 
-def write_documents(documents: DataFrame, path: str) -> None:
-    documents.select("value").write.mode("overwrite").text(path)
+def rebuild_documents(components: DataFrame, documents: DataFrame, tools: Column | None = None) -> DataFrame:
+    """(sbom_id, value): documents as one value each, for those who need them so; see document_lines."""
+    lines = document_lines(components, documents, tools)
+    return lines.groupBy("sbom_id").agg(F.array_sort(F.collect_list(F.struct("ord", "value"))).alias("_l")).select(
+        "sbom_id", F.array_join(F.transform("_l", lambda x: x["value"]), "").alias("value"))
+
+
+def write_documents(lines: DataFrame, path: str) -> None:
+    """Writes document_lines as text, one folder per document, lines in order."""
+    (
+        lines.withColumn("document", T.partition_safe(F.col("sbom_id")))
+        .repartitionByRange("document", "ord").sortWithinPartitions("document", "ord")
+        .select("document", "value").write.mode("overwrite").partitionBy("document").text(path)
+    )
 
 
 def notices_blocks(flat: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
@@ -177,7 +188,7 @@ def component_scan_report(files: DataFrame, histogram: DataFrame, conflicts: Dat
     bad = conflicts.select(
         "component", F.lit(3).alias("section"), (-F.col("top_score")).alias("n"), F.col("path").alias("at"),
         F.concat(F.lit("| "), tick(F.col("path")), F.lit(" | "), tick(F.col("expr")), F.lit(" | "),
-                 F.format_number("top_score", 0), F.lit(" |")).alias("line"),
+                 F.format_string("%.0f", "top_score"), F.lit(" |")).alias("line"),
     )
     return head.unionByName(found).unionByName(bad)
 

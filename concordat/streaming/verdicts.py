@@ -15,7 +15,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from concordat import constants as C
 from concordat import schemas as S
-from concordat.session import broadcast_if_small
 from concordat.settings import DEFAULT_PROFILE, Profile
 from concordat.sources.releases import explode_verdicts
 
@@ -50,7 +49,7 @@ def drop_repeats(verdicts: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def escalate(verdicts: DataFrame, vendors: DataFrame) -> DataFrame:
     """Flagged rows with `severity`: alert for a listed vendor's engine, info for any other."""
-    listed = broadcast_if_small(vendors.select("engine", F.lit(True).alias("major")))
+    listed = vendors.select("engine", F.lit(True).alias("major"))
     return (
         verdicts.where(F.col("category").isin(*C.AV_FLAGGED))
         .join(listed, "engine", "left")

@@ -145,7 +145,7 @@ def test_statuses_and_tags(out):
     assert reasons["gone"] == "HTTP 404: Not Found — fell back to SPDX canonical"
     assert reasons["what"] == "no source dispatch (Unknown category: Mystery); used SPDX canonical"
     assert reasons["secret"] == "proprietary license 'LicenseRef-Proprietary'"
-    assert reasons["broken"].startswith(f"Archive open failed for {crate('broken')}: ReadError")
+    assert reasons["broken"].startswith(f"RuntimeError: Archive open failed for {crate('broken')}: ")
 
 
 def texts(out):

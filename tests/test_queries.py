@@ -27,7 +27,3 @@ def test_query(spark, con, name):
         assert not issues, issues
     else:
         assert df.count() > 0
-
-
-def test_no_query_caps_its_input():
-    assert set(TWINS) <= set(QUERIES)

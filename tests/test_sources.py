@@ -44,6 +44,34 @@ def test_inventory_keeps_order_and_defaults(spark, tmp_path):
     assert out["metadata"]["tools"][0]["name"] == "n" and out["specVersion"] == "1.5"
 
 
+def test_unknown_fields_survive_and_are_redacted(spark, tmp_path):
+    doc = {
+        "bomFormat": "CycloneDX", "specVersion": "1.5", "serialNumber": "urn:x", "metadata": {"timestamp": "t", "tools": [{"name": "old"}]},
+        "components": [
+            {"type": "library", "bom-ref": "r", "name": "a", "version": "1", "hashes": [{"alg": "x"}], "scope": None, "rank": 2.5,
+             "licenses": [{"license": {"id": "MIT", "url": "u"}}], "notes": {"at": "C:\\Users\\me\\x.c", "C:\\k": ["/home/me/y"]}},
+            {"type": "file", "name": "b"}],
+        "dependencies": [{"ref": "r", "dependsOn": []}],
+    }
+    path = put(tmp_path / "a.json", doc)
+    comps, docs = inventory.read_components(spark, path), inventory.read_documents(spark, path)
+    assert json.loads(sinks.rebuild_documents(comps, docs).first().value) == doc
+    stamp = F.expr("array(named_struct('vendor','v','name','n','version','1'))")
+    stamped = json.loads(sinks.rebuild_documents(comps, docs, stamp).first().value)
+    assert stamped["metadata"] == {"timestamp": "t", "tools": [{"vendor": "v", "name": "n", "version": "1"}]}
+    assert stamped["dependencies"] == doc["dependencies"]
+    hidden = json.loads(sinks.rebuild_documents(sinks.redact_components(comps), docs).first().value)
+    assert hidden["components"][0]["notes"] == {"at": "[REDACTED-PATH]", "C:\\k": ["[REDACTED-PATH]"]}
+    for name in ("none", "absent"):
+        empty = {"bomFormat": "CycloneDX", "components": []} if name == "none" else {"bomFormat": "CycloneDX"}
+        path = put(tmp_path / f"{name}.json", empty)
+        out = sinks.rebuild_documents(inventory.read_components(spark, path), inventory.read_documents(spark, path))
+        assert json.loads(out.first().value) == {"bomFormat": "CycloneDX", "components": []}
+    sinks.write_documents(sinks.document_lines(comps, docs), str(tmp_path / "out"))
+    lines = sorted((tmp_path / "out").glob("*/part-*"))
+    assert json.loads("".join(p.read_text() for p in lines)) == doc
+
+
 def test_maps_drop_comments_and_may_be_missing(spark, tmp_path):
     path = put(tmp_path / "c.json", {"_comment": "x", "_note": {"rationale": "no"}, "a@1": {"rationale": "r"}})
     # a comment that is no object makes the whole value unreadable for a strict parser; it must not here
