@@ -363,7 +363,7 @@ v AS (SELECT ord, CASE WHEN curated OR has_up = 0 THEN NULL ELSE 'up/repo' || ke
     WHEN card IS NOT NULL THEN CASE WHEN {I.loose_sql('recorded')} = {I.loose_sql('card')} THEN 'ACK' ELSE 'MISMATCH' END
     WHEN has_git THEN CASE WHEN NOT git_known OR key % 7 <= 1 THEN 'UNKNOWN' WHEN recorded = 'Apache-2.0' THEN 'ACK' ELSE 'MISMATCH' END
     ELSE 'UNKNOWN' END AS verdict,
-  CASE WHEN curated THEN 'order ' || ord
+  CASE WHEN curated THEN 'sbom_drift_curation.json: order ' || ord
     WHEN card IS NOT NULL THEN CASE WHEN {I.loose_sql('recorded')} = {I.loose_sql('card')} THEN 'upstream HF publisher declares ''' || card || ''''
       ELSE 'recorded=''' || recorded || ''' vs upstream declares ''' || card || '''' END
     WHEN has_git THEN CASE WHEN NOT git_known THEN 'github license API: not landed' WHEN key % 7 = 0 THEN 'github license API: HTTP 403'

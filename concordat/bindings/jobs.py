@@ -196,18 +196,23 @@ def enrichment_report(spark, d):
 
 _SCAN_REPORT = f"""WITH {_CLASSED},
 n(verdict) AS (VALUES ('ACK'), ('MISMATCH'), ('NO-DETECTION'), ('CURATED'), ('UNACCOUNTED')),
-quiet AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'NO-DETECTION'),
-loose AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'UNACCOUNTED' AND NOT (top LIKE '%.dist-info' OR top LIKE '~%')),
-acks AS (SELECT *, row_number() OVER (ORDER BY bucket, top) AS rn FROM cl WHERE outcome = 'ACK')
+place AS (SELECT bucket, top, min(ord) AS first_ord FROM scan GROUP BY 1, 2),
+pl AS (SELECT cl.*, first_ord, list_position(['npm', 'nodes', 'overrides', 'rust', 'python'], cl.bucket) AS b FROM cl JOIN place p ON p.bucket = cl.bucket AND p.top = cl.top),
+quiet AS (SELECT *, row_number() OVER (ORDER BY b, first_ord) AS rn FROM pl WHERE outcome = 'NO-DETECTION'),
+loose AS (SELECT *, row_number() OVER (ORDER BY b, first_ord) AS rn FROM pl WHERE outcome = 'UNACCOUNTED' AND NOT (top LIKE '%.dist-info' OR top LIKE '~%')),
+acks AS (SELECT *, row_number() OVER (ORDER BY b, first_ord) AS rn FROM pl WHERE outcome = 'ACK')
 SELECT 1 AS section, verdict AS at, '- ' || verdict || ': ' || count(outcome) AS line FROM n LEFT JOIN cl ON outcome = verdict GROUP BY verdict
 UNION ALL SELECT 2, name || chr(31) || top, '- `' || name || '` `' || version || '`: declared `' || declared || '`, detected `' || detected || '`' || chr(10) || '  - ' || rationale FROM cl WHERE outcome = 'CURATED'
 UNION ALL SELECT 3, bucket || chr(31) || name || chr(31) || top, '| ' || bucket || ' | `' || name || '` | `' || version || '` | `' || declared || '` | `' || detected || '` | ' ||
   CASE WHEN license_file_seen THEN '✓' ELSE '—' END || ' | ' || n_files || ' |' FROM cl WHERE outcome = 'MISMATCH'
-UNION ALL SELECT 4, '', '- `' || name || '` `' || version || '` (declared `' || declared || '`, ' || n_files || ' files, ' || bucket || ')' FROM quiet WHERE rn <= 30
-UNION ALL SELECT 4, '', '... and ' || (count(*) - 30) || ' more' FROM quiet HAVING count(*) > 30
-UNION ALL SELECT 5, '', '- `' || top || '` (' || bucket || ', ' || n_files || ' files, detected `' || coalesce(nullif(detected, ''), 'none') || '`)' FROM loose WHERE rn <= 30
-UNION ALL SELECT 5, '', '... and ' || (count(*) - 30) || ' more' FROM loose HAVING count(*) > 30
-UNION ALL SELECT 6, '', '- `' || name || '` `' || version || '`: declared `' || declared || '` ✓' FROM acks WHERE rn <= 25"""
+UNION ALL SELECT 4, '0000', '## NO-DETECTION (' || count(*) || ')' FROM quiet HAVING count(*) > 0
+UNION ALL SELECT 4, lpad(rn::VARCHAR, 4, '0'), '- `' || name || '` `' || version || '` (declared `' || declared || '`, ' || n_files || ' files, ' || bucket || ')' FROM quiet WHERE rn <= 30
+UNION ALL SELECT 4, '9999', '- ... and ' || (count(*) - 30) || ' more' FROM quiet HAVING count(*) > 30
+UNION ALL SELECT 5, '0000', '- Total: ' || count(*) FROM cl WHERE outcome = 'UNACCOUNTED' HAVING count(*) > 0
+UNION ALL SELECT 5, '0000+', '- After noise-stripping: ' || count(*) FROM loose HAVING count(*) > 0
+UNION ALL SELECT 5, lpad(rn::VARCHAR, 4, '0'), '- `' || top || '` (' || bucket || ', ' || n_files || ' files, detected `' || coalesce(nullif(detected, ''), 'none') || '`)' FROM loose WHERE rn <= 30
+UNION ALL SELECT 5, '9999', '- ... and ' || (count(*) - 30) || ' more' FROM loose HAVING count(*) > 30
+UNION ALL SELECT 6, lpad(rn::VARCHAR, 4, '0'), '- `' || name || '` `' || version || '`: declared `' || declared || '` ✓' FROM acks WHERE rn <= 25"""
 
 
 @query("scan_report", _SCAN_REPORT)

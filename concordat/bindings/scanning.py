@@ -161,7 +161,7 @@ def classified(spark, d):
 
 @query("scan_diff", f"WITH {_CLASSED} SELECT * FROM cl")
 def scan_diff_query(spark, d):
-    return classified(spark, d)
+    return classified(spark, d).drop("first_ord")
 
 
 @query("verdict_counts", f"""WITH {_CLASSED},

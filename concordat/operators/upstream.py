@@ -87,7 +87,7 @@ def audit(
         F.coalesce(*[v for v, _ in ladder], F.lit("UNKNOWN"))
     )
     rationale = F.coalesce(F.col("rationale"), F.lit("(no rationale)"))
-    detail = F.when(curated, shorten(rationale)).otherwise(
+    detail = F.when(curated, F.concat(F.lit(f"{profile.curation_label}: "), shorten(rationale))).otherwise(
         F.coalesce(*[d for _, d in ladder], F.lit("no documented upstream and no usable fallback"))
     )
     return located.select(

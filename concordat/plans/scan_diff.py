@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat import constants as C
@@ -10,7 +10,6 @@ from concordat.functions import paths, spdx
 from concordat.functions.text import or_default, shorten
 from concordat.operators.counts import verdict_counts
 from concordat.operators.curation import with_curation
-from concordat.operators.ordering import sample_with_rest
 from concordat.operators.matching import match_dirs
 from concordat.operators.scans import aggregate_dirs
 
@@ -20,7 +19,7 @@ def classify(files: DataFrame, components: DataFrame, curation: DataFrame) -> Da
 
     `files(bucket, ord, path, type, expr)`, `components(prefix, ord, name, version, declared)`,
     `curation(key, rationale)`. Outcomes are disjoint and cover every directory:
-    UNACCOUNTED, CURATED, ACK, MISMATCH, NO-DETECTION.
+    UNACCOUNTED, CURATED, ACK, MISMATCH, NO-DETECTION. `first_ord` is where the scan first names the directory.
     """
     matched = match_dirs(aggregate_dirs(files), components)
     return label(with_curation(matched, curation))
@@ -30,7 +29,7 @@ def label(matched: DataFrame) -> DataFrame:
     pair = spdx.verdict(F.col("declared"), F.col("dominant"))
     open_row = F.col("matched") & ~F.col("curated")
     return matched.withColumn("_v", pair).select(
-        "bucket", "top", "name", "version", "declared", F.col("dominant").alias("detected"),
+        "bucket", "top", "first_ord", "name", "version", "declared", F.col("dominant").alias("detected"),
         "n_files", "n_with_license", "license_file_seen", "rationale",
         F.when(~F.col("matched"), "UNACCOUNTED").when(F.col("curated"), "CURATED")
         .otherwise(F.col("_v.verdict")).alias("outcome"),
@@ -65,8 +64,25 @@ def mismatch_rows(classified: DataFrame) -> DataFrame:
     return classified.where(F.col("outcome") == "MISMATCH").select("bucket", "name", "top", line.alias("line"))
 
 
+def _in_scan_order(rows: DataFrame, line: Column, n: int, rest: bool = True) -> DataFrame:
+    """(k, line): the first n rows by bucket list and document order, numbered, and how many more there are."""
+    place = F.array_position(F.array(*[F.lit(b) for b in C.SCAN_BUCKETS]), F.col("bucket"))
+    order = [F.when(place > 0, place).otherwise(len(C.SCAN_BUCKETS) + 1), F.col("bucket"), F.col("first_ord"), F.col("top")]
+    first = rows.select("*", *[o.alias(f"_o{i}") for i, o in enumerate(order)]).orderBy("_o0", "_o1", "_o2", "_o3").limit(n)
+    number = F.row_number().over(Window.orderBy("_o0", "_o1", "_o2", "_o3"))  # of n rows at most
+    shown = first.select(F.lpad(number.cast("string"), 4, "0").alias("k"), line.alias("line"))
+    if not rest:
+        return shown
+    more = rows.agg((F.count(F.lit(1)) - n).alias("more")).where("more > 0")
+    return shown.unionByName(more.select(F.lit("9999").alias("k"), F.format_string("- ... and %d more", "more").alias("line")))
+
+
+def _total(rows: DataFrame, form: str, k: str = "0000") -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(F.lit(k).alias("k"), F.format_string(form, "n").alias("line"))
+
+
 def report(classified: DataFrame) -> DataFrame:
-    """(section, at, line): the report as sorted rows. Sections are small samples and tables."""
+    """(section, at, line): the report as sorted rows, unique by (section, at) within its samples."""
     def section(n: int, lines: DataFrame, order: list[str]) -> DataFrame:
         return lines.select(
             F.lit(n).alias("section"), F.concat_ws("\x1f", *order).alias("at"), "line"
@@ -86,7 +102,8 @@ def report(classified: DataFrame) -> DataFrame:
         F.lit("- "), _tick("name"), F.lit(" "), _tick("version"), F.lit(" (declared "), _tick("declared"),
         F.lit(", "), F.col("n_files").cast("string"), F.lit(" files, "), F.col("bucket"), F.lit(")"),
     )
-    loose = classified.where((F.col("outcome") == "UNACCOUNTED") & ~paths.is_noise_dir(F.col("top")))
+    unaccounted = classified.where(F.col("outcome") == "UNACCOUNTED")
+    loose = unaccounted.where(~paths.is_noise_dir(F.col("top")))
     loose_line = F.concat(
         F.lit("- "), _tick("top"), F.lit(" ("), F.col("bucket"), F.lit(", "), F.col("n_files").cast("string"),
         F.lit(" files, detected `"), or_default(F.col("detected"), "none"), F.lit("`)"),
@@ -94,14 +111,14 @@ def report(classified: DataFrame) -> DataFrame:
     acks = classified.where(F.col("outcome") == "ACK")
     ack_line = F.concat(F.lit("- "), _tick("name"), F.lit(" "), _tick("version"), F.lit(": declared "),
                         _tick("declared"), F.lit(" ✓"))
-    order = ["bucket", "top"]
     parts = [
         section(1, counts, ["verdict"]),
         section(2, curated, ["name", "top"]),
         section(3, mismatch_rows(classified), ["bucket", "name", "top"]),
-        section(4, sample_with_rest(silent, order, silent_line, 30).withColumn("k", F.lit("")), ["k"]),
-        section(5, sample_with_rest(loose, order, loose_line, 30).withColumn("k", F.lit("")), ["k"]),
-        section(6, acks.orderBy(*order).limit(25).select(ack_line.alias("line"), F.lit("").alias("k")), ["k"]),
+        section(4, _total(silent, "## NO-DETECTION (%d)").unionByName(_in_scan_order(silent, silent_line, 30)), ["k"]),
+        section(5, _total(unaccounted, "- Total: %d").unionByName(_total(loose, "- After noise-stripping: %d", "0000+"))
+                .unionByName(_in_scan_order(loose, loose_line, 30)), ["k"]),
+        section(6, _in_scan_order(acks, ack_line, 25, rest=False), ["k"]),
     ]
     out = parts[0]
     for p in parts[1:]:

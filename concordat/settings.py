@@ -14,6 +14,7 @@ class Profile:
     category_property: str = "component:category"
     depot_property: str = "component:depot"
     text_property: str = "component:licenseText"
+    curation_label: str = "sbom_drift_curation.json"
     notices_title: str = "Third-Party Notices"
     extra_path_patterns: tuple[str, ...] = ()
     header_max_files: int | None = None  # C.HEADER_MAX_FILES gives the published tools' cost cap

@@ -65,33 +65,42 @@ class _FlagTracker(StatefulProcessor):
         self.flagged = frozenset(flagged)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "fetched_at timestamp, category string")
+        self.last = handle.getValueState("last", "fetched_at timestamp, tie long, category string")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        held = self.last.get() if self.last.exists() else None
-        turns = []
         # Chunks of one batch arrive in no order and state must see time order, so the narrow
         # columns of this key's new rows are sorted here. A batch is bounded by the source's
         # maxFilesPerTrigger; older history is only the one state row.
-        new = pd.concat([c[["fetched_at", "category"]] for c in rows], ignore_index=True)
-        for at, category in new.sort_values("fetched_at", kind="stable").itertuples(index=False):
-            if held is not None and at < pd.Timestamp(held[0]):
-                continue
-            if held is not None and category in self.flagged and held[1] not in self.flagged:
-                turns.append((*key, at, category, held[1]))
-            held = (at, category)
-        if held is not None:
-            self.last.update((pd.Timestamp(held[0]).to_pydatetime(), held[1]))
-        if turns:
-            yield pd.DataFrame(turns, columns=["sha256", "engine", "fetched_at", "category", "prev_category"])
+        new = pd.concat([c[["fetched_at", "tie", "category"]] for c in rows], ignore_index=True)
+        new = new.sort_values(["fetched_at", "tie"], kind="stable")
+        before = None
+        if self.last.exists():
+            at, tie, before = self.last.get()
+            at = pd.Timestamp(at)
+            new = new[(new["fetched_at"] > at) | ((new["fetched_at"] == at) & (new["tie"] >= tie))]
+        if new.empty:
+            return
+        prev = new["category"].shift(1)
+        prev.iloc[0] = before
+        turns = new[new["category"].isin(self.flagged) & prev.notna() & ~prev.isin(self.flagged)]
+        end = new.iloc[-1]
+        self.last.update((end["fetched_at"].to_pydatetime(), int(end["tie"]), end["category"]))
+        if len(turns):
+            yield pd.DataFrame({
+                "sha256": key[0], "engine": key[1], "fetched_at": turns["fetched_at"], "category": turns["category"],
+                "prev_category": prev[turns.index]})
 
     def close(self) -> None:
         pass
 
 
 def retro_flags(verdicts: DataFrame, flagged: Sequence[str] = C.AV_FLAGGED) -> DataFrame:
-    """Clean-to-flagged turns per (sha256, engine); rows older than the kept one are ignored."""
-    return verdicts.select("sha256", "engine", "fetched_at", "category").groupBy("sha256", "engine").transformWithStateInPandas(
+    """Clean-to-flagged turns per (sha256, engine); rows older than the kept one are ignored.
+
+    Rows of one moment are ordered by event_id where the stream has it.
+    """
+    tie = F.col("event_id").cast("long") if "event_id" in verdicts.columns else F.lit(0).cast("long")
+    return verdicts.select("sha256", "engine", "fetched_at", tie.alias("tie"), "category").groupBy("sha256", "engine").transformWithStateInPandas(
         statefulProcessor=_FlagTracker(flagged), outputStructType=FLAG_SCHEMA, outputMode="Append", timeMode="None",
     )
 
