@@ -20,7 +20,7 @@ def parts(spark, d):
 @query("dominant_license", f"""WITH {I.scan_cte()}, {I.dirs_cte()}
 SELECT bucket, top, n_files, n_with_license, license_file_seen, license_file_detected, dominant FROM dirs""")
 def dominant_license(spark, d):
-    return scans.aggregate_dirs(I.scan_files(spark, d))
+    return scans.aggregate_dirs(I.scan_files(spark, d)).drop("first_ord")
 
 
 @query("expression_histogram", f"""WITH {I.scan_cte()}
