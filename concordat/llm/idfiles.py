@@ -83,7 +83,9 @@ class Encoder:
         first = np.cumsum(sizes) - sizes
         per_word = sizes[index]
         ends = np.cumsum(per_word)
-        take = np.arange(int(ends[-1]), dtype=np.int64) + np.repeat(first[index] - (ends - per_word), per_word)
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        take = np.repeat((first[index] - (ends - per_word)).astype(kind), per_word)
+        take += np.arange(int(ends[-1]), dtype=kind)
         edges = np.concatenate([[0], ends])
         return flat[take], edges[bounds[1:]] - edges[bounds[:-1]]
 
