@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from concordat.session import pin
+
 SPACE = r"[\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\x0c\r"
 
@@ -25,9 +30,43 @@ def packed(docs: DataFrame) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
 
 
+_FILE_ROWS = 40  # bits of a row's place within its file
+
+
+def _in_files(docs: DataFrame) -> DataFrame | None:
+    """_file, _index and _doc of a table that is plain Parquet files, else None."""
+    if not docs._jdf.queryExecution().analyzed().nodeName().startswith("LogicalRelation"):
+        return None
+    try:
+        at = docs.metadataColumn("_metadata")
+        file = F.regexp_replace(at["file_path"], r"^(\w+):/+", "$1:/")
+        return docs.select(file.alias("_file"), at["row_index"].alias("_index"), packed(docs))
+    except AnalysisException:
+        return None
+
+
+def steady(docs: DataFrame) -> DataFrame:
+    """docs as plain Parquet files, written once if they are anything else; for operators that number them more than once."""
+    return docs if _in_files(docs) is not None else pin(docs)
+
+
 def numbered(docs: DataFrame) -> DataFrame:
-    """_row, the row's place as the files are read, and _doc."""
-    return docs.select(F.monotonically_increasing_id().alias("_row"), packed(docs))
+    """_row, the row's file and place in it, and _doc; every read of the result gives a row the same number.
+
+    The number is that of the Parquet reader and not of the task, so it does not depend on how files are split, which
+    Spark decides anew for each job. Tables that are not plain Parquet files are written once and numbered there.
+    """
+    docs = steady(docs)
+    place = _in_files(docs)
+    # One file URI may be spelled file:/x and file:///x.
+    files = sorted({re.sub(r"^(\w+):/+", r"\1:/", f) for f in docs.inputFiles()})
+    if len(files) <= 1:
+        return place.select(F.col("_index").alias("_row"), "_doc")
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(files)), "_no long, _file string")
+    # A file without a number would be an error in here, and must not lose its rows quietly.
+    number = F.coalesce("_no", F.raise_error(F.concat(F.lit("no number for "), F.col("_file"))).cast("long"))
+    return place.join(F.broadcast(numbers), "_file", "left").select(
+        F.shiftleft(number, _FILE_ROWS).bitwiseOR(F.col("_index")).alias("_row"), "_doc")
 
 
 # Rows of a narrow written table that may be broadcast: a few dozen MB.

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import MAX_BROADCAST, counted, numbered
+from concordat.llm.common import MAX_BROADCAST, counted, numbered, steady
 from concordat.llm.simhash import lane_sums, majority
 from concordat.session import pin
 
@@ -100,14 +100,15 @@ def found_in(
 ) -> DataFrame:
     """_row, doc_id, item_id, similarity, window_start (in words) for each document and item found in it, at its best.
 
-    _row numbers the rows of docs as they are read; docs must be read from files.
+    _row is the row's number in docs (common.numbered).
     """
+    docs = steady(docs)
     bench = items(benchmark)
     posts = pin(bench.select("_iid", "m", F.explode(F.array_distinct("_shingles")).alias("_h")))
     keys = posts.select("_h").distinct()
     if posts.count() <= MAX_BROADCAST:
         keys, posts, bench = F.broadcast(keys), F.broadcast(posts), F.broadcast(bench)
-    read = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", "text")
+    read = numbered(docs).select("_row", F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text"))
     # An outer explode, or the optimizer computes every array once more to drop empty ones.
     seeds = pin(read.select("_row", F.posexplode_outer(shingles(F.col("text"))).alias("_at", "_h")).join(keys, "_h", "left_semi"))
     need = F.ceil(F.col("m") * F.lit(share)).cast("int")
@@ -153,6 +154,7 @@ def found_in(
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no benchmark item is found; same columns. docs must be read from files."""
+    """The documents in which no benchmark item is found; same columns."""
+    docs = steady(docs)
     hit = pin(found_in(docs, benchmark).select("_row").distinct())
     return numbered(docs).join(counted(hit), "_row", "left_anti").select("_doc.*")

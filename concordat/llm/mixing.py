@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm.common import n_words, numbered, running
+from concordat.llm.common import n_words, numbered, running, steady
 from concordat.session import pin
 
 BLOCK = 1024
@@ -34,8 +34,9 @@ def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """doc_id, source, size and place in the shuffled order, without texts."""
     size = n_words(F.col("text"))
     digest = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), size.cast("string")))
-    return docs.select(
-        F.monotonically_increasing_id().alias("_number"), "doc_id", "source", size.alias("size"),
+    rows = numbered(docs).select(F.col("_row").alias("_number"), *[F.col(f"_doc.{c}").alias(c) for c in ("doc_id", "source", "text")])
+    return rows.select(
+        "_number", "doc_id", "source", size.alias("size"),
         F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("_src"),
         F.conv(F.substring(digest, 1, _ORDER_BITS // 4), 16, 10).cast("long").alias("_h"),
     )
@@ -123,7 +124,7 @@ def mixture(
 ) -> DataFrame:
     """One row per document: _number, doc_id, source, size, source_size, target, taken, and rounds.
 
-    _number is its place in docs as they are read; rounds says how often the mix has the document's first word; taken counts its words in the mix.
+    _number is its number in docs (common.numbered); rounds says how often the mix has the document's first word; taken counts its words in the mix.
     """
     rows = pin(sized(docs, seed).withColumn("_piece_no", F.shiftright("_h", _ORDER_BITS - _PIECES)))
     sources = pin(targets(rows, weights, share, cap))
@@ -150,7 +151,8 @@ def mixture(
 
 
 def mixed(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, cap: float = 2.0, block: int = BLOCK) -> DataFrame:
-    """The documents, each as often as its first word is in the mix; same columns. docs must be read from files."""
+    """The documents, each as often as its first word is in the mix; same columns."""
+    docs = steady(docs)
     often = pin(mixture(docs, weights, share, cap, block).where("rounds > 0").select(F.col("_number").alias("_row"), "rounds"))
     rows = numbered(docs).join(often.hint("merge"), "_row")  # most documents, so never broadcast
     return rows.select("_doc", F.explode(F.expr("sequence(1, rounds)"))).select("_doc.*")

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from concordat.llm.common import numbered, words
+from concordat.llm.common import numbered, steady, words
 from concordat.llm.components import components
 from concordat.session import pin
 
@@ -89,7 +89,11 @@ def majority(n: Column | str) -> Column:
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
     """doc_id, _row and fp (the 64 bits as a signed number) of every row."""
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", shingle_hashes(F.col("text"), n).alias("_s"))
+    return _prints(numbered(docs), n)
+
+
+def _prints(rows: DataFrame, n: int) -> DataFrame:
+    rows = rows.select("_row", F.col("_doc.doc_id").alias("doc_id"), shingle_hashes(F.col("_doc.text"), n).alias("_s"))
     each = rows.select("_row", "doc_id", F.explode_outer("_s").alias("_h"))
     sums = each.groupBy("_row", "doc_id").agg(F.count("_h").alias("_n"), *lane_sums("_h"))
     return sums.select("_row", "doc_id", majority("_n").alias("fp"))
@@ -158,10 +162,8 @@ def near_duplicates(docs: DataFrame, n: int = 3, crowd: int = CROWD) -> DataFram
 
 
 def keep_one(docs: DataFrame, n: int = 3) -> DataFrame:
-    """The documents with the least doc_id of each component; same columns. Of rows that share it, one stays.
-
-    docs must be read from files: their rows are numbered in two scans, which file splits make agree.
-    """
+    """The documents with the least doc_id of each component; same columns. Of rows that share it, one stays."""
+    docs = steady(docs)
     found = near_duplicates(docs, n)
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("_row").alias("_row"))
     kept = first.select("_row").hint("merge")  # most documents, so never broadcast
