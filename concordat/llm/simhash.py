@@ -148,7 +148,10 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, n: int = 3, crowd: int = CROWD) -> DataFrame:
-    """One row per document: doc_id, fp and component_id; rows of one component are duplicates."""
+    """One row per document: _row, doc_id, fp, component_id and group; rows of one group are duplicates.
+
+    group is a fingerprint of the component. It tells components apart whose component_id is the same or null.
+    """
     prints = pin(fingerprints(docs, n))
     distinct = pin(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     groups = pin(components(links(distinct.select("fp"), crowd), "a", "b"))
@@ -156,15 +159,17 @@ def near_duplicates(docs: DataFrame, n: int = 3, crowd: int = CROWD) -> DataFram
         distinct.join(groups.withColumnRenamed("node", "fp"), "fp")
         .groupBy("component").agg(F.min("first_id").alias("least_id"))
     )
-    named = groups.join(lead, "component").select(F.col("node").alias("fp"), "least_id")
-    known = distinct.join(named, "fp", "left").select("fp", F.coalesce("least_id", "first_id").alias("component_id"))
-    return prints.join(known, "fp").select("_row", "doc_id", "fp", "component_id")
+    named = groups.join(lead, "component").select(F.col("node").alias("fp"), "least_id", F.col("component").alias("group"))
+    known = distinct.join(named, "fp", "left").select(
+        "fp", F.coalesce("least_id", "first_id").alias("component_id"), F.coalesce("group", "fp").alias("group"))
+    return prints.join(known, "fp").select("_row", "doc_id", "fp", "component_id", "group")
 
 
 def keep_one(docs: DataFrame, n: int = 3) -> DataFrame:
-    """The documents with the least doc_id of each component; same columns. Of rows that share it, one stays."""
+    """One document of each component, that with the least doc_id (null is the greatest); same columns. Of rows that share it, one stays."""
     docs = steady(docs)
     found = near_duplicates(docs, n)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("_row").alias("_row"))
-    kept = first.select("_row").hint("merge")  # most documents, so never broadcast
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")
+    first = found.groupBy("group").agg(F.min(place).alias("first"))
+    kept = first.select("first._row").hint("merge")  # most documents, so never broadcast
     return numbered(docs).join(kept, "_row", "left_semi").select("_doc.*")

@@ -38,3 +38,11 @@ def test_numbers_of_other_tables(spark, stored):
         rows = numbered(other)
         assert rows.select("_row").distinct().count() == other.count() and rows.select("_doc.*").columns == other.columns
     assert simhash.keep_one(docs.unionByName(docs)).count() == 20
+
+
+def test_every_component_keeps_a_document(stored):
+    texts = ["one two three four five", "six seven eight nine ten", "red blue green grey pink"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[0]), (7, texts[2]), (7, texts[1] + " eleven twelve"), (9, texts[2])]
+    kept = simhash.keep_one(stored(rows, "doc_id long, text string")).collect()
+    assert sorted(r.text for r in kept) == sorted([*texts, texts[1] + " eleven twelve"])
+    assert [r.doc_id for r in kept if r.text == texts[2]] == [7]
