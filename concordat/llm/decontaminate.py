@@ -1,8 +1,8 @@
 r"""Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact verification.
 
 Words are runs of letters and digits, lower-cased; shingles are five words. Every benchmark item has a fingerprint
-of its shingles, and so has each window of a document with as many shingles as an item. A window and an item
-of one length are compared if their fingerprints differ by RADIUS bits at most: 64 bits are cut into RADIUS + 1 blocks, of
+of its shingles, and so has each window of a document with as many shingles as an item; a document with fewer is one window for
+that item. A window and an item of its length are compared if their fingerprints differ by RADIUS bits at most: 64 bits are cut into RADIUS + 1 blocks, of
 which at least one is then untouched, so pairs meet under (length, block, value). What meets is verified by the exact
 weighted similarity of the two bags of shingles, sum of lesser counts over sum of greater ones.
 
@@ -64,7 +64,7 @@ def _block(fp: Column, first: int, mask: int) -> Column:
 
 
 def similarity(a: Column, b: Column) -> Column:
-    """Weighted similarity of two bags given as arrays of equal length."""
+    """Weighted similarity of two bags given as arrays."""
     def times(bag, x):
         return F.size(F.filter(bag, lambda y: y == x))
 
@@ -122,14 +122,15 @@ def found_in(
     windows = (
         read.join(counted(pin(places)), "_row").withColumn("_s", shingles(F.col("text")))
         .select("_row", "doc_id", "_s", F.explode("_windows").alias("_x"))
-        .where(F.col("_x._start") + F.col("_x.m") <= F.size("_s"))
+        # A document shorter than the item is its one window, named by start 0, which its runs always have.
+        .where((F.col("_x._start") + F.col("_x.m") <= F.size("_s")) | ((F.col("_x._start") == 0) & (F.size("_s") < F.col("_x.m"))))
         .select("_row", "doc_id", F.col("_x.m").alias("m"), F.col("_x._start").alias("window_start"),
                 F.array_sort(F.slice("_s", F.col("_x._start") + 1, F.col("_x.m"))).alias("_bag"))
     )
     prints = pin(
         windows.select("*", F.explode("_bag").alias("_h"))
         .groupBy("_row", "doc_id", "m", "window_start", "_bag").agg(*lane_sums("_h"))
-        .select("_row", "doc_id", "m", "window_start", "_bag", majority(F.col("m")).alias("fp"))
+        .select("_row", "doc_id", "m", "window_start", "_bag", majority(F.size("_bag")).alias("fp"))
     )
 
     def indexed(df, fp):
