@@ -2,8 +2,8 @@ r"""Secret scan weighed by how many owners a credential has, in column functions
 
 Base spans per kind are leftmost, non-overlapping matches (kinds below). Then the corpus is asked who owns each
 value: hashes of candidate values are counted by distinct repositories and distinct owners. A value that several
-owners have is an example that people copy; a value of few owners that looks random is taken for live, and its value
-gets a span of kind "live" beside the base span. Base spans are never taken away.
+owners or many repositories have is an example that people copy; one of few owners and few repositories that looks random is
+taken for live, and its value gets a span of kind "live" beside the base span. Base spans are never taken away.
 
 Positions come from splitting the text at the same pattern: pieces and matches alternate, so running lengths give the
 code point at which each match begins.
@@ -34,6 +34,7 @@ KINDS = (
 _QUICK = {"access": r"(AKIA[A-Z0-9]{12,})", "hex": r"([0-9a-f]{32,})"}
 LIVE = "live"
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 10
 MIN_ENTROPY = 2.5  # bits per character
 
 
@@ -106,7 +107,7 @@ def ownership(base: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, text: str = "text", repository: str = "doc_id", owner: str = "source",
-    max_owners: int = MAX_OWNERS, min_entropy: float = MIN_ENTROPY,
+    max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES, min_entropy: float = MIN_ENTROPY,
 ) -> DataFrame:
     """repository, n_assign, n_access, n_hex, base, spans, n_live, n_example for each row.
 
@@ -116,14 +117,15 @@ def scan(
     owned = ownership(base)
     each = base.where(F.size("_base") > 0).select("_row", F.explode("_base").alias("s")).select(
         "_row", "s", F.sha2(F.col("s.value"), 256).alias("value_hash"))
-    live = (F.col("owners") <= max_owners) & (entropy(F.col("s.value")) >= min_entropy)
+    copied = (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories)
+    live = ~copied & (entropy(F.col("s.value")) >= min_entropy)
     tail = F.length("s.value")
     added = F.when(live, F.struct(
         (F.col("s.end") - tail).alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit(LIVE).alias("kind"),
         F.col("s.end").alias("end"), F.col("s.value").alias("value")))
     judged = (
         each.join(owned, "value_hash")
-        .select("_row", added.alias("live"), (F.col("owners") > max_owners).alias("copied"))
+        .select("_row", added.alias("live"), copied.alias("copied"))
         .groupBy("_row").agg(F.collect_set("live").alias("_live"), F.sum(F.col("copied").cast("long")).alias("n_example"))
     )
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
