@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordat.llm import chat, decontaminate, idfiles, line_dedup, mixing, quality, secrets, simhash, token_counts, warc
+from concordat.llm import (
+    alignment, chat, decontaminate, idfiles, line_dedup, mixing, quality, secrets, simhash, substrings, token_counts, warc, whitening,
+)
 from concordat.session import pin
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,10 +86,10 @@ def op4_secret_owners(spark, folder):
     )
 
 
-def tokenizer() -> str:
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 @query("op7_heap_merge_counts")
@@ -139,3 +141,31 @@ def op3_warc_shards(spark, folder):
 def op5_fuzzy_lines(spark, folder):
     found = line_dedup.fuzzy_lines(table(spark, folder, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed_lines"))
+
+
+@query("op11_shifted_cholesky")
+def op11_shifted_cholesky(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_end_dictionaries")
+def op12_end_dictionaries(spark, folder):
+    return alignment.links(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))[0]
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d),
+k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(w[s : s + 19], ' ') ORDER BY doc_id, s) AS r FROM p),
+g AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS i FROM k WHERE r > 1),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+j AS (SELECT e.doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM e ANTI JOIN g USING (doc_id, i) GROUP BY e.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN j ON d.doc_id = j.doc_id
+"""
+
+
+@query("op13_count_min", SUBSTRING_SQL)
+def op13_count_min(spark, folder):
+    found = substrings.without_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
