@@ -6,7 +6,8 @@ owners or many repositories have is an example that people copy; one of few owne
 taken for live, and its value gets a span of kind "live" beside the base span. Base spans are never taken away.
 
 Positions come from splitting the text at the same pattern: pieces and matches alternate, so running lengths give the
-code point at which each match begins.
+code point at which each match begins. The sums run over rows, a match each, so that a text of many matches costs no more than
+as many texts of one.
 
 Counting is two-stage with combining before each shuffle: distinct (value, repository, owner), then counts per value.
 A value that a third of all documents have is thus one row per task, and joining it back is left to skew-splitting
@@ -19,7 +20,7 @@ not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from concordat.session import pin
@@ -38,31 +39,16 @@ MAX_REPOSITORIES = 10
 MIN_ENTROPY = 2.5  # bits per character
 
 
-def spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """Structs of start, rank, kind, end, value for the matches of one kind; start and end in code points."""
+def matches(text: Column, kind: str, pattern: str, group: int) -> Column:
+    """Structs of rank, i, gap, size, value for the matches of one kind: gap and size are code points before the match and in it."""
     rank = [k for k, *_ in KINDS].index(kind)
-    found = F.struct(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("v"),
-        F.split(text, pattern).alias("gap"),
-    )
-
-    def placed(x):
-        # before[i]: code points before match i
-        sizes = F.transform(x["m"], lambda m, i: F.length(F.get(x["gap"], i)) + F.length(m))
-        ends = F.aggregate(
-            sizes, F.array().cast("array<int>"),
-            lambda a, n: F.concat(a, F.array(F.coalesce(F.element_at(F.when(F.size(a) > 0, a), -1), F.lit(0)) + n)),
-        )
-        return F.filter(
-            F.transform(x["m"], lambda m, i: F.struct(
-                (F.get(ends, i) - F.length(m)).alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"),
-                F.get(ends, i).alias("end"), F.get(x["v"], i).alias("value"),
-            )),
-            lambda s: F.length(s["value"]) >= least,
-        )
-
-    return F.transform(F.array(found), placed)[0]
+    sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.length)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    gaps = F.transform(F.split(text, pattern), F.length)
+    # zipped, not looked up by place, so that each pattern runs over the text once
+    zipped = F.filter(F.arrays_zip(sizes.alias("size"), values.alias("value"), gaps.alias("gap")), lambda x: x["size"].isNotNull())
+    return F.transform(zipped, lambda x, i: F.struct(
+        F.lit(rank).alias("rank"), i.alias("i"), x["gap"].alias("gap"), x["size"].alias("size"), x["value"].alias("value")))
 
 
 def entropy(value: Column) -> Column:
@@ -79,26 +65,41 @@ def _listed(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def base_spans(docs: DataFrame, text: str, repository: str, owner: str) -> DataFrame:
-    """_row, the id columns and the base spans in order, from one scan of the texts."""
+_MATCH = "array<struct<rank:int,i:int,gap:int,size:int,value:string>>"
+
+
+def found_matches(docs: DataFrame, text: str, repository: str, owner: str) -> DataFrame:
+    """_row, the id columns and the matches of all kinds, from one scan of the texts."""
     t = F.coalesce(F.col(text), F.lit(""))
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
+    none = F.array().cast(_MATCH)
     per_kind = []
-    for kind, pattern, group, least in KINDS:
+    for kind, pattern, group, _ in KINDS:
         quick = _QUICK.get(kind, pattern)
-        per_kind.append(F.when(t.rlike(quick), spans(t, kind, quick, group, least)).otherwise(none))
+        per_kind.append(F.when(t.rlike(quick), matches(t, kind, quick, group)).otherwise(none))
     return docs.select(
         F.monotonically_increasing_id().alias("_row"), F.col(repository).alias("_repository"), F.col(owner).alias("_owner"),
-        F.array_sort(F.concat(*per_kind)).alias("_base"),
+        F.concat(*per_kind).alias("_matches"),
     )
 
 
-def ownership(base: DataFrame) -> DataFrame:
+def base_spans(found: DataFrame) -> DataFrame:
+    """_row, the id columns, start, rank, kind, end (code points) and value of every base span, a row each.
+
+    Running sums of a text's own gaps and matches give the places: linear in the matches, however many a text has.
+    """
+    each = found.where(F.size("_matches") > 0).select("_row", "_repository", "_owner", F.inline("_matches"))
+    upto = Window.partitionBy("_row", "rank").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto).cast("int"))
+    kinds, least = F.array(*[F.lit(k) for k, *_ in KINDS]), F.array(*[F.lit(n) for *_, n in KINDS])
+    return placed.where(F.length("value") >= F.get(least, F.col("rank"))).select(
+        "_row", "_repository", "_owner", (F.col("end") - F.col("size")).alias("start"), "rank", F.get(kinds, F.col("rank")).alias("kind"), "end", "value")
+
+
+def ownership(spans: DataFrame) -> DataFrame:
     """value_hash, repositories, owners for each candidate value of the corpus."""
-    each = base.select(
+    each = spans.select(
         F.coalesce(F.col("_repository").cast("string"), F.lit("")).alias("_repository"),
-        F.coalesce(F.col("_owner").cast("string"), F.lit("")).alias("_owner"),
-        F.explode(F.array_distinct(F.transform("_base", lambda s: F.sha2(s["value"], 256)))).alias("value_hash"),
+        F.coalesce(F.col("_owner").cast("string"), F.lit("")).alias("_owner"), "value_hash",
     ).distinct()
     return each.groupBy("value_hash").agg(
         F.count_distinct("_repository").alias("repositories"), F.count_distinct("_owner").alias("owners"),
@@ -113,28 +114,27 @@ def scan(
 
     base and spans are texts of kind:start:end, by start and then kind, base without and spans with the live ones.
     """
-    base = pin(base_spans(docs, text, repository, owner))
-    owned = ownership(base)
-    each = base.where(F.size("_base") > 0).select("_row", F.explode("_base").alias("s")).select(
-        "_row", "s", F.sha2(F.col("s.value"), 256).alias("value_hash"))
+    found = pin(found_matches(docs, text, repository, owner))
+    spans = pin(base_spans(found).withColumn("value_hash", F.sha2("value", 256)))
     copied = (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories)
-    live = ~copied & (entropy(F.col("s.value")) >= min_entropy)
-    tail = F.length("s.value")
-    added = F.when(live, F.struct(
-        (F.col("s.end") - tail).alias("start"), F.lit(len(KINDS)).alias("rank"), F.lit(LIVE).alias("kind"),
-        F.col("s.end").alias("end"), F.col("s.value").alias("value")))
-    judged = (
-        each.join(owned, "value_hash")
-        .select("_row", added.alias("live"), copied.alias("copied"))
-        .groupBy("_row").agg(F.collect_set("live").alias("_live"), F.sum(F.col("copied").cast("long")).alias("n_example"))
-    )
-    none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,value:string>>")
+    live = ~copied & (entropy(F.col("value")) >= min_entropy)
 
-    def count(kind):
-        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    def span(start, rank, kind):
+        return F.struct(start.alias("start"), rank.alias("rank"), kind.alias("kind"), F.col("end"))
 
-    return base.join(judged, "_row", "left").withColumn("_live", F.coalesce("_live", none)).select(
-        F.col("_repository").alias(repository), *[count(k) for k, *_ in KINDS],
-        _listed(F.col("_base")).alias("base"), _listed(F.array_sort(F.concat("_base", "_live"))).alias("spans"),
-        F.size("_live").cast("long").alias("n_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
+    added = F.when(live, span(F.col("end") - F.length("value"), F.lit(len(KINDS)), F.lit(LIVE)))
+    judged = (
+        spans.join(ownership(spans), "value_hash")
+        .select("_row", span(F.col("start"), F.col("rank"), F.col("kind")).alias("base"), added.alias("live"), copied.alias("copied"))
+        .groupBy("_row").agg(
+            F.collect_list("base").alias("_base"), F.collect_set("live").alias("_live"), F.sum(F.col("copied").cast("long")).alias("n_example"),
+            *[F.count(F.when(F.col("base.rank") == i, 1)).alias(f"n_{k}") for i, (k, *_) in enumerate(KINDS)])
+        .select(
+            "_row", "n_example", *[f"n_{k}" for k, *_ in KINDS], F.size("_live").cast("long").alias("n_live"),
+            _listed(F.array_sort("_base")).alias("base"), _listed(F.array_sort(F.concat("_base", "_live"))).alias("spans"))
+    )
+    counts = [F.coalesce(f"n_{k}", F.lit(0)).cast("long").alias(f"n_{k}") for k, *_ in KINDS]
+    return found.select("_row", "_repository").join(judged, "_row", "left").select(
+        F.col("_repository").alias(repository), *counts, *[F.coalesce(c, F.lit("")).alias(c) for c in ("base", "spans")],
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_example")],
     )
