@@ -26,12 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from concordat.llm import rangecoder, storage
+from concordat.llm import packets, rangecoder, storage
 from concordat.llm.bpe import CACHE, Pieces, distinct_words
 from concordat.session import pin, ship_package
 
 END_ID = 2
 FILE_TEXT = 32 << 20  # bytes of text that a file is meant to hold
+AT_ONCE = 4 << 20  # bytes of text that are encoded together
 _LENGTH = "<Q"
 
 
@@ -47,6 +48,7 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.cutter = Pieces(path)
+        del self.cutter.model  # the library has its own
         self.known: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
@@ -153,8 +155,10 @@ def _write(path: str, folder: str, end: int, batches: Iterator[pa.RecordBatch])
     with storage.writing(uri, str(task.taskAttemptId())) as out:
         file = _File(out, rangecoder.LANES * rangecoder.BLOCK)
         while batch is not None:
-            ids, counts = encoder.texts(batch.column("text"))
-            file.add(batch.column("doc_id"), counts + 1, with_end(ids, counts, end))
+            for docs, texts in packets.gathered(iter([batch]), AT_ONCE):
+                ids, counts = encoder.texts(texts)
+                file.add(docs, counts + 1, with_end(ids, counts, end))
+            del docs, texts, ids, counts
             batch = next(batches, None)
         documents = file.end()
     row = [[part], [uri], [documents], [file.ids], [file.size], [file.crc]]

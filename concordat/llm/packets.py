@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from concordat.llm import storage
 from concordat.session import pin, ship_package
 
-PIECE = 8 << 20  # bytes of text a piece is meant to hold; a longer document is a piece of its own
+PIECE = 3 << 20  # bytes of text a piece is meant to hold; a longer document is a piece of its own
 LETTER = "part int, seq int, bucket int, data binary"
 
 

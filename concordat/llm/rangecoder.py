@@ -1,71 +1,114 @@
 """Adaptive context-mixing range coder for token ids, many blocks abreast.
 
 A group of blocks is coded together: each block is a lane of numpy vectors, so a step codes one id of every block.
-Blocks never look at each other. Each starts from a fresh model and can be checked by its own CRC.
+Blocks never look at each other. Each starts from a fresh model, has its own words and CRC, and can be decoded alone.
 
 The model of a block guesses ids from its last two (order 2), its last one (order 1) and from none (order 0).
 Orders 2 and 1 guess what followed the same context before, with a confidence that rises when the guess comes true.
-Order 0 is the distribution of ids in the group, kept beside the blocks. The three are mixed into one distribution:
-the weights of the guesses are learned per confidence while the block is read, and what they leave is order 0's.
-A 64-bit range coder turns the intervals into 32-bit words; carries run back through words already put out.
+Order 0 counts the block's frequent ids: a table whose entries are replaced in turn unless they have come back since. Its share is
+divided by these counts. What is left is a fixed curve over the vocabulary, lower ids being more common, for ids not in the table.
+The weights of all three are learned while the block is read. A 64-bit range coder turns the intervals into 32-bit words; carries
+run back through words already put out.
 
-Group: head (ids, blocks, words per block, CRC per block, order-0 frequencies), then the words of each block.
+Group: head (symbols, symbols per block, symbols an id, bound of symbols, bytes of words, CRC of what follows in the head), words and CRC
+per block, then the words.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 
 BLOCK = 2048
 LANES = 2048
+BOUND = 1 << 18  # larger ids, below 2^30, go as two symbols each
 _SLOTS = 2048
-_HEAD = struct.Struct("<4sIIII")
+_FREQUENT = 16  # entries of the order-0 table
+_HALVE = 64  # steps after which counts are halved
+_HEAD = struct.Struct("<4sIIIIII")
+_HALF = 15  # bits of the lower symbol of an id that goes as two
 _NONE = np.uint32(0xFFFFFFFC)  # no id, no confidence
+_EMPTY = np.uint32(0xFFFFFFFF)
 _ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
 _Q_LOW, _Q2_HIGH, _Q1_HIGH = 64, 63488, 57344  # of 65536
+_Q0_LOW, _Q0_HIGH = 2048, 61440
+_BEFORE = np.tril(np.ones((_FREQUENT, _FREQUENT), np.float32), -1)
+_ALL = np.ones(_FREQUENT, np.float32)
 _U = np.uint64
 _S32, _LIMIT = _U(32), _U(1 << 32)
 
 
+@lru_cache(maxsize=4)
+def curve(bound: int) -> tuple[np.ndarray, int]:
+    """Where each id's share of the fixed curve begins, with the end, and the logarithm of the whole."""
+    bits = max(bound.bit_length() + 1, 8)
+    weight = (1 << 32) // (np.arange(bound, dtype=np.int64) + 256)
+    share = 1 + weight * ((1 << bits) - bound) // int(weight.sum())
+    share[0] += (1 << bits) - int(share.sum())
+    return np.concatenate([[0], np.cumsum(share)]), bits
+
+
+@lru_cache(maxsize=4)
+def _owner(bound: int) -> np.ndarray:
+    edge, _ = curve(bound)
+    return np.repeat(np.arange(bound, dtype=np.uint32), np.diff(edge))
+
+
 class _Model:
     """Guesses and their weights for all lanes. A table entry is an id and, in its last two bits, a confidence."""
 
-    def __init__(self, lanes: int, slot_bits: int):
+    def __init__(self, lanes: int, bits: int):
         self.base = np.arange(lanes, dtype=np.int64) * _SLOTS
         self.bin = np.arange(lanes, dtype=np.int64) * 4
+        self.lane = np.arange(lanes)
         self.guess = [np.full(lanes * _SLOTS, _NONE, np.uint32) for _ in range(2)]
-        self.weight = [np.full(lanes * 4, 8192, np.int32) for _ in range(2)]
+        self.weight = [np.full(lanes * 4, 8192, np.int64) for _ in range(2)]
         self.last = np.zeros(lanes, np.uint32)
         self.mark = np.zeros(lanes, np.uint32)
-        self.total = 1 << (slot_bits + 8)
-        self.shift = slot_bits + 8 - 16
+        self.ids = np.full((_FREQUENT, lanes), _EMPTY, np.uint32)
+        self.count = np.zeros((_FREQUENT, lanes), np.float32)  # small whole numbers, so that products of matrices add them up
+        self.q0 = np.full(lanes, 16384, np.int64)
+        self.kept = np.empty_like(self.count)
+        self.step = 0
+        # order 2 may take 31/32, order 1 7/8 of the rest, order 0 15/16 of that; the curve still has its 2^bits
+        self.unit = bits + 13
+        self.total = 1 << self.unit
 
     def look(self):
-        """Guesses of order 2 and order 1, the ends of their shares, and the share of order 0."""
+        """Guesses of order 2 and order 1, the ends of their shares, the end of the table's, and the share of the curve."""
         before, self.mark = self.mark, self.last * np.uint32(2654435761)
         self.at2 = self.base + ((self.mark ^ (before >> np.uint32(7))) >> np.uint32(21))
         self.at1 = self.base + (self.mark >> np.uint32(21))
         self.g2, self.g1 = self.guess[0].take(self.at2), self.guess[1].take(self.at1)
         self.i2, self.i1 = self.bin + (self.g2 & _THREE), self.bin + (self.g1 & _THREE)
-        self.q2, self.q1 = self.weight[0].take(self.i2), self.weight[1].take(self.i1)
-        m2 = self.q2 << self.shift
+        self.w2, self.w1 = self.weight[0].take(self.i2), self.weight[1].take(self.i1)
+        m2 = self.w2 << (self.unit - 16)
         left = self.total - m2
-        # left is a multiple of 2^shift, and a product of 32 bits would overflow
-        m1 = ((left >> self.shift) * (self.q1 >> 1)) >> (15 - self.shift)
-        both = m2 + m1
-        return self.g2 >> _TWO, self.g1 >> _TWO, m2, both, (left - m1).astype(np.int64)
-
-    def learn(self, ids, h2, h1, right1):
-        """h2, h1: lanes whose id order 2 guessed, or else order 1; right1: all that order 1 guessed."""
-        w2, w1, q2, q1 = *self.weight, self.q2, self.q1
-        w2[self.i2] = q2 + ((_Q_LOW - q2) >> 5)
-        w1[self.i1] = q1 + ((_Q_LOW - q1) >> 5)
-        w2[self.i2[h2]] = q2[h2] + ((_Q2_HIGH - q2[h2]) >> 5)
-        w1[self.i1[h2]] = q1[h2]
-        w1[self.i1[h1]] = q1[h1] + ((_Q1_HIGH - q1[h1]) >> 5)
+        both = m2 + ((left * self.w1) >> 16)
+        rest = self.total - both
+        self.below = _BEFORE @ self.count
+        share = (rest * self.q0) >> 16
+        self.each = share // np.maximum(self.below[-1] + self.count[-1], 1).astype(np.int64)
+        return self.g2 >> _TWO, self.g1 >> _TWO, m2, both, both + share, rest - share
+
+    def frequent(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether the table has each id, and the interval within the table's share."""
+        self.same = self.ids == ids
+        count = (_ALL @ np.multiply(self.count, self.same, out=self.kept)).astype(np.int64)
+        first = (_ALL @ np.multiply(self.below, self.same, out=self.kept)).astype(np.int64) * self.each
+        return count > 0, first, first + count * self.each
+
+    def learn(self, ids, h2, h1, right1, held):
+        """h2, h1: lanes whose id order 2 guessed, or else order 1; right1: all that order 1 guessed; held: the table has the id."""
+        a2, a1, q2, q1 = *self.weight, self.w2, self.w1
+        a2[self.i2] = q2 + ((_Q_LOW - q2) >> 5)
+        a1[self.i1] = q1 + ((_Q_LOW - q1) >> 5)
+        a2[self.i2[h2]] = q2[h2] + ((_Q2_HIGH - q2[h2]) >> 5)
+        a1[self.i1[h2]] = q1[h2]
+        a1[self.i1[h1]] = q1[h1] + ((_Q1_HIGH - q1[h1]) >> 5)
         fresh = ids << _TWO
         for table, at, g, right in ((self.guess[0], self.at2, self.g2, h2), (self.guess[1], self.at1, self.g1, right1)):
             entry = np.where(g & _TWO, g - _TWO, fresh)
@@ -73,45 +116,49 @@ class _Model:
             entry[right] = np.minimum(known + _ONE, known | _THREE)
             table[at] = entry
         self.last = ids
-
-
-def _frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Distinct ids, frequencies that sum to 2^bits and are never 0, and bits."""
-    distinct, counts = np.unique(ids, return_counts=True)
-    bits = max(16, len(distinct).bit_length() + 1)
-    if bits > 20 or ids.max() >= 1 << 30:
-        raise ValueError("the coder takes ids below 2^30, and half a million distinct ones in a group")
-    spare = (1 << bits) - len(distinct)
-    freq = 1 + counts * spare // counts.sum()
-    freq[np.argmax(freq)] += (1 << bits) - freq.sum()
-    return distinct.astype(np.uint32), freq.astype(np.uint32), bits
+        aim = np.where(held, _Q0_HIGH, _Q0_LOW)
+        aim[h2], aim[h1] = self.q0[h2], self.q0[h1]  # only ids that came to order 0 say what it is worth
+        self.q0 += (aim - self.q0) >> 5
+        self.count += self.same
+        turn = self.step % _FREQUENT
+        old = self.count[turn]
+        weak = old <= 1
+        self.ids[turn] = np.where(weak > held, ids, self.ids[turn])
+        self.count[turn] = np.where(held, old, np.where(weak, np.float32(1), np.floor(old * np.float32(0.5))))
+        self.step += 1
+        if self.step % _HALVE == 0:
+            self.count = np.ceil(self.count * np.float32(0.5))
 
 
 def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
-    """Ids (unsigned 32 bits, any number from 1 on) as one group of blocks."""
+    """Ids (below 2^30, any number from 1 on) as one group of blocks."""
+    each = 1
+    if int(ids.max()) >= BOUND:
+        if int(ids.max()) >= 1 << 30:
+            raise ValueError("the coder takes ids below 2^30")
+        ids, each, block = np.stack([ids >> _HALF, ids & ((1 << _HALF) - 1)], 1).astype(np.uint32).reshape(-1), 2, 2 * block
     n = len(ids)
-    lanes = -(-n // block)
-    distinct, freq, bits = _frequencies(ids)
-    edge = np.zeros(len(distinct) + 1, np.int64)
-    np.cumsum(freq, out=edge[1:])
+    lanes, bound = -(-n // block), int(ids.max()) + 1
+    edge, bits = curve(bound)
     above = edge[1:]
     size = min(block, n)
     padded = np.full(lanes * size, ids[-1], np.uint32)
     padded[:n] = ids
     checks = np.fromiter((zlib.crc32(ids[i : i + size].astype("<u4").tobytes()) for i in range(0, n, size)), np.uint32, lanes)
     rows = np.ascontiguousarray(padded.reshape(lanes, size).T)
-    ranks = np.searchsorted(distinct, rows).astype(np.int32)
+    del padded
     model = _Model(lanes, bits)
     low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
     out = np.zeros((lanes, size + 3), np.uint32)
     used = np.zeros(lanes, np.int64)
-    unit = _U(bits + 8)
-    for x, rank in zip(rows, ranks, strict=True):
-        e2, e1, m2, both, rest = model.look()
+    unit = _U(model.unit)
+    for x in rows:
+        e2, e1, m2, both, table, rest = model.look()
+        held, first, last = model.frequent(x)
         hit2, same1 = e2 == x, e1 == x
         h2, h1 = np.flatnonzero(hit2), np.flatnonzero(same1 > hit2)
-        start = both + ((edge.take(rank) * rest) >> bits)
-        end = both + ((above.take(rank) * rest) >> bits)
+        start = np.where(held, both + first, table + ((edge.take(x) * rest) >> bits))
+        end = np.where(held, both + last, table + ((above.take(x) * rest) >> bits))
         _inside(start, end, m2, both, h2, h1)
         step = span >> unit
         moved = low + start.astype(_U) * step
@@ -125,16 +172,14 @@ def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
             used[full] += 1
             low[full] <<= _S32
             span[full] <<= _S32
-        model.learn(x, h2, h1, np.flatnonzero(same1))
+        model.learn(x, h2, h1, np.flatnonzero(same1), held)
     for _ in range(2):
         out[np.arange(lanes), used] = low >> _S32
         used += 1
         low = low << _S32
-    head = zlib.compress(np.concatenate([np.diff(distinct, prepend=np.uint32(0)), freq]).astype("<u4").tobytes(), 6)
     words = b"".join(out[i, : used[i]].astype("<u4").tobytes() for i in range(lanes))
-    return (
-        _HEAD.pack(b"CMRC", n, size, len(head), len(words)) + used.astype("<u4").tobytes() + checks.astype("<u4").tobytes() + head + words
-    )
+    places = used.astype("<u4").tobytes() + checks.astype("<u4").tobytes()
+    return _HEAD.pack(b"CMR2", n, size, each, bound, len(words), zlib.crc32(places)) + places + words
 
 
 def _inside(start, end, m2, both, h2, h1) -> None:
@@ -153,62 +198,66 @@ def _carry(out: np.ndarray, used: np.ndarray, lanes: np.ndarray) -> None:
 
 def group_size(head: bytes) -> int:
     """Bytes of the group after its first HEAD bytes."""
-    magic, n, size, packed, words = _HEAD.unpack(head)
-    if magic != b"CMRC":
+    magic, n, size, _, _, words, _ = _HEAD.unpack(head)
+    if magic != b"CMR2":
         raise ValueError("not a group of coded ids")
-    return 8 * -(-n // size) + packed + words
+    return 8 * -(-n // size) + words
 
 
 HEAD = _HEAD.size
 
 
-def decode_group(data: bytes) -> np.ndarray:
-    """The ids of a group; raises ValueError if a block's checksum is wrong."""
-    _, n, size, packed, _ = _HEAD.unpack_from(data)
+def decode_group(data: bytes, blocks: list[int] | None = None) -> np.ndarray:
+    """The ids of a group, or of some of its blocks; raises ValueError if the checksum of one that is read is wrong."""
+    _, n, size, each, bound, _, check = _HEAD.unpack_from(data)
     lanes, at = -(-n // size), HEAD
+    if zlib.crc32(data[at : at + 8 * lanes]) != check:
+        raise ValueError("the group's head is damaged")
     used = np.frombuffer(data, "<u4", lanes, at).astype(np.int64)
     checks = np.frombuffer(data, "<u4", lanes, at + 4 * lanes)
-    at += 8 * lanes
-    table = np.frombuffer(zlib.decompress(data[at : at + packed]), "<u4").reshape(2, -1)
-    distinct, freq = np.cumsum(table[0], dtype=np.uint32), table[1]
-    edge = np.zeros(len(distinct) + 1, np.int64)
-    np.cumsum(freq, out=edge[1:])
-    above = edge[1:]
-    bits = int(edge[-1]).bit_length() - 1
-    owner = np.repeat(np.arange(len(distinct), dtype=np.int32), freq)
-    words = np.concatenate([np.frombuffer(data, "<u4", offset=at + packed), np.zeros(2, np.uint32)]).astype(_U)
-    place = np.cumsum(used) - used
+    wanted = np.arange(lanes) if blocks is None else np.array(blocks, np.int64)
+    lengths = np.minimum(size, n - wanted * size)
+    edge, bits = curve(bound)
+    above, owner = edge[1:], _owner(bound)
+    words = np.concatenate([np.frombuffer(data, "<u4", offset=at + 8 * lanes), np.zeros(2, np.uint32)]).astype(_U)
+    place = (np.cumsum(used) - used)[wanted]
+    lanes = len(wanted)
     code = (words[place] << _S32) | words[place + 1]
     place += 2
     model = _Model(lanes, bits)
     span = np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
-    unit, top = _U(bits + 8), np.int64((1 << (bits + 8)) - 1)
+    unit, top = _U(model.unit), np.int64(model.total - 1)
     rows = np.empty((size, lanes), np.uint32)
     for t in range(size):
-        e2, e1, m2, both, rest = model.look()
+        e2, e1, m2, both, table, rest = model.look()
         step = span >> unit
         v = np.minimum((code // step).astype(np.int64), top)
         # both sides are below 2^53 and the quotient far from the next whole number, so floating point is exact
-        slot = ((((v - both + 1) << bits) - 1) / rest).astype(np.int64)
-        rank = owner.take(slot, mode="clip")
+        slot = ((((v - table + 1) << bits) - 1) / rest).astype(np.int64)
+        x = owner.take(slot, mode="clip")
+        within = ((v - both) // np.maximum(model.each, 1)).astype(np.float32)
+        entry = np.minimum((_ALL @ (model.below + model.count <= within)).astype(np.int64), _FREQUENT - 1)
+        x = np.where(v < table, model.ids[entry, model.lane], x)
         hit2, guessed = v < m2, v < both
         h2, h1 = np.flatnonzero(hit2), np.flatnonzero(guessed > hit2)
-        x = distinct.take(rank)
         x[h1], x[h2] = e1[h1], e2[h2]
-        start = both + ((edge.take(rank) * rest) >> bits)
-        end = both + ((above.take(rank) * rest) >> bits)
+        np.minimum(x, np.uint32(bound - 1), out=x)  # damaged data may name ids that are none
+        held, first, last = model.frequent(x)
+        start = np.where(held, both + first, table + ((edge.take(x) * rest) >> bits))
+        end = np.where(held, both + last, table + ((above.take(x) * rest) >> bits))
         _inside(start, end, m2, both, h2, h1)
         code = code - start.astype(_U) * step
-        span = (end - start).astype(_U) * step
+        span = np.maximum((end - start).astype(_U) * step, _U(1))
         full = np.flatnonzero(span < _LIMIT)
         if len(full):
             code[full] = (code[full] << _S32) | words.take(place[full], mode="clip")  # damaged data may run over
             place[full] += 1
             span[full] <<= _S32
-        model.learn(x, h2, h1, np.flatnonzero(e1 == x))
+        model.learn(x, h2, h1, np.flatnonzero(e1 == x), held)
         rows[t] = x
-    ids = np.ascontiguousarray(rows.T).reshape(-1)[:n]
-    for i in range(lanes):
-        if zlib.crc32(ids[i * size : (i + 1) * size].astype("<u4").tobytes()) != checks[i]:
-            raise ValueError(f"block {i} is damaged")
-    return ids
+    parts = np.ascontiguousarray(rows.T)
+    for i, block in enumerate(wanted.tolist()):
+        if zlib.crc32(parts[i, : lengths[i]].astype("<u4").tobytes()) != checks[block]:
+            raise ValueError(f"block {block} is damaged")
+    ids = parts[np.arange(size) < lengths[:, None]]
+    return ids if each == 1 else (ids[::2] << np.uint32(_HALF)) | ids[1::2]

@@ -238,6 +238,20 @@ def test_coder_finds_damage_and_learns():
     broken[-40] ^= 1
     with pytest.raises(ValueError):
         rangecoder.decode_group(bytes(broken))
+    # Only the last block is damaged; all others are read without it, and one alone.
+    last = -(-len(ids) // rangecoder.BLOCK) - 1
+    assert (rangecoder.decode_group(bytes(broken), list(range(last))) == ids[: last * rangecoder.BLOCK]).all()
+    assert (rangecoder.decode_group(data, [2]) == ids[2 * rangecoder.BLOCK : 3 * rangecoder.BLOCK]).all()
+
+
+def test_order_0_learns_inside_a_block():
+    """Without any order among them, few ids that come often cost less than many that come alike."""
+    rng = np.random.default_rng(4)
+    n = 8 * rangecoder.BLOCK
+    few = rng.choice(np.array([40_000 + 37 * i for i in range(8)], np.uint32), n)
+    many = rng.integers(0, 45_000, n).astype(np.uint32)
+    a, b = (len(rangecoder.encode_group(x)) * 8 / n for x in (few, many))
+    assert a < 4.5 and b < 18
 
 
 def test_quality(odd, none):
@@ -249,7 +263,7 @@ def test_quality(odd, none):
 
 
 def test_quality_lines(stored):
-    good = "\n".join(f"This is the {i}th sentence of a plain text about nothing." for i in range(9))
+    good = "\n".join(" ".join(f"word{i}x{k}" for k in range(10)) + "." for i in range(9))
     bad = ["Home | News | About | Contact", "word%%% word### word&&& word***", "WHAT!! A!! DEAL!! NOW!!", "We use cookies to improve this site.", "Read more"]
     docs = stored([(1, "\n".join([good, *bad]), 0), (2, "\n".join(bad * 9), 0), (3, good, 5)], "doc_id long, text string, n_chars long")
     got = {r.doc_id: r for r in quality.clean(docs).collect()}
