@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("expressions", "texts", "scanning", "facts", "jobs")
+MODULES = ("expressions", "texts", "scanning", "facts", "jobs", "layers")
 
 
 def load():

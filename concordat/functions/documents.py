@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from concordat.functions.text import redact_paths
+from concordat.functions.text import let, redact_paths
 
 
 def map_strings(col: Column, dtype: T.DataType, fn: Callable[[Column], Column]) -> Column:
@@ -29,51 +29,85 @@ def map_strings(col: Column, dtype: T.DataType, fn: Callable[[Column], Column])
     return col
 
 
-def merge(raw: Column, typed_json: Column) -> Column:
-    """JSON text of a record: the raw fields, with those of the typed record laid over them at any depth of structs.
+_ANY = "map<string,variant>"
+
+# The fields that name an entry of a list, in the order in which they are asked.
+_IDENTITY = (
+    ("bom-ref",), ("license.id",), ("license.name",), ("expression",), ("type", "url"), ("alg", "content"), ("name",), ("ref",), ("id",),
+)
+
 
-    Objects are merged field by field and lists of equal length entry by entry, two levels down (licence entries and
-    their licences); what the typed record does not know stays as it was read.
+def merge(raw: Column, typed: Column, dtype: T.DataType) -> Column:
+    """JSON text of a record: the raw one, with what has changed in the typed record laid over it.
+
+    A three-way merge along the typed schema. What the typed record says is compared with what it said when it was read (the raw
+    text parsed again); fields that have not changed keep their raw text, as do all fields that the schema does not know, at any depth.
+    Entries of a list of records are matched by identity (bom-ref, licence id or name, expression, type and url, name), the first of a
+    name with the first of that name and so on, so that unknown fields stay with their owners when entries are added, removed or
+    moved. An entry that the typed list no longer has is gone; a field whose typed value is null keeps its raw value.
     """
-    return F.when(raw.isNull(), typed_json).otherwise(_merge_objects(raw, typed_json, 3))
+    return F.when(raw.isNull(), F.to_json(typed)).otherwise(_merged(raw, F.from_json(raw, dtype), typed, dtype))
 
 
-_ANY = "map<string,variant>"
+def _json(value: Column) -> Column:
+    """JSON text of any value; null for null."""
+    whole = F.to_json(F.struct(value.alias("k")))
+    return F.when(value.isNotNull(), F.substring(whole, F.lit(6), F.length(whole) - 6))
+
+
+def _merged(raw: Column, was: Column, now: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StructType):
+        changed = _merge_records(raw, was, now, dtype)
+    elif isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        changed = _merge_lists(raw, now, dtype)
+    else:
+        changed = _json(now)
+    return F.when(now.isNull() | now.eqNullSafe(was), raw).when(raw.isNull(), _json(now)).otherwise(changed)
+
+
+def _merge_records(raw: Column, was: Column, now: Column, dtype: T.StructType) -> Column:
+    def laid(fields: Column) -> Column:
+        def text(name: str) -> Column:
+            return F.to_json(F.element_at(fields, F.lit(name)))
+
+        new = [_merged(text(f.name), was[f.name], now[f.name], f.dataType) for f in dtype.fields]
+        value = lambda k: F.coalesce(*[F.when(k == f.name, v) for f, v in zip(dtype.fields, new, strict=True)], F.to_json(F.element_at(fields, k)))
+        known = F.filter(
+            F.array(*[F.when(now[f.name].isNotNull(), F.lit(f.name)) for f in dtype.fields]), lambda k: k.isNotNull())
+        names = F.array_union(F.map_keys(fields), known)
+        shown = F.transform(names, lambda k: F.concat(_json(k), F.lit(":"), value(k)))
+        return F.concat(F.lit("{"), F.array_join(shown, ","), F.lit("}"))
 
+    return let(F.from_json(raw, _ANY), laid)
 
-def _merge_objects(raw: Column, typed: Column, depth: int) -> Column:
-    if not depth:
-        return typed
-    old, new = F.from_json(raw, _ANY), F.from_json(typed, _ANY)
 
-    def both(o: Column, n: Column) -> Column:
-        names = F.array_union(F.map_keys(o), F.map_keys(n))
+def _identity(entry: Column) -> Column:
+    """The name of a list entry given as JSON text; all unnamed ones share one."""
+    parts = [F.concat(F.lit(f"{fields[0]} "), *[F.get_json_object(entry, f"$.{x}" if "-" not in x else f"$['{x}']") for x in fields]) for fields in _IDENTITY]
+    return F.coalesce(*parts, F.lit(""))
 
-        def field(name: Column) -> Column:
-            was, now = F.to_json(F.get(F.map_values(F.map_filter(o, lambda k, v: k == name)), F.lit(0))), F.to_json(
-                F.get(F.map_values(F.map_filter(n, lambda k, v: k == name)), F.lit(0)))
-            value = F.when(now.isNull(), was).when(was.isNull(), now)
-            if depth > 1:
-                value = value.when(F.startswith(now, F.lit("{")) & F.startswith(was, F.lit("{")), _merge_objects(was, now, depth - 1))
-                value = value.when(F.startswith(now, F.lit("[")) & F.startswith(was, F.lit("[")), _merge_lists(was, now, depth))
-            return F.concat(F.to_json(F.struct(name.alias("k"))).substr(F.lit(6), F.length(F.to_json(F.struct(name.alias("k")))) - 6),
-                            F.lit(":"), value.otherwise(now))
 
-        return F.concat(F.lit("{"), F.array_join(F.transform(names, field), ","), F.lit("}"))
+def _merge_lists(raw: Column, now: Column, dtype: T.ArrayType) -> Column:
+    def paired(sides: Column) -> Column:
+        old, new, old_names, names = sides["old"], sides["new"], sides["old_names"], sides["names"]
 
-    return both(old, new)
+        def entry(value: Column, i: Column) -> Column:
+            name = F.get(names, i)
+            nth = F.size(F.filter(F.slice(names, F.lit(1), i), lambda x: x == name))  # entries of this name before
+            owner = F.get(F.filter(F.transform(old_names, lambda x, j: F.when(x == name, j)), lambda j: j.isNotNull()), nth)
 
+            def laid(text: Column) -> Column:
+                return _merged(text, F.from_json(text, dtype.elementType), value, dtype.elementType)
 
-def _merge_lists(raw: Column, typed: Column, depth: int) -> Column:
-    """Entries one by one; a list whose length has changed keeps raw entries for the first ones."""
-    old, new = F.from_json(raw, "array<variant>"), F.from_json(typed, "array<variant>")
+            return F.coalesce(let(F.get(old, owner), laid), F.get(new, i))
 
-    def entry(n: Column, i: Column) -> Column:
-        was, now = F.to_json(F.get(old, i)), F.to_json(n)
-        inner = F.startswith(now, F.lit("{")) & F.startswith(was, F.lit("{"))
-        return F.when(inner, _merge_objects(was, now, depth - 1)).otherwise(now)
+        return F.concat(F.lit("["), F.array_join(F.transform(now, entry), ","), F.lit("]"))
 
-    return F.concat(F.lit("["), F.array_join(F.transform(new, entry), ","), F.lit("]"))
+    old = F.transform(F.from_json(raw, "array<variant>"), lambda v: F.to_json(v))
+    new = F.transform(now, lambda v: F.to_json(v))
+    texts = F.struct(old.alias("old"), new.alias("new"))
+    return let(texts, lambda t: let(F.struct(
+        t["old"].alias("old"), t["new"].alias("new"), F.transform(t["old"], _identity).alias("old_names"), F.transform(t["new"], _identity).alias("names")), paired))
 
 
 def without_tools(raw: Column) -> Column:

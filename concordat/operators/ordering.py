@@ -82,6 +82,26 @@ def previous_row(
     return joined.select(*df.columns, *prev)
 
 
+def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
+    """Fills nulls of `value` with the last one before that is not null, per key in `order` (which must be total).
+
+    Rows are cut into even ranges of (keys, order), so a key with any share of the rows spreads over many tasks. Each range is filled by
+    itself; what is open where it begins comes from the last value of the ranges before, one row per range. Keys must not be null.
+    """
+    ranged = _ranges(df, [*keys, *order])
+    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    key = F.struct(*[F.col(k) for k in keys])
+    held = ranged.where(F.col(value).isNotNull())
+    last = held.groupBy("_range").agg(F.max_by(F.struct(key.alias("key"), F.col(value).alias("val")), F.struct(*keys, *order)).alias("last"))
+    edges = ranged.select("_range").distinct().join(last, "_range", "left")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    opened = edges.select("_range", F.last("last", ignorenulls=True).over(before).alias("_open"))
+    local = ranged.withColumn("_here", F.last(value, ignorenulls=True).over(inside))
+    carried = F.when(F.col("_open.key") == key, F.col("_open.val"))
+    rest = [F.col(c) for c in df.columns if c != value]
+    return local.join(F.broadcast(opened), "_range", "left").select(*rest, F.coalesce("_here", carried).alias(value))
+
+
 def audit_sample(df: DataFrame, key: Column, seed: str, n: int) -> DataFrame:
     """A repeatable sample of n rows: smallest hashes of (seed, key)."""
     return df.orderBy(F.sha2(F.concat_ws("|", F.lit(seed), key.cast("string")), 256), key).limit(n)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from concordat import constants as C
-from concordat.operators.ordering import previous_row
+from concordat.operators.ordering import carry_forward, previous_row
 
 
 def verify_hashes(local: DataFrame, published: DataFrame) -> DataFrame:
@@ -82,21 +82,22 @@ def retro_flags(
 def apply_errata(published: DataFrame, errata: DataFrame) -> DataFrame:
     """Corrected licences overlaid on published ones inside each erratum's release range.
 
-    `errata(name, corrected, lo_seq, hi_seq)`, at most one row per name and release.
+    `errata(name, corrected, lo_seq, hi_seq)`, at most one row per name and release: ranges of one name do not overlap, and empty ones
+    hold nothing. Starts of ranges and releases are put in one order, and each release takes the last range opened before it, if that has
+    not ended. No name's releases meet all of its ranges, and a name with any number of either spreads over many tasks.
     """
-    return (
-        published.alias("p")
-        .join(
-            errata.alias("e"),
-            (F.col("p.name") == F.col("e.name")) & F.col("p.release_seq").between(F.col("e.lo_seq"), F.col("e.hi_seq")),
-            "left",
-        )
-        .select(
-            "p.*",
-            F.coalesce("e.corrected", "p.license").alias("effective_license"),
-            F.col("e.corrected").isNotNull().alias("corrected"),
-        )
-    )
+    ranges = errata.where("lo_seq <= hi_seq").select(
+        "name", F.col("lo_seq").alias("_at"), F.lit(0).alias("_kind"), F.struct("corrected", F.col("hi_seq").alias("until")).alias("_range_open"),
+        F.lit(None).cast(published.schema).alias("_row"))
+    known = F.col("name").isNotNull() & F.col("release_seq").isNotNull()
+    rows = published.where(known).select(
+        "name", F.col("release_seq").alias("_at"), F.lit(1).alias("_kind"), F.lit(None).cast(ranges.schema["_range_open"].dataType).alias("_range_open"),
+        F.struct(*[F.col(f"`{c}`") for c in published.columns]).alias("_row"))
+    swept = carry_forward(ranges.where(F.col("name").isNotNull() & F.col("_at").isNotNull()).unionByName(rows), ["name"], ["_at", "_kind"], "_range_open")
+    covered = (F.col("_range_open.until") >= F.col("_at")) & F.col("_range_open.corrected").isNotNull()
+    found = swept.where("_kind = 1").select("_row.*", F.when(covered, F.col("_range_open.corrected")).alias("_corrected"))
+    return found.unionByName(published.where(~known).withColumn("_corrected", F.lit(None).cast("string"))).select(
+        *published.columns, F.coalesce("_corrected", "license").alias("effective_license"), F.col("_corrected").isNotNull().alias("corrected"))
 
 
 def daily_flags(verdicts: DataFrame, flagged: Sequence[str] = C.AV_FLAGGED, key: str = "filename") -> DataFrame:

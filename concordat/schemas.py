@@ -11,7 +11,7 @@ COMPONENT = (
     "externalReferences:array<struct<type:string,url:string>>>"
 )
 METADATA = "struct<tools:array<struct<vendor:string,name:string,version:string>>>"
-INVENTORY = f"bomFormat string, specVersion string, metadata {METADATA}, components array<{COMPONENT}>"
+HEAD = f"bomFormat string, specVersion string, metadata {METADATA}"  # an inventory but for its components
 
 CURATION_VALUE = "struct<rationale:string,classification:string>"
 TOOL_VALUE = (
@@ -19,9 +19,9 @@ TOOL_VALUE = (
     "license_files_in_tarball:array<string>,primary_license_id:string,"
     "notice_files_in_tarball:array<string>,copyright_seed:array<string>,rationale:string>"
 )
-SCAN = (
-    "files array<struct<path:string,type:string,detected_license_expression_spdx:string,"
-    "license_detections:array<struct<matches:array<struct<license_expression_spdx:string,score:double>>>>>>"
+SCAN_FILE = (
+    "path string, type string, detected_license_expression_spdx string, "
+    "license_detections array<struct<matches:array<struct<license_expression_spdx:string,score:double>>>>"
 )
 RELEASE_HASHES = (
     "tag string, app_id string, depot_id string, raw_buildid string, generated_at string, generator string, "

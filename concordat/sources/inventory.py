@@ -2,39 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concordat import constants as C
 from concordat import schemas as S
 from concordat.functions import components as P
 from concordat.functions import paths
+from concordat.session import pin
 from concordat.settings import DEFAULT_PROFILE, Profile
+from concordat.sources import json_ranges
+
+
+def _heads(entries: DataFrame) -> DataFrame:
+    """(sbom_id, value): each document without its entries."""
+    ends = entries.where(F.col("ord").isin(json_ranges.HEAD, json_ranges.TAIL))
+    return ends.groupBy(F.col("file").alias("sbom_id")).agg(F.array_sort(F.collect_list(F.struct("ord", "value"))).alias("_e")).select(
+        "sbom_id", F.array_join(F.transform("_e", lambda e: e["value"]), "").alias("value"))
+
+
+def read_inventory(spark: SparkSession, path: str, size: int = json_ranges.RANGE) -> tuple[DataFrame, DataFrame]:
+    """Components and documents of all inventories under a path, which is read once; see read_components and read_documents."""
+    entries = pin(json_ranges.read_array(spark, path, "components", size))
+    typed = F.from_json("value", S.COMPONENT)
+    components = entries.where(~F.col("ord").isin(json_ranges.HEAD, json_ranges.TAIL)).select(
+        F.col("file").alias("sbom_id"), "ord", typed.alias("component"), F.col("value").alias("raw"))
+    whole = _heads(entries).withColumn("_d", F.from_json("value", S.HEAD))
+    rest = F.map_filter(F.from_json("value", "map<string,variant>"), lambda k, v: k != "components")
+    return components, whole.select("_d.*", "sbom_id", F.to_json(rest).alias("raw"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """One row per inventory document: the typed fields, and beside them the raw text of all fields but components
-    (`raw`) and of each component (`raw_components`), so that nothing the types do not know is lost on writing.
+    """One row per inventory document: the typed fields but components, and the raw text of all fields but components (`raw`),
+    so that nothing the types do not know is lost on writing.
     """
-    whole = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("sbom_id"))
-    typed = F.from_json("value", S.INVENTORY)
-    rest = F.map_filter(F.from_json("value", "map<string,variant>"), lambda k, v: k != "components")
-    return whole.withColumn("_d", typed).select(
-        "_d.*", "sbom_id", F.to_json(rest).alias("raw"),
-        F.from_json("value", "components array<string>")["components"].alias("raw_components"),
-    )
+    return read_inventory(spark, path)[1]
 
 
 def read_components(spark: SparkSession, path: str, limit: int = 0) -> DataFrame:
-    """(sbom_id, ord, component, raw) in document order; `limit` keeps the first n per document.
+    """(sbom_id, ord, component, raw) with document order in ord; `limit` keeps the first n per document.
 
-    A multi-line document is parsed by one task, so the exploded rows are spread out again.
+    Documents are read in byte ranges, so a large one spreads over many tasks.
     """
-    both = F.transform("components", lambda c, i: F.struct(c.alias("component"), F.get("raw_components", i).alias("raw")))
-    rows = read_documents(spark, path).select("sbom_id", F.posexplode(both).alias("ord", "_c")).select("sbom_id", "ord", "_c.*")
-    if limit > 0:
-        rows = rows.where(F.col("ord") < limit)
-    return rows.withColumn("ord", F.col("ord").cast("bigint")).repartition("sbom_id", "ord")
+    rows = read_inventory(spark, path)[0]
+    return rows.where(F.col("ord") < limit) if limit > 0 else rows
 
 
 def flatten(components: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
@@ -91,34 +102,54 @@ def read_tools(spark: SparkSession, path: str) -> DataFrame:
     return _keyed_map(spark, path, S.TOOL_VALUE).select("key", F.col("value").alias("tool"))
 
 
-def read_scans(spark: SparkSession, folder: str) -> DataFrame:
-    """(bucket, ord, path, top, type, expr, detections), one JSON per bucket; missing ones are skipped."""
-    found = [f"{folder}/{b}.json" for b in C.SCAN_BUCKETS if path_exists(spark, f"{folder}/{b}.json")]
-    if not found:
-        return spark.createDataFrame(
-            [], "bucket string, ord bigint, path string, top string, type string, expr string, "
-            "detections array<struct<matches:array<struct<license_expression_spdx:string,score:double>>>>"
-        )
-    return (
-        spark.read.schema(S.SCAN).option("multiLine", True).json(found)
-        .select(
-            F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "").alias("bucket"),
-            F.posexplode("files").alias("ord", "f"),
-        )
-        .where(F.coalesce(F.col("f.path"), F.lit("")) != "")
-        .select(
-            "bucket", F.col("ord").cast("bigint").alias("ord"), "f.path",
-            paths.top_dir(F.col("f.path")).alias("top"), "f.type",
-            F.col("f.detected_license_expression_spdx").alias("expr"),
-            F.col("f.license_detections").alias("detections"),
-        )
-        .repartition("bucket", "ord")
+_FILE_ORDER = 40  # bits of a file's own places in ord
+_SCAN_PATH = rf"([^/]*)/({'|'.join(C.SCAN_BUCKETS)})(?:[-.]([^/]*))?\.json$"
+
+
+def read_scans(spark: SparkSession, folder: str, size: int = json_ranges.RANGE) -> DataFrame:
+    """(scan_id, sbom_id, bucket, ord, path, top, type, expr, detections) of all scan files under a folder.
+
+    A file is named after its bucket, with anything after a dash or dot where a bucket has several files (npm.json, npm-2.json). Files of
+    one scan stand in a folder of its name, which is also that of the inventory it was made of; files directly in `folder` belong to
+    the unnamed scan ''. ord follows the order of files and of entries within each. Other files are not read.
+    """
+    empty = (
+        "scan_id string, sbom_id string, bucket string, ord bigint, path string, top string, type string, expr string, "
+        "detections array<struct<matches:array<struct<license_expression_spdx:string,score:double>>>>"
     )
+    if not path_exists(spark, folder):
+        return spark.createDataFrame([], empty)
+    entries = json_ranges.read_array(spark, folder, "files", size)
+    # The folder itself, as it is spelled in the names of its files.
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    name = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).getName()
+    part = lambda i: F.regexp_extract("file", _SCAN_PATH, i)
+    named = entries.where(~F.col("ord").isin(json_ranges.HEAD, json_ranges.TAIL) & F.rlike("file", F.lit(_SCAN_PATH))).select(
+        "file", "ord", F.from_json("value", S.SCAN_FILE).alias("f"), F.when(F.url_decode(part(1)) != name, F.url_decode(part(1))).otherwise("").alias("scan_id"),
+        part(2).alias("bucket"))
+    # Files of a bucket are few beside their entries; their places come from the listing.
+    order = Window.partitionBy("scan_id", "bucket").orderBy(F.length("file"), "file")
+    files = json_ranges.plan(spark, folder, 1 << 60).where(F.rlike("file", F.lit(_SCAN_PATH))).select(
+        "file", F.when(F.url_decode(part(1)) != name, F.url_decode(part(1))).otherwise("").alias("scan_id"), part(2).alias("bucket"))
+    places = files.select("file", (F.row_number().over(order) - 1).cast("long").alias("_place"))
+    return named.join(places, "file").where(F.coalesce(F.col("f.path"), F.lit("")) != "").select(
+        "scan_id", F.col("scan_id").alias("sbom_id"), "bucket", F.shiftleft("_place", _FILE_ORDER).bitwiseOR(F.col("ord")).alias("ord"), "f.path",
+        paths.top_dir(F.col("f.path")).alias("top"), "f.type",
+        F.col("f.detected_license_expression_spdx").alias("expr"), F.col("f.license_detections").alias("detections"))
 
 
 def read_notices(spark: SparkSession, path: str) -> DataFrame:
-    """(block_ord, value): blocks of a notices file, split at the rule line while reading."""
-    return (
-        spark.read.option("lineSep", C.BLOCK_RULE).text(path)
-        .select(F.monotonically_increasing_id().alias("block_ord"), "value")
-    )
+    """(block_ord, value): blocks of notices files, split at the rule line while reading.
+
+    Blocks are numbered through all files in order of their names. A block's number is its place within the byte range it was read
+    from plus the blocks of all ranges before, so it is the same however the files are split.
+    """
+    read = spark.read.option("lineSep", C.BLOCK_RULE).text(path)
+    rows = pin(read.select(
+        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"), "value"))
+    ranges = rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranges.select("_file", "_start", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return rows.join(offsets, ["_file", "_start"]).select((F.col("_offset") + F.col("_at") - F.col("_first")).alias("block_ord"), "value")

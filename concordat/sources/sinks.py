@@ -17,6 +17,7 @@ from concordat.functions.documents import redact_document, redact_json, without_
 from concordat.functions.spdx import normalise_loose
 from concordat.operators import counts, notices
 from concordat.settings import DEFAULT_PROFILE, Profile
+from concordat.sources.replace import replacing
 
 
 def write_sorted_lines(lines: DataFrame, order: list[str], path: str, column: str = "line") -> None:
@@ -48,14 +49,15 @@ def document_lines(components: DataFrame, documents: DataFrame, tools: Column |
     raw = F.col("raw") if "raw" in components.columns else F.lit(None).cast("string")
     rows = components.join(last, "sbom_id").select(
         "sbom_id", "ord",
-        F.concat(documents_merge(raw, F.to_json("component")), F.when(F.col("ord") < F.col("_last"), ",").otherwise("")).alias("value"),
+        F.concat(documents_merge(raw, F.col("component"), components.schema["component"].dataType), F.when(F.col("ord") < F.col("_last"), ",").otherwise("")).alias("value"),
     )
     meta = F.col("metadata") if tools is None else F.struct(tools.alias("tools"))
-    head = F.to_json(F.struct("bomFormat", "specVersion", meta.alias("metadata")))
+    typed = documents.select("sbom_id", *[c for c in ("raw",) if c in documents.columns], F.struct("bomFormat", "specVersion", meta.alias("metadata")).alias("_t"))
+    head = F.to_json("_t")
     if "raw" in documents.columns:
-        head = documents_merge(F.col("raw") if tools is None else without_tools(F.col("raw")), head)
-    heads = documents.select("sbom_id", F.lit(-1).cast("bigint").alias("ord"), F.concat(
-        F.regexp_replace(head, r"\}$", ""), F.when(head != "{}", ",").otherwise(""), F.lit('"components":[')).alias("value"))
+        head = documents_merge(F.col("raw") if tools is None else without_tools(F.col("raw")), F.col("_t"), typed.schema["_t"].dataType)
+    heads = typed.withColumn("_head", head).select("sbom_id", F.lit(-1).cast("bigint").alias("ord"), F.concat(
+        F.regexp_replace("_head", r"\}$", ""), F.when(F.col("_head") != "{}", ",").otherwise(""), F.lit('"components":[')).alias("value"))
     ends = documents.select("sbom_id", F.lit((1 << 63) - 1).cast("bigint").alias("ord"), F.lit("]}").alias("value"))
     return heads.unionByName(rows).unionByName(ends)
 
@@ -76,6 +78,12 @@ def write_documents(lines: DataFrame, path: str) -> None:
     )
 
 
+def replace_documents(lines: DataFrame, path: str) -> None:
+    """As write_documents, but into a new version that replaces the one under the path at once; read it at replace.current()."""
+    with replacing(lines.sparkSession, path) as target:
+        write_documents(lines, target)
+
+
 def notices_blocks(flat: DataFrame, profile: Profile = DEFAULT_PROFILE) -> DataFrame:
     """(sbom_id, ord, block) per component."""
     c = F.col("component")
