@@ -238,10 +238,7 @@ def component_scan_report(spark, d):
 
 
 # --- streams -----------------------------------------------------------------
-def event_stream(spark, d):
-    """The events table read as a stream of verdicts."""
-    schema = table(spark, d, "events").schema
-    e = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+def as_verdicts(e):
     return e.select(
         F.sha2(F.col("user_id").cast("string"), 256).alias("sha256"),
         F.concat(F.lit("engine"), (F.col("user_id") % 7).cast("string")).alias("engine"),
@@ -251,6 +248,13 @@ def event_stream(spark, d):
     )
 
 
+def event_stream(spark, d, files=None, **options):
+    """The events table, or files cut from it, read as a stream of verdicts."""
+    schema = table(spark, d, "events").schema
+    reader = spark.readStream.schema(schema).options(**options)
+    return as_verdicts(reader.parquet(files) if files else reader.option("pathGlobFilter", "events.parquet").parquet(d))
+
+
 def drain(spark, stream):
     """Run a stream over what is there into a folder next to the checkpoints and read it back."""
     ensure_checkpoint_dir(spark)
@@ -289,3 +293,62 @@ FROM v, top WHERE date_trunc('day', fetched_at) + INTERVAL 1 DAY <= last - INTER
 def stream_daily_flags(spark, d):
     """Days the watermark has passed; later days stay open in the state store."""
     return drain(spark, V.daily_flags(event_stream(spark, d))).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query("stream_alert_ledger", f"""WITH {I.verdicts_cte()}
+SELECT event_id, engine, CASE WHEN engine IN ('engine1', 'engine4') THEN 'alert' ELSE 'info' END AS severity FROM v WHERE category = 'malicious'""")
+def stream_alert_ledger(spark, d):
+    """Alerts of a stream in several batches whose last one is replayed after a restart, as after a crash before its commit."""
+    ensure_checkpoint_dir(spark)
+    base = f"{spark.sparkContext.getCheckpointDir()}/alerts-{uuid.uuid4().hex}"
+    table(spark, d, "events").repartition(6, "event_id").write.parquet(f"{base}/in")
+    vendors = pin(I.verdicts(spark, d).where(F.col("engine").isin("engine1", "engine4")).select("engine").distinct())
+    sink = V.once_per_batch(spark, f"{base}/out")
+
+    def run():
+        V.run_available(V.escalate(event_stream(spark, d, f"{base}/in", maxFilesPerTrigger=2), vendors), f"{base}/state", foreach_batch=sink)
+
+    run()
+    jvm = spark.sparkContext._jvm
+    commits = jvm.org.apache.hadoop.fs.Path(f"{base}/state/commits")
+    place = commits.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath() for s in place.listStatus(commits)]
+    last = max((p for p in names if p.getName().isdigit()), key=lambda p: int(p.getName()))
+    place.delete(last, False)
+    run()
+    return V.alerts(spark, f"{base}/out", "event_id long, engine string, severity string").select("event_id", "engine", "severity")
+
+
+@query("stream_retro_bootstrap", f"""WITH {I.verdicts_cte()},
+l AS (SELECT *, lag(category) OVER (PARTITION BY sha256, engine ORDER BY fetched_at, event_id) AS prev_category FROM v)
+SELECT sha256, engine, epoch_us(fetched_at) AS at, category, prev_category FROM l WHERE category = 'malicious' AND prev_category <> 'malicious'""")
+def stream_retro_bootstrap(spark, d):
+    """History up to the middle of the time span in batch, the rest as a stream that begins with the history's newest verdicts."""
+    from concordat.operators.releases import retro_flags
+
+    ensure_checkpoint_dir(spark)
+    V.use_rocksdb(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tail-{uuid.uuid4().hex}"
+    events = table(spark, d, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = events.agg(F.min(micros).alias("a"), F.max(micros).alias("b")).first()
+    cut = (span.a + span.b) // 2 if span.a is not None else 0
+    events.where(micros >= cut).write.parquet(folder)
+    history = as_verdicts(events.where(micros < cut))
+    early = retro_flags(history, ["sha256", "engine"], ["fetched_at", "event_id"])
+    late = drain(spark, V.retro_flags(event_stream(spark, d, folder), history=history))
+    names = ["sha256", "engine", F.unix_micros("fetched_at").alias("at"), "category", "prev_category"]
+    return early.select(*names).unionByName(late.select(*names))
+
+
+@query("stream_open_days", f"""WITH {I.verdicts_cte()}
+SELECT strftime(date_trunc('day', fetched_at), '%Y-%m-%d') AS day, filename, count(*) FILTER (category = 'malicious') AS n_flagged, count(*) AS n_verdicts FROM v GROUP BY 1, 2""")
+def stream_open_days(spark, d):
+    """Days the watermark has passed from the output, and those still open from the state store: together, every day."""
+    ensure_checkpoint_dir(spark)
+    base = f"{spark.sparkContext.getCheckpointDir()}/days-{uuid.uuid4().hex}"
+    stream = V.daily_flags(event_stream(spark, d))
+    V.run_available(stream, f"{base}/state", f"{base}/out")
+    closed = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    both = closed.unionByName(V.open_days(spark, f"{base}/state"))
+    return both.withColumn("day", F.date_format("day", "yyyy-MM-dd"))

@@ -19,26 +19,34 @@ def bucket_prefix(bucket: Column) -> Column:
     return F.element_at(spdx.literal_map(C.BUCKET_PREFIX), bucket)
 
 
+def inventory_keys(*sides: DataFrame) -> list[str]:
+    """['sbom_id'] if all sides say which inventory their rows belong to. Names mean nothing across inventories."""
+    return ["sbom_id"] if all("sbom_id" in s.columns for s in sides) else []
+
+
 def component_index(components: DataFrame) -> DataFrame:
-    """First component per (prefix, dashed lower-case name).
+    """First component per (inventory, prefix, dashed lower-case name).
 
     A name is reachable under its lower-case, dashed and underscored spellings and a
     directory probes dashed first. Two names share any spelling exactly when their dashed
     forms agree, so one key per side gives the same match as the spelling-by-spelling probe.
-    Input: (prefix, ord, name, version, declared).
+    Input: (prefix, ord, name, version, declared), and sbom_id where there are several inventories.
     """
     keyed = components.where(F.col("prefix").isNotNull()).withColumn("name_key", name_key(F.col("name")))
-    return first_wins(keyed, ["prefix", "name_key"], ["ord"])
+    return first_wins(keyed, [*inventory_keys(components), "prefix", "name_key"], ["ord"])
 
 
 def match_dirs(dirs: DataFrame, components: DataFrame) -> DataFrame:
-    """Left join of scanned directories to components of the same ecosystem."""
-    index = component_index(components).withColumn("matched", F.lit(True))
+    """Left join of scanned directories to components of the same ecosystem and, where both sides name one, the same inventory."""
+    if "sbom_id" in components.columns and "sbom_id" not in dirs.columns:
+        raise ValueError("directories must say which of the inventories they belong to")
+    shared = inventory_keys(dirs, components)
+    index = component_index(components).drop("ord").withColumn("matched", F.lit(True))
     keyed = dirs.withColumn("prefix", bucket_prefix(F.col("bucket"))).withColumn(
         "name_key", name_key(F.col("top"))
     )
     return (
-        keyed.join(index, ["prefix", "name_key"], "left")
+        keyed.join(index, [*shared, "prefix", "name_key"], "left")
         .withColumn("matched", F.coalesce("matched", F.lit(False)))
         .drop("name_key")
     )
@@ -49,9 +57,10 @@ def unaccounted(matched: DataFrame) -> DataFrame:
 
 
 def declared_by_name(components: DataFrame) -> DataFrame:
-    """Declared licence per component name: the first component of that name only,
+    """Declared licence per component name and inventory: the first component of that name only,
     and inside it the first usable licence (it does not fall through to the next)."""
-    return first_wins(components.select("name", "ord", "declared"), ["name"], ["ord"]).select("name", "declared")
+    keys = [*inventory_keys(components), "name"]
+    return first_wins(components.select(*keys, "ord", "declared"), keys, ["ord"]).select(*keys, "declared")
 
 
 def rule_hits(files: DataFrame, keys: list[str]) -> DataFrame:

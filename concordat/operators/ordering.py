@@ -9,11 +9,41 @@ from pyspark.sql import functions as F
 
 from concordat.session import pin
 
+_TWO_63, _TWO_64 = str(1 << 63), str(1 << 64)  # as texts: the JVM's whole numbers end below
+
+
+def packed(major: Column, minor: Column) -> Column:
+    """One number that orders like (major, minor): whole numbers, major from 0 to 2^31.
+
+    Hash aggregation needs buffers of fixed width; structs and texts would make it sort every group.
+    """
+    low = minor.cast("decimal(20,0)") + F.lit(_TWO_63).cast("decimal(20,0)")
+    return (major.cast("decimal(10,0)") * F.lit(_TWO_64).cast("decimal(20,0)") + low).cast("decimal(31,0)")
+
+
+def unpacked(number: Column) -> tuple[Column, Column]:
+    """The two numbers again."""
+    unit = F.lit(_TWO_64).cast("decimal(31,0)")
+    minor = (number % unit - F.lit(_TWO_63).cast("decimal(20,0)")).cast("bigint")
+    return F.floor((number - number % unit) / unit).cast("bigint"), minor
+
+
 def first_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the earliest by `order`; a partial aggregate, never a sort of the group."""
+    """One row per key, the earliest by `order`, which must be total: rows of a key that tie in it must be equal, and are one.
+
+    By one whole number the winners' places are found by hashing, combined before the shuffle, and their rows fetched by them; the
+    rest of a row is in no buffer. Other orders fall back on an aggregate that sorts.
+    """
+    integral = ("tinyint", "smallint", "int", "bigint")
     rest = [c for c in df.columns if c not in keys]
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
+    if len(order) > 1 or dict(df.dtypes)[order[0]] not in integral:
+        best = F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")
+        return df.groupBy(*keys).agg(best).select(*keys, "_row.*")
+    first = df.groupBy(*keys).agg(F.min(order[0]).alias("_first"))
+    same = F.col(f"x.{order[0]}").eqNullSafe(F.col("f._first"))
+    for k in keys:
+        same = same & F.col(f"x.{k}").eqNullSafe(F.col(f"f.{k}"))
+    return df.alias("x").join(first.alias("f"), same, "left_semi").distinct().select(*keys, *rest)
 
 
 def longest(df: DataFrame, keys: Sequence[str], text: str, order: str) -> DataFrame:
@@ -21,11 +51,9 @@ def longest(df: DataFrame, keys: Sequence[str], text: str, order: str) -> DataFr
 
     Only lengths enter the shuffle; join the text back on (keys, order).
     """
-    sized = df.select(*keys, order, F.length(text).cast("bigint").alias("n_chars"))
-    return sized.groupBy(*keys).agg(
-        F.min_by(order, F.struct(-F.col("n_chars"), F.col(order))).alias(order),
-        F.max("n_chars").alias("n_chars"),
-    )
+    found = df.groupBy(*keys).agg(F.max(packed(F.length(text), -F.col(order))).alias("_best"))
+    size, place = unpacked(F.col("_best"))
+    return found.select(*keys, (-place).alias(order), size.alias("n_chars"))
 
 
 def first_n(df: DataFrame, keys: Sequence[str], order: Sequence[str], n: int, rank: str = "rank") -> DataFrame:

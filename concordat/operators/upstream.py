@@ -114,13 +114,15 @@ def unmapped_licences(claims: DataFrame) -> DataFrame:
 def repo_plan(claims: DataFrame) -> DataFrame:
     """One row per repository: first licence kept, any later different one is a conflict.
 
-    Inputs shrink to one row per (repository, licence) before the repository is formed.
+    Inputs shrink to one row per (repository, licence) before the repository is formed. Claims of several inventories (sbom_id) are
+    taken in the order of their ids, then of their components.
     """
+    place = F.struct(*[c for c in ("sbom_id", "ord") if c in claims.columns])
     per_licence = (
         claims.where(F.col("hub").isNotNull())
         .groupBy("repo_id", "hub")
-        .agg(F.min("ord").alias("first_ord"), F.count(F.lit(1)).alias("n"),
-             F.min_by("recorded", "ord").alias("spdx"))
+        .agg(F.min(place).alias("first_ord"), F.count(F.lit(1)).alias("n"),
+             F.min_by("recorded", place).alias("spdx"))
     )
     return per_licence.groupBy("repo_id").agg(
         F.min_by("hub", "first_ord").alias("license"),
@@ -133,4 +135,4 @@ def repo_plan(claims: DataFrame) -> DataFrame:
 def repo_components(claims: DataFrame, plan: DataFrame) -> DataFrame:
     """Component rows behind each kept licence (long form of the component list)."""
     kept = plan.select("repo_id", F.col("license").alias("hub"), "conflict")
-    return claims.join(kept, ["repo_id", "hub"]).select("repo_id", "ord", "name", "conflict")
+    return claims.join(kept, ["repo_id", "hub"]).select("repo_id", *[c for c in ("sbom_id",) if c in claims.columns], "ord", "name", "conflict")

@@ -15,10 +15,10 @@ from concordat.operators.scans import aggregate_dirs
 
 
 def classify(files: DataFrame, components: DataFrame, curation: DataFrame) -> DataFrame:
-    """One row per scanned directory with `outcome`.
+    """One row per scanned directory with `outcome`; of several scans, one row per scan and directory.
 
     `files(bucket, ord, path, type, expr)`, `components(prefix, ord, name, version, declared)`,
-    `curation(key, rationale)`. Outcomes are disjoint and cover every directory:
+    `curation(key, rationale)`; files and components of several inventories have a sbom_id as well. Outcomes are disjoint and cover every directory:
     UNACCOUNTED, CURATED, ACK, MISMATCH, NO-DETECTION. `first_ord` is where the scan first names the directory.
     """
     matched = match_dirs(aggregate_dirs(files), components)
@@ -29,7 +29,7 @@ def label(matched: DataFrame) -> DataFrame:
     pair = spdx.verdict(F.col("declared"), F.col("dominant"))
     open_row = F.col("matched") & ~F.col("curated")
     return matched.withColumn("_v", pair).select(
-        "bucket", "top", "first_ord", "name", "version", "declared", F.col("dominant").alias("detected"),
+        *[c for c in ("scan_id", "sbom_id") if c in matched.columns], "bucket", "top", "first_ord", "name", "version", "declared", F.col("dominant").alias("detected"),
         "n_files", "n_with_license", "license_file_seen", "rationale",
         F.when(~F.col("matched"), "UNACCOUNTED").when(F.col("curated"), "CURATED")
         .otherwise(F.col("_v.verdict")).alias("outcome"),

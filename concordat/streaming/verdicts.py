@@ -5,6 +5,7 @@ Lateness is this library's own policy: verdicts more than two days behind the ne
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
@@ -67,6 +68,10 @@ class _FlagTracker(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "fetched_at timestamp, tie long, category string")
 
+    def handleInitialState(self, key: Any, initialState: pd.DataFrame, timerValues: Any) -> None:
+        row = initialState.iloc[0]  # one per key
+        self.last.update((row["fetched_at"].to_pydatetime(), int(row["tie"]), row["category"]))
+
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # Chunks of one batch arrive in no order and state must see time order, so the narrow
         # columns of this key's new rows are sorted here. A batch is bounded by the source's
@@ -94,14 +99,27 @@ class _FlagTracker(StatefulProcessor):
         pass
 
 
-def retro_flags(verdicts: DataFrame, flagged: Sequence[str] = C.AV_FLAGGED) -> DataFrame:
+def _tie(verdicts: DataFrame):
+    return F.col("event_id").cast("long") if "event_id" in verdicts.columns else F.lit(0).cast("long")
+
+
+def newest_categories(history: DataFrame) -> DataFrame:
+    """(sha256, engine, fetched_at, tie, category): the newest verdict of each binary and engine in a batch history."""
+    rows = history.select("sha256", "engine", "fetched_at", _tie(history).alias("tie"), "category")
+    last = F.max_by(F.struct("fetched_at", "tie", "category"), F.struct("fetched_at", "tie")).alias("_l")
+    return rows.groupBy("sha256", "engine").agg(last).select("sha256", "engine", "_l.*")
+
+
+def retro_flags(verdicts: DataFrame, flagged: Sequence[str] = C.AV_FLAGGED, history: DataFrame | None = None) -> DataFrame:
     """Clean-to-flagged turns per (sha256, engine); rows older than the kept one are ignored.
 
-    Rows of one moment are ordered by event_id where the stream has it.
+    Rows of one moment are ordered by event_id where the stream has it. A new stream knows nothing of what came before it and would
+    miss the first turn of every binary; `history`, a batch of earlier verdicts, gives it the newest category of each to begin with. It
+    is read when the query first starts and not on later restarts.
     """
-    tie = F.col("event_id").cast("long") if "event_id" in verdicts.columns else F.lit(0).cast("long")
-    return verdicts.select("sha256", "engine", "fetched_at", tie.alias("tie"), "category").groupBy("sha256", "engine").transformWithStateInPandas(
-        statefulProcessor=_FlagTracker(flagged), outputStructType=FLAG_SCHEMA, outputMode="Append", timeMode="None",
+    begin = None if history is None else newest_categories(history).groupBy("sha256", "engine")
+    return verdicts.select("sha256", "engine", "fetched_at", _tie(verdicts).alias("tie"), "category").groupBy("sha256", "engine").transformWithStateInPandas(
+        statefulProcessor=_FlagTracker(flagged), outputStructType=FLAG_SCHEMA, outputMode="Append", timeMode="None", initialState=begin,
     )
 
 
@@ -110,12 +128,50 @@ def daily_flags(verdicts: DataFrame, flagged: Sequence[str] = C.AV_FLAGGED, late
     return (
         verdicts.withWatermark("fetched_at", lateness)
         .groupBy(F.window("fetched_at", "1 day").alias("w"), "filename")
-        .agg(F.count_if(F.col("category").isin(*flagged)).alias("n_flagged"),
+        # a sum, not a count: the state store names what it keeps after the aggregate, and open_days reads both
+        .agg(F.sum(F.coalesce(F.col("category").isin(*flagged).cast("long"), F.lit(0).cast("long"))).alias("n_flagged"),
              F.count(F.lit(1)).alias("n_verdicts"))
         .select(F.col("w.start").alias("day"), "filename", "n_flagged", "n_verdicts")
     )
 
 
+def open_days(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """As daily_flags, for the days that its watermark has not passed yet, read from the state of a stopped query.
+
+    A day is either in the query's output or here, never in both.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    flagged, total = F.col("value")["sum"], F.col("value")["count"]
+    window = state.schema["key"].dataType.fields[0].name
+    start = F.col("key").getField(window)["start"]
+    return state.select(start.alias("day"), F.col("key.filename").alias("filename"), flagged.alias("n_flagged"), total.alias("n_verdicts"))
+
+
+def once_per_batch(spark: SparkSession, path: str) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that writes each batch to a folder of its number, once.
+
+    The folders are the ledger: a batch is written elsewhere and renamed to its place, and one whose place is taken is a replay after a
+    restart and is left out. Two queries must not share a path.
+    """
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        jvm = spark.sparkContext._jvm
+        done = jvm.org.apache.hadoop.fs.Path(f"{path}/batch={batch_id}")
+        place = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if place.exists(done):
+            return
+        staged = f"{path}/_staged/{batch_id}-{uuid.uuid4().hex}"
+        rows.write.parquet(staged)
+        if not place.rename(jvm.org.apache.hadoop.fs.Path(staged), done):
+            raise RuntimeError(f"batch {batch_id} could not be put in its place")
+
+    return sink
+
+
+def alerts(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What the sink has written; the batch's number is a column."""
+    return spark.read.schema(f"{schema}, batch long").parquet(path)
+
+
 def run_available(
     stream: DataFrame, checkpoint: str, path: str | None = None,
     foreach_batch: Callable[[DataFrame, int], None] | None = None,
