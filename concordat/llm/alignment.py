@@ -3,9 +3,8 @@
 The cumulative byte ends of either side's tokens are put into dictionaries from end to index. The ends both have, sorted, slice the
 two id lists into groups; inside a slice every two tokens whose bytes overlap are linked.
 
-Texts are cut before spaces that follow something else than white space. Neither tokenizer joins bytes across such a place (the file
-of each is looked at first; a tokenizer that might is given whole texts), so the ends there are always common. Each distinct unit of
-text is encoded and sliced once a task, and a document's groups are those of its units in order.
+The first tokenizer is a byte-level one whose merges are numbered like its ids (its file is looked at first), for which tiktoken, given
+the file's own vocabulary, makes the same ids in a fraction of the time; any other goes through the tokenizers library.
 
 Counts of linked id pairs are corpus-wide. Pieces send their distinct pairs with counts by bucket of the pair, are answered the sums
 (packets.py), and the highest sum per id of the second tokenizer comes from the buckets' own maxima: at most one row per vocabulary
@@ -24,6 +23,7 @@ from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -33,84 +33,113 @@ from concordat.llm import packets
 from concordat.llm.bpe import byte_symbols
 from concordat.session import pin, ship_package
 
-CACHE = 1 << 17  # units that a worker remembers, and the longest one it does
-LONGEST = 200
-PIECE = 4 << 20
+PIECE = 2 << 20
 BUCKET = 1 << 20  # entries of pairs that are summed together
-_CUT = re.compile(r"(?<=\S)(?= )")
+_AT_ONCE = 1 << 18  # bytes of text that are encoded together
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 _SPACE = "▁"
+# Fixed value: how byte-level tokenizers cut a text before they merge.
+_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LONG_BLANK = re.compile(r"\s{1000}")
 
 
-def align(ids_a: list[int], ids_b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups of ids, and linked ids, of two token lists over the same bytes; sizes are bytes per token."""
-    ends_a, ends_b = np.cumsum(sizes_a).tolist(), np.cumsum(sizes_b).tolist()
+def sliced(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
+    """Where the groups of two token lists end: ends that both have, looked up in either side's dictionary from end to index."""
     at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
-    groups, links, i, j = [], [], 0, 0
-    for end in sorted(at_a.keys() & at_b.keys()):
-        k, m = at_a[end], at_b[end]
-        groups.append((ids_a[i:k], ids_b[j:m]))
-        while i < k:
-            links.append((ids_a[i], ids_b[j]))
-            a, b = ends_a[i], ends_b[j]
-            i += a <= b
-            j += b <= a
-    return groups, links
+    common = sorted(at_a.keys() & at_b.keys())
+    return [at_a[e] for e in common], [at_b[e] for e in common]
+
+
+def linked(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of linked tokens. Inside a slice every end of either side closes the overlap of one pair, so each end is one link."""
+    every = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, every), np.searchsorted(ends_b, every)
+
+
+def align(ids_a: list[int], ids_b: list[int], sizes_a: list[int], sizes_b: list[int]) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
+    """Groups of ids, and linked ids, of two token lists over the same bytes; sizes are bytes per token, at least one."""
+    ends_a, ends_b = np.cumsum(sizes_a), np.cumsum(sizes_b)
+    cut_a, cut_b = sliced(ends_a.tolist(), ends_b.tolist())
+    i, j = linked(ends_a, ends_b)
+    groups = [(ids_a[p:q], ids_b[r:t]) for p, q, r, t in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)]
+    return groups, list(zip(np.array(ids_a)[i].tolist(), np.array(ids_b)[j].tolist(), strict=True))
 
 
 class Pair:
-    """Two tokenizers, the bytes of their ids, and the units they have seen."""
+    """Two tokenizers and the bytes of their ids."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
 
         with open(path_a, encoding="utf-8") as f:
             spec = json.load(f)
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        self.path_a, self.library = path_a, None
         real = {c: i for i, c in enumerate(byte_symbols())}
-        n = self.a.get_vocab_size()
-        self.bytes_a = [bytes(real[c] for c in t) if t and all(c in real for c in t) else (t or "").encode() for t in map(self.a.id_to_token, range(n))]
+        names = dict(sorted((i, t) for t, i in spec["model"]["vocab"].items()) + [(t["id"], t["content"]) for t in spec["added_tokens"]])
+        spelt = {i: bytes(real[c] for c in t) if t and all(c in real for c in t) else t.encode() for i, t in names.items()}
+        self.bytes_a = [spelt.get(i, b"") for i in range(max(names) + 1)]
+        self.fast = self._ranked(spec, {t["id"] for t in spec["added_tokens"] if t["special"]})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = []
-        crossing = False
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             byte = _BYTE.fullmatch(piece)
             self.bytes_b.append(bytes([int(byte[1], 16)]) if byte else piece.replace(_SPACE, " ").encode())
-            crossing |= _SPACE in piece.lstrip(_SPACE)
-        self.blank_b = self.b.piece_to_id(_SPACE)
-        cutter = spec["pre_tokenizer"] or {}
-        plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not spec["normalizer"]
-        self.cuts = bool(plain) and not crossing
-        self.known: dict[str, tuple] = {}
-
-    def units(self, text: str) -> list[str]:
-        return _CUT.split(" " + text) if self.cuts else [" " + text]
-
-    def unit(self, unit: str) -> tuple | None:
-        """Tokens of either side, groups, their text, and links; None if the tokens do not spell the unit, which starts with a space."""
-        got = self.known.get(unit, self)
-        if got is self:
-            got = self._unit(unit)
-            if len(unit) <= LONGEST:
-                if len(self.known) >= CACHE:
-                    self.known.clear()
-                self.known[unit] = got
-        return got
-
-    def _unit(self, unit: str) -> tuple | None:
-        a = self.a.encode(unit, add_special_tokens=False).ids
-        b = self.b.encode(unit[1:], num_threads=1) if len(unit) > 1 else [self.blank_b]
-        spelt_a, spelt_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        want = unit.encode()
-        if b"".join(spelt_a) != want or b"".join(spelt_b) != want:
+        self.size_a, self.size_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
+        # how an id is written before another of its group, as the first side's last, and as the second side's last
+        self.shown = [f"{i}{mark}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for mark in ",|;"]
+
+    def _ranked(self, spec: dict, special: set[int]):
+        """tiktoken's encoder over the file's vocabulary, if ids of merged tokens are in the order of their merges."""
+        import tiktoken
+
+        model, cutter = spec["model"], spec["pre_tokenizer"] or {}
+        vocab, joined = model["vocab"], ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        ranks = [vocab.get(j) for j in joined]
+        plain = (
+            model["type"] == "BPE" and not spec["normalizer"] and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
+            and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
+            and None not in ranks and ranks == sorted(ranks) and len(set(ranks)) == len(ranks) and {c for c in byte_symbols()} <= vocab.keys()
+            and min(ranks, default=256) >= 256 and len(vocab) - len(special & set(vocab.values())) == 256 + len(ranks)
+        )
+        if not plain:
             return None
-        groups, links = align(a, b, list(map(len, spelt_a)), list(map(len, spelt_b)))
-        shown = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return len(a), len(b), len(groups), shown, links, groups
+        words = {self.bytes_a[i]: i for i in vocab.values() if i not in special}
+        return tiktoken.Encoding("aligned", pat_str=_PATTERN, mergeable_ranks=words, special_tokens={})
+
+    def first(self, text: str) -> list[int]:
+        # A very long run of white space would exhaust the pattern matcher's steps.
+        if self.fast is not None and not (len(text) > 100_000 and _LONG_BLANK.search(text)):
+            return self.fast.encode_ordinary(text)
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path_a)
+            self.library.encode_special_tokens = True
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def written(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
+        """a1,a2|b1;a3|b2,b3"""
+        codes, groups = [], []
+        for ids, cuts, last, side in ((a, cut_a, 1, 0), (b, cut_b, 2, 1)):
+            code = ids * 3
+            code[cuts - 1] += last
+            codes.append(code)
+            groups.append(np.repeat(np.arange(len(cuts)) * 2 + side, np.diff(cuts, prepend=0)))
+        order = np.argsort(np.concatenate(groups), kind="stable")
+        shown = self.shown
+        return "".join([shown[c] for c in np.concatenate(codes)[order].tolist()])[:-1]
+
+    def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
+        """Ids and cumulative byte ends on either side per text; None without tokens."""
+        for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            a, want = self.first(" " + text) if text else [], (" " + text).encode()
+            if not text or b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
+                yield None
+            else:
+                x, y = np.array(a, np.int64), np.array(b, np.int64)
+                yield x, y, np.cumsum(self.size_a[x]), np.cumsum(self.size_b[y])
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -120,15 +149,26 @@ def _pair(path_a: str, path_b: str) -> Pair:
     return _pairs.get((path_a, path_b)) or _pairs.setdefault((path_a, path_b), Pair(path_a, path_b))
 
 
+def _each(pair: Pair, texts: pa.Array):
+    """encoded() for a few texts at a time."""
+    for _, few in packets.gathered(iter([pa.record_batch([pa.nulls(len(texts), pa.int64()), texts], ["doc_id", "text"])]), _AT_ONCE):
+        yield from pair.encoded(few.to_pylist())
+
+
 def _groups(path_a: str, path_b: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pair = _pair(path_a, path_b)
     kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
     for batch in batches:
         for ids, texts in packets.gathered(iter([batch]), PIECE):
             out = []
-            for text in texts.to_pylist():
-                found = [pair.unit(u) for u in pair.units(text)] if text else [None]
-                out.append([] if None in found else [{"a": x, "b": y} for f in found for x, y in f[5]])
+            for found in _each(pair, texts):
+                if found is None:
+                    out.append([])
+                    continue
+                a, b, ends_a, ends_b = found
+                cut_a, cut_b = sliced(ends_a.tolist(), ends_b.tolist())
+                a, b = a.tolist(), b.tolist()
+                out.append([{"a": a[p:q], "b": b[r:t]} for p, q, r, t in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b, strict=False)])
             yield pa.record_batch([ids, pa.array(out, kind)], ["doc_id", "groups"])
 
 
@@ -143,49 +183,35 @@ _INT, _LONG = pa.int32(), pa.int64()
 _TABLE = {
     "part": _INT, "seq": _INT, "entries": _LONG,
     "ids": pa.list_(_LONG), "n_a": pa.list_(_INT), "n_b": pa.list_(_INT), "n_groups": pa.list_(_INT), "n_links": pa.list_(_INT), "digest": pa.list_(pa.string()),
-    # documents as runs of units, units as runs of pairs, and the distinct pairs of the piece with their counts
-    "doc_units": pa.list_(_INT), "units": pa.list_(_INT), "unit_pairs": pa.list_(_INT), "pairs": pa.list_(_INT),
-    "a": pa.list_(_INT), "b": pa.list_(_INT), "n": pa.list_(_LONG),
+    # links of all documents as places in the distinct pairs of the piece, which come with their counts
+    "links": pa.list_(_INT), "a": pa.list_(_INT), "b": pa.list_(_INT), "n": pa.list_(_LONG),
 }
 _TABLE_DDL = (
     "part int, seq int, entries long, ids array<bigint>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, digest array<string>, "
-    "doc_units array<int>, units array<int>, unit_pairs array<int>, pairs array<int>, a array<int>, b array<int>, n array<bigint>"
+    "links array<int>, a array<int>, b array<int>, n array<bigint>"
 )
 
 
 def _aligned(path_a: str, path_b: str, size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, pair = TaskContext.get().partitionId(), _pair(path_a, path_b)
     for seq, (ids, texts) in enumerate(packets.gathered(batches, size)):
-        seen: dict[str, int] = {}
-        found: list[tuple | None] = []
-        figures: list[tuple] = []
-        doc_units, units = [], []
-        for text in texts.to_pylist():
-            mine = []
-            for u in pair.units(text) if text else ():
-                k = seen.setdefault(u, len(seen))
-                if k == len(found):
-                    found.append(pair.unit(u))
-                mine.append(k)
-            of = [found[k] for k in mine]
-            if None in of:
-                mine, of = [], []
-            a, b, g = (sum([f[i] for f in of]) for i in range(3))
-            digest = hashlib.sha256(";".join([f[3] for f in of]).encode()).hexdigest() if of else ""
-            figures.append((a, b, g, sum([len(f[4]) for f in of]), digest))
-            doc_units.append(len(mine))
-            units += mine
-        links = [f[4] if f else [] for f in found]
-        lengths = np.fromiter(map(len, links), np.int64, len(links))
-        flat = np.array([ab for x in links for ab in x], np.int64).reshape(-1, 2)
-        distinct, place = np.unique(flat[:, 0] << 32 | flat[:, 1], return_inverse=True)
-        times = np.bincount(np.array(units, np.int64), minlength=len(found))
-        n = np.zeros(len(distinct), np.int64)
-        np.add.at(n, place, np.repeat(times, lengths))
+        figures, codes = [], [np.zeros(0, np.int64)]
+        for found in _each(pair, texts):
+            if found is None:
+                figures.append((0, 0, 0, 0, ""))
+                continue
+            a, b, ends_a, ends_b = found
+            cut_a, cut_b = sliced(ends_a.tolist(), ends_b.tolist())
+            text = pair.written(a, b, np.array(cut_a), np.array(cut_b))
+            i, j = linked(ends_a, ends_b)
+            codes.append(a[i] << 32 | b[j])
+            figures.append((len(a), len(b), len(cut_a), len(i), hashlib.sha256(text.encode()).hexdigest()))
+        place, distinct = pd.factorize(np.concatenate(codes))
+        n = np.bincount(place, minlength=len(distinct))
         a, b, g, many, digests = zip(*figures, strict=True)
         columns = {
-            "part": part, "seq": seq, "entries": int((n > 0).sum()), "ids": ids, "n_a": a, "n_b": b, "n_groups": g, "n_links": many, "digest": digests,
-            "doc_units": doc_units, "units": units, "unit_pairs": lengths, "pairs": place, "a": distinct >> 32, "b": distinct & 0xFFFFFFFF, "n": n,
+            "part": part, "seq": seq, "entries": len(distinct), "ids": ids, "n_a": a, "n_b": b, "n_groups": g, "n_links": many, "digest": digests,
+            "links": place, "a": distinct >> 32, "b": distinct & 0xFFFFFFFF, "n": n,
         }
         yield pa.record_batch(
             [pa.array([v], t) if not pa.types.is_list(t) else packets.one(v if isinstance(v, pa.Array) else pa.array(v, t.value_type))
@@ -268,8 +294,8 @@ def _scored(buckets: int, folder: str, tops: tuple[np.ndarray, np.ndarray], batc
             count[order[start:end]] = got
         live = count > 0
         best[live] = count[live] == tops[1][np.searchsorted(tops[0], b[live])]
-        pairs, unit_pairs, units, doc_units = (_numbers(row, k) for k in ("pairs", "unit_pairs", "units", "doc_units"))
-        per_doc = [pa.array(_runs(_runs(v[pairs], unit_pairs)[units], doc_units)) for v in (best, count)]
+        of, many = _numbers(row, "links"), _numbers(row, "n_links")
+        per_doc = [pa.array(_runs(v[of], many)) for v in (best, count)]
         plain = [packets.listed(row, k).cast(_LONG) for k in ("n_a", "n_b", "n_groups", "n_links")]
         yield pa.record_batch(
             [packets.listed(row, "ids"), *plain, *per_doc, packets.listed(row, "digest")],
@@ -289,7 +315,7 @@ def links(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     table = pin(packets.text_rows(docs, key, text).mapInArrow(partial(_aligned, path_a, path_b, size), _TABLE_DDL))
     buckets = 1 + table.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0] // bucket
     sent = table.select("part", "seq", "a", "b", "n").mapInArrow(partial(packets.mapped, partial(_send, buckets)), _PACKET)
-    answers = pin(sent.groupBy("bucket").applyInArrow(_sums, _SUMS))
+    answers = pin(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_sums, _SUMS))
     folder = packets.deliver(answers, "sums")
     sums = answers.select(F.inline("sums"))
     highest = sums.groupBy("b").agg(F.max("n").alias("top"))  # no more rows than the second vocabulary has

@@ -272,9 +272,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, key: str = "doc_id",
     weight = table.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     buckets = 1 + weight // segment_text
     cell_packets = table.select("part", "seq", "texts").mapInArrow(partial(packets.mapped, partial(_send_cells, window, buckets)), _PACKET)
-    repeated = pin(cell_packets.groupBy("bucket").applyInArrow(_estimates, _ANSWER))
+    repeated = pin(cell_packets.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_estimates, _ANSWER))
     flagged = packets.deliver(repeated, "repeated")
     groups = 1 + repeated.agg(F.coalesce(F.sum("found"), F.lit(0))).first()[0] // bucket
     found = table.select("part", "seq", "ids", "texts").mapInArrow(partial(_send_candidates, window, buckets, flagged, groups), _PACKET)
-    firsts = packets.deliver(found.groupBy("bucket").applyInArrow(_firsts, _ANSWER), "firsts")
+    firsts = packets.deliver(found.repartition(groups, "bucket").groupBy("bucket").applyInArrow(_firsts, _ANSWER), "firsts")
     return table.select("part", "seq", "ids", "texts").mapInArrow(partial(_cut, window, buckets, flagged, groups, firsts), _RESULT)

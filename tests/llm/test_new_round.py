@@ -208,6 +208,13 @@ def test_alignment_odd_rows(odd, none, libraries):
     assert alignment.links(none, PATH_A, PATH_B)[0].count() == 0 == alignment.groups(none, PATH_A, PATH_B).count()
 
 
+@pytest.mark.parametrize("text", ["a" + " " * 150_000 + "b", "\n" * 120_000, "é" * 60_000, "x y. " * 40_000])
+def test_long_texts_have_the_library_s_ids(libraries, text):
+    (found,) = alignment.Pair(PATH_A, PATH_B).encoded([text])
+    a, b = libraries[0].encode(" " + text, add_special_tokens=False).ids, libraries[1].encode(text, num_threads=1)
+    assert found[0].tolist() == a and found[1].tolist() == b
+
+
 def test_slices_link_what_overlaps():
     # bytes: aab|b / a|abb|... ends 2,3,6 against 1,3,4,6
     groups, links = alignment.align([1, 2, 3], [7, 8, 9, 10], [2, 1, 3], [1, 2, 1, 2])
