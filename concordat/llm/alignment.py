@@ -21,6 +21,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -47,8 +48,8 @@ def sliced(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """Where the groups of two token lists end: ends that both have, looked up in either side's dictionary from end to index."""
     at_a = dict(zip(ends_a, range(1, len(ends_a) + 1), strict=True))
     at_b = dict(zip(ends_b, range(1, len(ends_b) + 1), strict=True))
-    common = sorted(at_a.keys() & at_b.keys())
-    return [at_a[e] for e in common], [at_b[e] for e in common]
+    common = list(compress(at_a, map(at_b.__contains__, at_a)))  # in the order of the ends, which rise
+    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
 def linked(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,25 +122,26 @@ class Pair:
 
     def written(self, a: np.ndarray, b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
         """a1,a2|b1;a3|b2,b3"""
-        codes, groups = [], []
-        for ids, cuts, last, side in ((a, cut_a, 1, 0), (b, cut_b, 2, 1)):
+        out = np.empty(len(a) + len(b), np.int64)
+        start_a, start_b = np.concatenate([[0], cut_a[:-1]]), np.concatenate([[0], cut_b[:-1]])
+        for ids, cuts, start, before, last in ((a, cut_a, start_a, start_b, 1), (b, cut_b, start_b, cut_a, 2)):
             code = ids * 3
             code[cuts - 1] += last
-            codes.append(code)
-            groups.append(np.repeat(np.arange(len(cuts)) * 2 + side, np.diff(cuts, prepend=0)))
-        order = np.argsort(np.concatenate(groups), kind="stable")
-        shown = self.shown
-        return "".join([shown[c] for c in np.concatenate(codes)[order].tolist()])[:-1]
+            # a token comes after its own side's earlier ones and the other side's up to its group
+            out[np.arange(len(ids)) + np.repeat(before, cuts - start)] = code
+        return "".join(map(self.shown.__getitem__, out.tolist()))[:-1]
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None]:
         """Ids and cumulative byte ends on either side per text; None without tokens."""
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             a, want = self.first(" " + text) if text else [], (" " + text).encode()
-            if not text or b"".join(map(self.bytes_a.__getitem__, a)) != want or b"".join(map(self.bytes_b.__getitem__, b)) != want:
-                yield None
+            x, y = np.array(a, np.int64), np.array(b, np.int64)
+            ends_a, ends_b = np.cumsum(self.size_a[x]), np.cumsum(self.size_b[y])
+            spelt = text and ends_a[-1] == ends_b[-1] == len(want) and b"".join(map(self.bytes_b.__getitem__, b)) == want
+            if spelt and b"".join(map(self.bytes_a.__getitem__, a)) == want:
+                yield x, y, ends_a, ends_b
             else:
-                x, y = np.array(a, np.int64), np.array(b, np.int64)
-                yield x, y, np.cumsum(self.size_a[x]), np.cumsum(self.size_b[y])
+                yield None
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
