@@ -186,11 +186,11 @@ _TABLE = {
     "part": _INT, "seq": _INT, "entries": _LONG,
     "ids": pa.list_(_LONG), "n_a": pa.list_(_INT), "n_b": pa.list_(_INT), "n_groups": pa.list_(_INT), "n_links": pa.list_(_INT), "digest": pa.list_(pa.string()),
     # links of all documents as places in the distinct pairs of the piece, which come with their counts
-    "links": pa.list_(_INT), "a": pa.list_(_INT), "b": pa.list_(_INT), "n": pa.list_(_LONG),
+    "links": pa.binary(), "pairs": pa.binary(),
 }
 _TABLE_DDL = (
     "part int, seq int, entries long, ids array<bigint>, n_a array<int>, n_b array<int>, n_groups array<int>, n_links array<int>, digest array<string>, "
-    "links array<int>, a array<int>, b array<int>, n array<bigint>"
+    "links binary, pairs binary"
 )
 
 
@@ -213,7 +213,8 @@ def _aligned(path_a: str, path_b: str, size: int, batches: Iterator[pa.RecordBat
         a, b, g, many, digests = zip(*figures, strict=True)
         columns = {
             "part": part, "seq": seq, "entries": len(distinct), "ids": ids, "n_a": a, "n_b": b, "n_groups": g, "n_links": many, "digest": digests,
-            "links": place, "a": distinct >> 32, "b": distinct & 0xFFFFFFFF, "n": n,
+            "links": packets.squeezed(place.astype("<u4")),
+            "pairs": packets.squeezed((distinct >> 32).astype("<u4"), (distinct & 0xFFFFFFFF).astype("<u4"), n.astype("<u8")),
         }
         yield pa.record_batch(
             [pa.array([v], t) if not pa.types.is_list(t) else packets.one(v if isinstance(v, pa.Array) else pa.array(v, t.value_type))
@@ -230,7 +231,8 @@ def _numbers(row: pa.RecordBatch, name: str) -> np.ndarray:
 
 def _dealt(row: pa.RecordBatch, buckets: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
     """Pairs that occur, sorted by bucket, their ids, and each bucket's run."""
-    a, b, n = (_numbers(row, k) for k in ("a", "b", "n"))
+    kinds = ("<u4", "<u4", "<u8")
+    a, b, n = (x.astype(np.int64) for x in packets.spread(packets.value(row, "pairs"), packets.value(row, "entries"), *kinds))
     h = (a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
     bucket = (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
     live = np.flatnonzero(n > 0)
@@ -285,6 +287,7 @@ def _runs(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def _scored(buckets: int, folder: str, tops: tuple[np.ndarray, np.ndarray], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    _pairs.clear()  # a worker that has aligned before needs its tokenizers no more
     mail = packets.Mail(folder)
 
     def score(row):
@@ -296,7 +299,8 @@ def _scored(buckets: int, folder: str, tops: tuple[np.ndarray, np.ndarray], batc
             count[order[start:end]] = got
         live = count > 0
         best[live] = count[live] == tops[1][np.searchsorted(tops[0], b[live])]
-        of, many = _numbers(row, "links"), _numbers(row, "n_links")
+        many = _numbers(row, "n_links")
+        (of,) = packets.spread(packets.value(row, "links"), int(many.sum()), "<u4")
         per_doc = [pa.array(_runs(v[of], many)) for v in (best, count)]
         plain = [packets.listed(row, k).cast(_LONG) for k in ("n_a", "n_b", "n_groups", "n_links")]
         yield pa.record_batch(
@@ -316,7 +320,7 @@ def links(docs: DataFrame, path_a: str, path_b: str, key: str = "doc_id", text:
     ship_package(spark)
     table = pin(packets.text_rows(docs, key, text).mapInArrow(partial(_aligned, path_a, path_b, size), _TABLE_DDL))
     buckets = 1 + table.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0] // bucket
-    sent = table.select("part", "seq", "a", "b", "n").mapInArrow(partial(packets.mapped, partial(_send, buckets)), _PACKET)
+    sent = table.select("part", "seq", "entries", "pairs").mapInArrow(partial(packets.mapped, partial(_send, buckets)), _PACKET)
     answers = pin(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_sums, _SUMS))
     folder = packets.deliver(answers, "sums")
     sums = answers.select(F.inline("sums"))
