@@ -79,12 +79,14 @@ def pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
 
 def squeezed(*columns: np.ndarray) -> bytes:
     """Arrays of one length, each as planes of bytes, compressed."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes() for c in columns]
     return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
 def spread(data: bytes, n: int, *kinds: str) -> list[np.ndarray]:
     """What squeezed() was given: n values of each kind."""
+    if not n:
+        return [np.zeros(0, k) for k in kinds]
     widths = [np.dtype(k).itemsize for k in kinds]
     raw = np.frombuffer(pa.decompress(data, decompressed_size=n * sum(widths), codec="zstd", asbytes=True), np.uint8)
     out, at = [], 0
