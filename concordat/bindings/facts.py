@@ -8,7 +8,6 @@ from concordat import constants as C
 from concordat.bindings import inputs as I
 from concordat.bindings.registry import query, table
 from concordat.operators import releases as R
-from concordat.operators.ordering import first_wins
 from concordat.sources import releases as S
 
 HEX = "sha256(o_orderkey || '|')"
@@ -173,19 +172,20 @@ def errata_overlay(spark, d):
     return R.apply_errata(pub, errata)
 
 
-@query("verdict_documents", f"""WITH {I.verdicts_cte()},
-f AS (SELECT *, row_number() OVER (PARTITION BY filename, date_trunc('day', fetched_at), category ORDER BY event_id) AS rn FROM v)
-SELECT filename, category AS engine, strftime(date_trunc('day', fetched_at), '%Y-%m-%d') AS day, engine AS result, strftime(fetched_at, '%Y%m%d') AS engine_update FROM f WHERE rn = 1""")
+@query("verdict_documents", f"""WITH {I.verdicts_cte()}
+SELECT filename, category || '#' || event_id AS engine, strftime(date_trunc('day', fetched_at), '%Y-%m-%d') AS day, engine AS result, strftime(fetched_at, '%Y%m%d') AS engine_update FROM v""")
 def verdict_documents(spark, d):
-    """Events packed into verdict documents (engine-keyed maps) and exploded again."""
-    v = I.verdicts(spark, d).withColumn("day", F.date_format("fetched_at", "yyyy-MM-dd"))
-    one = first_wins(v.select("filename", "day", "category", "event_id", "engine", "fetched_at", "sha256"),
-                     ["filename", "day", "category"], ["event_id"])
+    """Every event packed into verdict documents (engine-keyed maps) and exploded again.
+
+    An entry's key holds the number of its event, so none replaces another; a document takes 64 numbers at most, however hot its file.
+    """
+    v = I.verdicts(spark, d).withColumn("day", F.date_format("fetched_at", "yyyy-MM-dd")).withColumn(
+        "key", F.concat("category", F.lit("#"), F.col("event_id").cast("string")))
     entry = F.struct(
         F.lit("blacklist").alias("method"), F.col("category").alias("engine_name"), F.lit(None).cast("string").alias("engine_version"),
         F.date_format("fetched_at", "yyyyMMdd").alias("engine_update"), F.lit("undetected").alias("category"), F.col("engine").alias("result"))
-    docs = one.groupBy("filename", "day").agg(
-        F.map_from_entries(F.collect_list(F.struct("category", entry.alias("e")))).alias("last_analysis_results")
+    docs = v.groupBy("filename", "day", F.floor(F.col("event_id") / 64).alias("part")).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", entry.alias("e")))).alias("last_analysis_results")
     ).select(F.lit("t").alias("tag"), "filename", F.lit("x").alias("sha256"),
              F.concat("day", F.lit("T00:00:00Z")).alias("fetched_at"), "last_analysis_results")
     out = S.explode_verdicts(docs)
