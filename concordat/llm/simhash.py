@@ -54,13 +54,13 @@ def _distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _lower(text: Column) -> Column:
+def lowered(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def shingle_hashes(text: Column, n: int) -> Column:
     """XXH64 (seed 42) of each run of n words, repeats included; of the whole sequence if it is shorter."""
-    w = words(_lower(text))
+    w = words(lowered(text))
     return F.transform(
         F.array(w),
         lambda a: F.when(F.size(a) == 0, F.array().cast("array<bigint>"))
