@@ -135,22 +135,6 @@ def test_lines(odd, none, stored):
     assert line_dedup.without_repeats(docs).columns == docs.columns
 
 
-@pytest.mark.parametrize("crowd", [5000, 2])
-def test_close_prints(spark, crowd):
-    rng = random.Random(2)
-    rows = {}
-    for _ in range(8):
-        base = rng.getrandbits(64)
-        for _ in range(10):
-            x = base
-            for _ in range(rng.randint(0, 4)):
-                x ^= 1 << rng.randrange(64)
-            rows[rng.getrandbits(60)] = x - (1 << 64) if x >> 63 else x
-    frame = spark.createDataFrame([(k, v, 50) for k, v in rows.items()], "key long, fp long, size int")
-    want = {(a, b) for a in rows for b in rows if a < b and ((rows[a] ^ rows[b]) & ((1 << 64) - 1)).bit_count() <= 3}
-    assert {tuple(r) for r in line_dedup.close_prints(frame, crowd=crowd).collect()} == want
-
-
 def test_chat_fold(spark):
     log = [
         (1, 1, 1, "delta", "user", "hel"), (1, 2, 1, "delta", "user", "lo"), (1, 3, 2, "delta", "assistant", "one"), (1, 4, 3, "delta", "user", "two"),
