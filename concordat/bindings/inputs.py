@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from concordat import constants as C
 from concordat.bindings.registry import table
+from concordat.session import spread
 
 # Terms and phrases that exercise every rule.
 TERMS = (
@@ -161,7 +162,7 @@ LICENCE_ENTRY_TYPE = (
 
 def components(spark: SparkSession, folder: str) -> DataFrame:
     """(sbom_id, ord, component): every part as a nested component record."""
-    p = table(spark, folder, "part")
+    p = spread(table(spark, folder, "part"))
     k = F.col("p_partkey")
     name = F.when(
         (F.col("p_type") == "STANDARD") & (k % 4 == 0), F.concat(F.lit("@scope/"), styled(F.col("p_name"), k))
