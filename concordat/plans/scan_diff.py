@@ -12,6 +12,7 @@ from concordat.operators.counts import verdict_counts
 from concordat.operators.curation import with_curation
 from concordat.operators.matching import match_dirs
 from concordat.operators.scans import aggregate_dirs
+from concordat.session import pin
 
 
 def classify(files: DataFrame, components: DataFrame, curation: DataFrame) -> DataFrame:
@@ -82,7 +83,12 @@ def _total(rows: DataFrame, form: str, k: str = "0000") -> DataFrame:
 
 
 def report(classified: DataFrame) -> DataFrame:
-    """(section, at, line): the report as sorted rows, unique by (section, at) within its samples."""
+    """(section, at, line): the report as sorted rows, unique by (section, at) within its samples.
+
+    All sections read the same classified directories, which are written once: they are far fewer than the files they sum up.
+    """
+    classified = pin(classified)
+
     def section(n: int, lines: DataFrame, order: list[str]) -> DataFrame:
         return lines.select(
             F.lit(n).alias("section"), F.concat_ws("\x1f", *order).alias("at"), "line"
