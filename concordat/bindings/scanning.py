@@ -11,6 +11,7 @@ from concordat.bindings.registry import query
 from concordat.functions import paths, spdx
 from concordat.operators import counts, matching, ordering, scans
 from concordat.plans import scan_diff
+from concordat.session import pin
 
 
 def parts(spark, d):
@@ -201,6 +202,7 @@ SELECT line FROM k UNION ALL SELECT '... and ' || (count(*) - 30) || ' more' FRO
 def noise_listing(spark, d):
     """First 30 substantive unaccounted directories and a count of the rest."""
     rows = classified(spark, d).where((F.col("outcome") == "UNACCOUNTED") & ~paths.is_noise_dir(F.col("top")))
+    rows = pin(rows.select("bucket", "top", "n_files"))  # the sample and the rest both read them
     line = F.concat(F.lit("- `"), F.col("top"), F.lit("` ("), F.col("bucket"), F.lit(", "), F.col("n_files").cast("string"), F.lit(" files)"))
     return ordering.sample_with_rest(rows, ["bucket", "top"], line, 30)
 
