@@ -68,7 +68,7 @@ def probe_files(spark, d, planned):
 def no_tools(spark):
     from concordat.schemas import TOOL_VALUE
 
-    return spark.createDataFrame([], f"key string, tool {TOOL_VALUE}")
+    return pin(spark.createDataFrame([], f"key string, tool {TOOL_VALUE}"))
 
 
 def spdx_texts(spark, d):
@@ -126,11 +126,11 @@ FROM (SELECT x.*, CASE category WHEN 'AI Models' THEN 'HF URL not parseable: ' |
 
 
 def enriched(spark, d):
-    base = pin(flat(spark, d))
-    planned = pin(enrichment.plan_sources(base, no_tools(spark)).select("ord", "plan"))
+    tools = no_tools(spark)
+    planned = pin(enrichment.plan_sources(flat(spark, d), tools))
     landed = pin(packed_archives(spark, d, planned).unionByName(probe_files(spark, d, planned)))
     return enrichment.enrich(
-        base, no_tools(spark), I.curation(spark, d, base), landed, pin(spdx_texts(spark, d)))
+        planned, tools, I.curation(spark, d, planned), landed, spdx_texts(spark, d))
 
 
 @query("enrichment", f"WITH {_ENRICH}")

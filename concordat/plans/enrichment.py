@@ -146,6 +146,8 @@ def enrich(
     `registry(key, meta)`: package-registry records, same keys, JSON text; `spdx_texts(id, text)`;
     `fetch_errors(key, code, reason)`: downloads that failed (code null when not an HTTP status).
 
+    Components that have been through `plan_sources` are taken as they are; write them first, as they are read often.
+
     Rows that several branches read are pinned as tables: the planned components, the
     extracted files, the decoded licence files and the body segments.
     """
@@ -154,7 +156,11 @@ def enrich(
         registry = spark.createDataFrame([], "key string, meta string")
     if fetch_errors is None:
         fetch_errors = spark.createDataFrame([], "key string, code int, reason string")
-    planned = pin(plan_sources(flat, tools))
+    # Written, so that the planner knows which of them are small and does not shuffle all components to meet them.
+    registry, fetch_errors = pin(registry), pin(fetch_errors)
+    texts = pin(spdx_texts.withColumn("_text", F.monotonically_increasing_id()).withColumn(
+        "clean", T.redact_paths(F.col("text"), profile.extra_path_patterns)))
+    planned = flat if {"component_id", "plan", "tool"} <= set(flat.columns) else pin(plan_sources(flat, pin(tools)))
     open_plan = planned.where(~P.is_proprietary(F.col("info")))
 
     # --- acquire: each distinct download is opened once, then shared by its components
@@ -193,12 +199,14 @@ def enrich(
     # --- choose the body; where nothing usable was found, the canonical text stands in
     known = open_plan.select("component_id", "info.kind", "info.value", "info.all_ids")
     chosen = bodies.choose(known, files)
-    canon = canonical_fallback(
+    # Which text is found once for both uses below, by a number; the texts are few and are joined where they go.
+    stand_ins = pin(canonical_fallback(
         known.where(F.col("kind").isin("id", "expression"))
         .join(files.select("component_id").distinct(), "component_id", "left_anti")
         .select("component_id", "all_ids"),
-        spdx_texts,
-    ).select("component_id", F.col("text").alias("canonical"))
+        texts,
+    ).select("component_id", "_text"))
+    canon = stand_ins.join(texts.select("_text", F.col("text").alias("canonical"), "clean"), "_text").drop("_text")
     no_source = (
         open_plan.where(F.col("plan.kind") == "none").select("component_id")
         .unionByName(failed.select("component_id"))
@@ -207,11 +215,11 @@ def enrich(
     # for a missing source it is embedded as it is.
     canon_segs = canon.join(no_source, "component_id", "left_anti").select(
         "component_id", F.struct(F.lit(0).alias("part"), F.lit(1).cast("bigint").alias("at")).alias("seg"),
-        F.col("canonical").alias("piece"), F.lit("spdx-canonical-fallback").alias("source_tag"),
+        F.col("clean").alias("piece"), F.lit("spdx-canonical-fallback").alias("source_tag"),
     )
     segs = pin(
-        bodies.segments(chosen, files).unionByName(canon_segs)
-        .withColumn("piece", T.redact_paths(F.col("piece"), profile.extra_path_patterns))
+        bodies.segments(chosen, files).withColumn("piece", T.redact_paths(F.col("piece"), profile.extra_path_patterns))
+        .unionByName(canon_segs)
     )
     made = bodies.assemble(segs)
 
@@ -237,7 +245,7 @@ def enrich(
     )
     rows = (
         planned.join(facts, "component_id", "left")
-        .join(canon.join(no_source, "component_id", "left_semi"), "component_id", "left")
+        .join(canon.join(no_source, "component_id", "left_semi").drop("clean"), "component_id", "left")
         .join(all_files.select("component_id", F.lit(True).alias("has_files")).distinct(), "component_id", "left")
         .join(failed, "component_id", "left")
     )
@@ -248,8 +256,10 @@ def enrich(
         "status", "reason", "drift", "source_tag",
     )
     by_id = lambda df: df.select("component_id.*", *[c for c in df.columns if c != "component_id"])
-    components = redact_components(done.select("sbom_id", "ord", "component", *[c for c in ("raw",) if c in done.columns]), profile)
-    broken = bodies.implausible_bodies(components)
+    written = done.select("sbom_id", "ord", "component", *[c for c in ("raw",) if c in done.columns])
+    components = redact_components(written, profile)
+    has_text = F.exists("component.licenses", lambda entry: entry["license"]["text"].isNotNull())
+    broken = bodies.implausible_bodies(redact_components(written.where(has_text), profile))
     if not broken.isEmpty():
         raise ValueError(f"embedded licence text does not read like one: {broken.first()}")
     return Enriched(components, results, by_id(segs), by_id(harvested))
