@@ -74,7 +74,7 @@ def distinct_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     bounds = np.zeros(len(lengths) + 1, np.int64)
     np.cumsum(lengths, out=bounds[1:])
     whole = flat.dictionary_encode()
-    words, index = whole.dictionary.to_pylist(), whole.indices.to_numpy(zero_copy_only=False)
+    words, index = whole.dictionary.to_numpy(zero_copy_only=False).tolist(), whole.indices.to_numpy(zero_copy_only=False)
     # Splitting gives an empty first or last word where a text begins or ends with white space.
     return words, index, bounds
 

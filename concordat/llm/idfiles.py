@@ -40,6 +40,21 @@ _LENGTH = "<Q"
 _PLAIN = re.compile("[!-;=-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]*")
 
 
+class _Remembered(dict):
+    """What make gives for each key that was asked for; bounded, then it forgets them all."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        made = self.make(key)
+        if len(self) >= CACHE:
+            self.clear()
+        self[key] = made
+        return made
+
+
 class Encoder:
     """Ids of words by the tokenizers library. Plain words skip its normaliser, which they would leave as they are."""
 
@@ -49,36 +64,34 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.cutter = Pieces(path)
         del self.cutter.model  # the library has its own
-        self.known: dict[str, bytes] = {}
+        self.known = _Remembered(self._piece)
+
+    def _piece(self, piece: str) -> bytes:
+        # printing ASCII stands for itself
+        tokens = self.library.model.tokenize(piece if piece.isascii() else self.cutter.mapped(piece))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def word(self, word: str) -> bytes:
         """The word's ids as unsigned 32-bit numbers."""
+        known, lower = self.known, word.lower()
+        # Most words are letters, or letters and one mark; the pattern would cut them just so.
+        letters = lower.isalpha()
+        if letters and word.isascii():
+            return known[lower]
         if not _PLAIN.fullmatch(word):
             return np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        ids, known, lower = [], self.known, word.lower()
-        # Most words are letters, or letters and one mark; the pattern would cut them just so.
-        if lower.isalpha():
-            pieces = (lower,)
-        elif lower[:-1].isalpha() and lower[-1] in ".,!?;:":
-            pieces = (lower[:-1], lower[-1])
-        else:
-            pieces = self.cutter.cut.findall(lower)
-        for piece in pieces:
-            got = known.get(piece)
-            if got is None:
-                if len(known) >= CACHE:
-                    known.clear()
-                tokens = self.library.model.tokenize(self.cutter.mapped(piece))
-                got = known[piece] = struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
-            ids.append(got)
-        return b"".join(ids)
+        if letters:
+            return known[lower]
+        if lower[:-1].isalpha() and lower[-1] in ".,!?;:":
+            return known[lower[:-1]] + known[lower[-1]]
+        return b"".join([known[piece] for piece in self.cutter.cut.findall(lower)])
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch in order, and the number of ids of each text."""
         words, index, bounds = distinct_words(texts)
         if not len(index):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        lists = [self.word(w) for w in words]
+        lists = list(map(self.word, words))
         sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
         flat = np.frombuffer(b"".join(lists), "<u4")
         del lists, words

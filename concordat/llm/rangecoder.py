@@ -35,8 +35,8 @@ _EMPTY = np.uint32(0xFFFFFFFF)
 _ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
 _Q_LOW, _Q2_HIGH, _Q1_HIGH = 64, 63488, 57344  # of 65536
 _Q0_LOW, _Q0_HIGH = 2048, 61440
-_BEFORE = np.tril(np.ones((_FREQUENT, _FREQUENT), np.float32), -1)
-_ALL = np.ones(_FREQUENT, np.float32)
+_BYTE, _LAST = np.uint8(1), np.uint8(_FREQUENT - 1)
+_ENTRY = np.arange(1, _FREQUENT + 1, dtype=np.uint8)[:, None]
 _U = np.uint64
 _S32, _LIMIT = _U(32), _U(1 << 32)
 
@@ -68,10 +68,16 @@ class _Model:
         self.weight = [np.full(lanes * 4, 8192, np.int64) for _ in range(2)]
         self.last = np.zeros(lanes, np.uint32)
         self.mark = np.zeros(lanes, np.uint32)
+        # The table's entries are rows 1 to _FREQUENT; row 0 stands for no entry. Counts of a lane never add up to more than 144
+        # (they grow by one a step and are halved every 64), so bytes hold them and their sums.
+        self.lanes = lanes
         self.ids = np.full((_FREQUENT, lanes), _EMPTY, np.uint32)
-        self.count = np.zeros((_FREQUENT, lanes), np.float32)  # small whole numbers, so that products of matrices add them up
+        self.count = np.zeros((_FREQUENT + 1, lanes), np.uint8)
+        self.below = np.zeros((_FREQUENT + 2, lanes), np.uint8)  # of an entry in its row, and the sum of all in the last
+        self.sums = list(zip(self.below[1:], self.count[1:], self.below[2:], strict=False))
+        self.same = np.empty((_FREQUENT, lanes), bool)
+        self.named = np.empty((_FREQUENT, lanes), np.uint8)
         self.q0 = np.full(lanes, 16384, np.int64)
-        self.kept = np.empty_like(self.count)
         self.step = 0
         # order 2 may take 31/32, order 1 7/8 of the rest, order 0 15/16 of that; the curve still has its 2^bits
         self.unit = bits + 13
@@ -80,54 +86,73 @@ class _Model:
     def look(self):
         """Guesses of order 2 and order 1, the ends of their shares, the end of the table's, and the share of the curve."""
         before, self.mark = self.mark, self.last * np.uint32(2654435761)
-        self.at2 = self.base + ((self.mark ^ (before >> np.uint32(7))) >> np.uint32(21))
-        self.at1 = self.base + (self.mark >> np.uint32(21))
+        self.at2 = self.base + ((self.mark ^ (before >> np.uint32(7))) >> np.uint32(21)).astype(np.int64)
+        self.at1 = self.base + (self.mark >> np.uint32(21)).astype(np.int64)
         self.g2, self.g1 = self.guess[0].take(self.at2), self.guess[1].take(self.at1)
-        self.i2, self.i1 = self.bin + (self.g2 & _THREE), self.bin + (self.g1 & _THREE)
+        self.i2, self.i1 = self.bin + (self.g2 & _THREE).astype(np.int64), self.bin + (self.g1 & _THREE).astype(np.int64)
         self.w2, self.w1 = self.weight[0].take(self.i2), self.weight[1].take(self.i1)
         m2 = self.w2 << (self.unit - 16)
         left = self.total - m2
         both = m2 + ((left * self.w1) >> 16)
         rest = self.total - both
-        self.below = _BEFORE @ self.count
+        for below, count, more in self.sums:
+            np.add(below, count, out=more)
         share = (rest * self.q0) >> 16
-        self.each = share // np.maximum(self.below[-1] + self.count[-1], 1).astype(np.int64)
+        # shares are below 2^30, so floating point divides them exactly
+        self.each = (share.astype(np.float64) / np.maximum(self.below[-1], _BYTE).astype(np.float64)).astype(np.int64)
         return self.g2 >> _TWO, self.g1 >> _TWO, m2, both, both + share, rest - share
 
-    def frequent(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Whether the table has each id, and the interval within the table's share."""
-        self.same = self.ids == ids
-        count = (_ALL @ np.multiply(self.count, self.same, out=self.kept)).astype(np.int64)
-        first = (_ALL @ np.multiply(self.below, self.same, out=self.kept)).astype(np.int64) * self.each
-        return count > 0, first, first + count * self.each
+    def interval(self, ids, hit2, hit1, m2, both, table, rest, edge, above, bits):
+        """Start and end of each id's interval. hit2, hit1: whether order 2 guessed the id, or else order 1."""
+        np.equal(self.ids, ids, out=self.same)
+        entry = np.multiply(self.same.view(np.uint8), _ENTRY, out=self.named)
+        for half in (8, 4, 2, 1):
+            entry = np.maximum(entry[:half], entry[half : 2 * half], out=entry[:half])
+        self.held = entry[0] > 0
+        self.sure2, self.sure1, self.sure0 = _mask(hit2), _mask(hit1), _mask(self.held)
+        place = entry[0].astype(np.int64) * self.lanes + self.lane
+        first = both + self.below.take(place).astype(np.int64) * self.each
+        last = first + self.count.take(place).astype(np.int64) * self.each
+        at = ids.astype(np.int64)
+        start = _either(self.sure0, first, table + ((edge.take(at) * rest) >> bits))
+        end = _either(self.sure0, last, table + ((above.take(at) * rest) >> bits))
+        start = _either(self.sure1, m2, start) & ~self.sure2
+        return start, _either(self.sure2, m2, _either(self.sure1, both, end))
 
-    def learn(self, ids, h2, h1, right1, held):
-        """h2, h1: lanes whose id order 2 guessed, or else order 1; right1: all that order 1 guessed; held: the table has the id."""
-        a2, a1, q2, q1 = *self.weight, self.w2, self.w1
-        a2[self.i2] = q2 + ((_Q_LOW - q2) >> 5)
-        a1[self.i1] = q1 + ((_Q_LOW - q1) >> 5)
-        a2[self.i2[h2]] = q2[h2] + ((_Q2_HIGH - q2[h2]) >> 5)
-        a1[self.i1[h2]] = q1[h2]
-        a1[self.i1[h1]] = q1[h1] + ((_Q1_HIGH - q1[h1]) >> 5)
+    def learn(self, ids, hit2, right1):
+        """After interval; right1: whether order 1 guessed the id, order 2 or not."""
+        q2, q1 = self.w2, self.w1
+        self.weight[0][self.i2] = q2 + (((self.sure2 & (_Q2_HIGH - _Q_LOW)) + _Q_LOW - q2) >> 5)
+        self.weight[1][self.i1] = q1 + ((((self.sure1 & (_Q1_HIGH - _Q_LOW)) + _Q_LOW - q1) >> 5) & ~self.sure2)
         fresh = ids << _TWO
-        for table, at, g, right in ((self.guess[0], self.at2, self.g2, h2), (self.guess[1], self.at1, self.g1, right1)):
-            entry = np.where(g & _TWO, g - _TWO, fresh)
-            known = g[right]
-            entry[right] = np.minimum(known + _ONE, known | _THREE)
-            table[at] = entry
+        for table, at, g, right in ((self.guess[0], self.at2, self.g2, hit2), (self.guess[1], self.at1, self.g1, right1)):
+            wrong = _either(np.negative((g >> _ONE) & _ONE), g - _TWO, fresh)
+            table[at] = _either(np.negative(right.astype(np.uint32)), np.minimum(g + _ONE, g | _THREE), wrong)
         self.last = ids
-        aim = np.where(held, _Q0_HIGH, _Q0_LOW)
-        aim[h2], aim[h1] = self.q0[h2], self.q0[h1]  # only ids that came to order 0 say what it is worth
-        self.q0 += (aim - self.q0) >> 5
-        self.count += self.same
+        # only ids that came to order 0 say what it is worth
+        self.q0 += (((self.sure0 & (_Q0_HIGH - _Q0_LOW)) + _Q0_LOW - self.q0) >> 5) & ~(self.sure2 | self.sure1)
+        counts = self.count[1:]
+        counts += self.same.view(np.uint8)
         turn = self.step % _FREQUENT
-        old = self.count[turn]
+        old, entry = counts[turn], self.ids[turn]
         weak = old <= 1
-        self.ids[turn] = np.where(weak > held, ids, self.ids[turn])
-        self.count[turn] = np.where(held, old, np.where(weak, np.float32(1), np.floor(old * np.float32(0.5))))
+        entry ^= (entry ^ ids) & np.negative((weak > self.held).astype(np.uint32))
+        fewer = _either(np.negative(weak.view(np.uint8)), _BYTE, old >> _BYTE)
+        old[:] = _either(np.negative(self.held.view(np.uint8)), old, fewer)
         self.step += 1
         if self.step % _HALVE == 0:
-            self.count = np.ceil(self.count * np.float32(0.5))
+            counts += _BYTE
+            counts >>= _BYTE
+
+
+def _mask(true: np.ndarray) -> np.ndarray:
+    """All bits of a 64-bit number where true."""
+    return np.negative(true.astype(np.int64))
+
+
+def _either(mask, yes, no):
+    """yes where the mask has all bits, no where it has none: what np.where gives, without its branches."""
+    return no ^ ((no ^ yes) & mask)
 
 
 def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -150,29 +175,28 @@ def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
     model = _Model(lanes, bits)
     low, span = np.zeros(lanes, _U), np.full(lanes, 0xFFFFFFFFFFFFFFFF, _U)
     out = np.zeros((lanes, size + 3), np.uint32)
+    flat, row = out.reshape(-1), np.arange(lanes) * (size + 3)
     used = np.zeros(lanes, np.int64)
     unit = _U(model.unit)
     for x in rows:
         e2, e1, m2, both, table, rest = model.look()
-        held, first, last = model.frequent(x)
         hit2, same1 = e2 == x, e1 == x
-        h2, h1 = np.flatnonzero(hit2), np.flatnonzero(same1 > hit2)
-        start = np.where(held, both + first, table + ((edge.take(x) * rest) >> bits))
-        end = np.where(held, both + last, table + ((above.take(x) * rest) >> bits))
-        _inside(start, end, m2, both, h2, h1)
+        start, end = model.interval(x, hit2, same1 > hit2, m2, both, table, rest, edge, above, bits)
         step = span >> unit
         moved = low + start.astype(_U) * step
         carry = np.flatnonzero(moved < low)
         if len(carry):
             _carry(out, used, carry)
         low, span = moved, (end - start).astype(_U) * step
-        full = np.flatnonzero(span < _LIMIT)
-        if len(full):
-            out[full, used[full]] = low[full] >> _S32
-            used[full] += 1
-            low[full] <<= _S32
-            span[full] <<= _S32
-        model.learn(x, h2, h1, np.flatnonzero(same1), held)
+        full = span < _LIMIT
+        some = np.flatnonzero(full)
+        if len(some):
+            flat[row.take(some) + used.take(some)] = low.take(some) >> _S32
+            used += full.astype(np.int64)
+            shift = full.astype(_U) << _U(5)
+            low <<= shift
+            span <<= shift
+        model.learn(x, hit2, same1)
     for _ in range(2):
         out[np.arange(lanes), used] = low >> _S32
         used += 1
@@ -182,12 +206,6 @@ def encode_group(ids: np.ndarray, block: int = BLOCK) -> bytes:
     return _HEAD.pack(b"CMR2", n, size, each, bound, len(words), zlib.crc32(places)) + places + words
 
 
-def _inside(start, end, m2, both, h2, h1) -> None:
-    """Puts in the intervals of the guesses in the lanes where they came true."""
-    start[h1], end[h1] = m2[h1], both[h1]
-    start[h2], end[h2] = 0, m2[h2]
-
-
 def _carry(out: np.ndarray, used: np.ndarray, lanes: np.ndarray) -> None:
     place = used[lanes] - 1
     while len(lanes):
@@ -235,25 +253,27 @@ def decode_group(data: bytes, blocks: list[int] | None = None) -> np.ndarray:
         # both sides are below 2^53 and the quotient far from the next whole number, so floating point is exact
         slot = ((((v - table + 1) << bits) - 1) / rest).astype(np.int64)
         x = owner.take(slot, mode="clip")
-        within = ((v - both) // np.maximum(model.each, 1)).astype(np.float32)
-        entry = np.minimum((_ALL @ (model.below + model.count <= within)).astype(np.int64), _FREQUENT - 1)
-        x = np.where(v < table, model.ids[entry, model.lane], x)
+        within = ((v - both).astype(np.float64) / np.maximum(model.each, 1).astype(np.float64))
+        within = np.minimum(np.maximum(within, 0.0), 255.0).astype(np.uint8)
+        ended = np.less_equal(model.below[2:], within, out=model.same).view(np.uint8)
+        for half in (8, 4, 2, 1):
+            ended = np.add(ended[:half], ended[half : 2 * half], out=model.named[:half])
+        entry = np.minimum(ended[0], _LAST).astype(np.int64) * lanes + model.lane
+        x = _either(np.negative((v < table).astype(np.uint32)), model.ids.take(entry), x)
         hit2, guessed = v < m2, v < both
-        h2, h1 = np.flatnonzero(hit2), np.flatnonzero(guessed > hit2)
-        x[h1], x[h2] = e1[h1], e2[h2]
+        x = _either(np.negative(guessed.astype(np.uint32)), e1, x)
+        x = _either(np.negative(hit2.astype(np.uint32)), e2, x)
         np.minimum(x, np.uint32(bound - 1), out=x)  # damaged data may name ids that are none
-        held, first, last = model.frequent(x)
-        start = np.where(held, both + first, table + ((edge.take(x) * rest) >> bits))
-        end = np.where(held, both + last, table + ((above.take(x) * rest) >> bits))
-        _inside(start, end, m2, both, h2, h1)
+        start, end = model.interval(x, hit2, guessed > hit2, m2, both, table, rest, edge, above, bits)
         code = code - start.astype(_U) * step
         span = np.maximum((end - start).astype(_U) * step, _U(1))
-        full = np.flatnonzero(span < _LIMIT)
-        if len(full):
-            code[full] = (code[full] << _S32) | words.take(place[full], mode="clip")  # damaged data may run over
-            place[full] += 1
-            span[full] <<= _S32
-        model.learn(x, h2, h1, np.flatnonzero(e1 == x), held)
+        full = span < _LIMIT
+        some = np.flatnonzero(full)
+        if len(some):
+            code[some] = (code.take(some) << _S32) | words.take(place.take(some), mode="clip")  # damaged data may run over
+            place += full.astype(np.int64)
+            span <<= full.astype(_U) << _U(5)
+        model.learn(x, hit2, e1 == x)
         rows[t] = x
     parts = np.ascontiguousarray(rows.T)
     for i, block in enumerate(wanted.tolist()):

@@ -228,6 +228,22 @@ def test_coder_finds_damage_and_learns():
     assert (rangecoder.decode_group(data, [2]) == ids[2 * rangecoder.BLOCK : 3 * rangecoder.BLOCK]).all()
 
 
+def test_order_0_counts_fit_bytes():
+    """Counts and their sums are bytes: they never come over 144, whatever the ids, and the sums are those of the counts."""
+    rng = np.random.default_rng(8)
+    model = rangecoder._Model(6, 17)
+    edge, bits = rangecoder.curve(1000)
+    for t in range(700):
+        x = np.array([7, t % 2, t % 16, t % 17, rng.integers(0, 1000), t // 70], np.uint32)
+        e2, e1, m2, both, table, rest = model.look()
+        assert model.below.dtype == np.uint8 and model.below[-1].max() <= 144
+        assert (model.below[-1] == model.count.sum(axis=0)).all()
+        same = e1 == x
+        start, end = model.interval(x, e2 == x, same > (e2 == x), m2, both, table, rest, edge, edge[1:], bits)
+        assert (start < end).all()
+        model.learn(x, e2 == x, same)
+
+
 def test_order_0_learns_inside_a_block():
     """Without any order among them, few ids that come often cost less than many that come alike."""
     rng = np.random.default_rng(4)
