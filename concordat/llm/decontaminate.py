@@ -119,8 +119,10 @@ def found_in(
         .select("_row", "m", F.explode(_starts(F.col("_at"), F.col("m"), F.col("_need"))).alias("_start"))
         .groupBy("_row").agg(F.collect_set(F.struct("m", "_start")).alias("_windows"))
     )
+    # Only row numbers are broadcast, never arrays, whose sizes nobody counted.
+    places = pin(places)
     windows = (
-        read.join(counted(pin(places)), "_row").withColumn("_s", shingles(F.col("text")))
+        read.join(counted(places.select("_row")), "_row", "left_semi").join(places.hint("merge"), "_row").withColumn("_s", shingles(F.col("text")))
         .select("_row", "doc_id", "_s", F.explode("_windows").alias("_x"))
         # A document shorter than the item is its one window, named by start 0, which its runs always have.
         .where((F.col("_x._start") + F.col("_x.m") <= F.size("_s")) | ((F.col("_x._start") == 0) & (F.size("_s") < F.col("_x.m"))))
@@ -139,12 +141,12 @@ def found_in(
 
     left = indexed(prints, "fp")
     # Written first: blocks would otherwise repeat the long expression of the fingerprint.
-    right = indexed(bench.select("_iid", "item_id", "m", F.array_sort("_shingles").alias("_item"), F.col("fp").alias("_ifp")), "_ifp")
-    if posts.count() <= MAX_BROADCAST:
-        right = F.broadcast(right)
+    right = indexed(bench.select("_iid", "m", F.col("fp").alias("_ifp")), "_ifp")
+    right = F.broadcast(right) if bench.count() * len(_blocks(radius)) <= MAX_BROADCAST else right.hint("merge")
+    whole = bench.select("_iid", "item_id", F.array_sort("_shingles").alias("_item"))
     apart = F.col("fp").bitwiseXOR(F.col("_ifp"))
     untouched = F.coalesce(*[F.when(_block(apart, *x) == 0, i) for i, x in enumerate(_blocks(radius))])
-    met = left.join(right, ["m", "b", "v"]).where((F.bit_count(apart) <= radius) & (F.col("b") == untouched))
+    met = left.join(right, ["m", "b", "v"]).where((F.bit_count(apart) <= radius) & (F.col("b") == untouched)).join(whole, "_iid")
     return (
         met.withColumn("similarity", F.explode_outer(F.array(similarity(F.col("_bag"), F.col("_item")))))  # evaluated once
         .where(F.col("similarity") >= least)

@@ -135,7 +135,7 @@ def mixture(
         placed.where("size > 0")
         .select("_src", "_piece_no", "_row", "_start", (F.col("_start") + F.col("size")).alias("_end"),
                 F.explode(F.expr(f"sequence(_start div {block}, (_start + size - 1) div {block})")).alias("block"))
-        .join(slots, ["_src", "block"])
+        .join(slots.hint("merge"), ["_src", "block"])  # both grow with the words; Spark sizes neither
         .withColumn("_words", F.least("_end", "_hi") - F.greatest("_start", "_lo"))
         .where("_words > 0")
         .groupBy("_src", "_piece_no", "_row")
@@ -143,7 +143,7 @@ def mixture(
     )
     zero = F.lit(0).cast("long")
     return (
-        placed.join(parts, ["_src", "_piece_no", "_row"], "left")
+        placed.join(parts.hint("merge"), ["_src", "_piece_no", "_row"], "left")
         .join(sources.select("_src", "source_size", "target"), "_src")
         .select("_number", "doc_id", "source", "size", "source_size", "target",
                 F.coalesce("taken", zero).alias("taken"), F.coalesce("rounds", zero).alias("rounds"))

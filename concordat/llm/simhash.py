@@ -136,14 +136,15 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     for i in range(_SCATTERED + 1):
         close = close & (F.abs(F.get("a.d", F.lit(i)) - F.get("b.d", F.lit(i))) <= RADIUS)
     close = close & (_distance(F.col("a.fp"), F.col("b.fp")) <= RADIUS)
-    found = a.join(b, close).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
+    # Six rows each, which Spark does not know when it sizes a side of the join.
+    found = a.join(b.hint("merge"), close).select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"))
     if crowded.isEmpty():
         return found.distinct()
     dense = keyed.join(crowded, ["p", "x", "y"], "left_semi").select("fp").distinct()
     flips = [F.col("fp")] + [F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)]
     met = dense.select("fp", F.explode(F.array(*flips)).alias("m"))
     least = met.groupBy("m").agg(F.min("fp").alias("a"))
-    more = met.join(least, "m").where("fp <> a").select("a", F.col("fp").alias("b"))
+    more = met.join(least.hint("merge"), "m").where("fp <> a").select("a", F.col("fp").alias("b"))
     return found.unionByName(more).distinct()
 
 
