@@ -1,6 +1,7 @@
-"""Joins of the pipeline whose sides Spark sizes too low."""
+"""Joins of the pipeline whose sides Spark sizes too low, and the two operators of its second stage."""
 
-from concordat.llm import decontaminate, mixing, near_copies
+import corpus_pipeline
+from concordat.llm import decontaminate, mixing, near_copies, simhash
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -45,3 +46,21 @@ def test_windows_are_not_broadcast(spark, monkeypatch):
     met = [p for p in seen if "_windows#" in p and "LeftSemi" in p]
     assert met and all("SortMergeJoin" in p for p in met)
     assert {(r.doc_id, r.item_id) for r in decontaminate.found_in(docs, bench).collect()} == {(i, "a") for i in range(5)}
+
+
+def test_second_stage_has_both_operators(spark):
+    round_ = " ".join(f"r{k}" for k in range(11)) + " "
+    # The repeated words alone make op2's fingerprint; of the distinct five-word shingles the tails have most.
+    looped = [round_ * 200 + " ".join(f"t{i}x{k}" for k in range(30)) for i in range(2)]
+    # One word in 150 is another: near copies, too far apart for op2.
+    plain = [f"p{k}" for k in range(150)]
+    near = [" ".join(plain), " ".join([*plain[:70], "other", *plain[71:]])]
+    lone = [" ".join(f"q{i}x{k}" for k in range(60)) for i in range(3)]
+    docs = documents(spark, [*looped, *near, *lone])
+
+    def kept(rows):
+        return sorted(r.doc_id for r in rows.collect())
+
+    assert kept(near_copies.keep_one(docs)) == [0, 1, 2, 4, 5, 6]
+    assert kept(simhash.keep_one(docs)) == [0, 2, 3, 4, 5, 6]
+    assert kept(corpus_pipeline.simhash_near_dedup(spark, docs, "")) == [0, 2, 4, 5, 6]
