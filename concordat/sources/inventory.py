@@ -119,22 +119,22 @@ def read_scans(spark: SparkSession, folder: str, size: int = json_ranges.RANGE)
     )
     if not path_exists(spark, folder):
         return spark.createDataFrame([], empty)
-    entries = json_ranges.read_array(spark, folder, "files", size)
     # The folder itself, as it is spelled in the names of its files.
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(folder)
     name = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(root).getName()
     part = lambda i: F.regexp_extract("file", _SCAN_PATH, i)
-    named = entries.where(~F.col("ord").isin(json_ranges.HEAD, json_ranges.TAIL) & F.rlike("file", F.lit(_SCAN_PATH))).select(
-        "file", "ord", F.from_json("value", S.SCAN_FILE).alias("f"), F.when(F.url_decode(part(1)) != name, F.url_decode(part(1))).otherwise("").alias("scan_id"),
-        part(2).alias("bucket"))
-    # Files of a bucket are few beside their entries; their places come from the listing.
+    # Files of a bucket are few beside their entries; their places come from the listing and go with their ranges.
     order = Window.partitionBy("scan_id", "bucket").orderBy(F.length("file"), "file")
-    files = json_ranges.plan(spark, folder, 1 << 60).where(F.rlike("file", F.lit(_SCAN_PATH))).select(
-        "file", F.when(F.url_decode(part(1)) != name, F.url_decode(part(1))).otherwise("").alias("scan_id"), part(2).alias("bucket"))
-    places = files.select("file", (F.row_number().over(order) - 1).cast("long").alias("_place"))
-    return named.join(places, "file").where(F.coalesce(F.col("f.path"), F.lit("")) != "").select(
-        "scan_id", F.col("scan_id").alias("sbom_id"), "bucket", F.shiftleft("_place", _FILE_ORDER).bitwiseOR(F.col("ord")).alias("ord"), "f.path",
+    files = json_ranges.listed(spark, folder).where(F.rlike("file", F.lit(_SCAN_PATH))).select(
+        "*", F.when(F.url_decode(part(1)) != name, F.url_decode(part(1))).otherwise("").alias("scan_id"), part(2).alias("bucket"))
+    placed = files.withColumn("place", (F.row_number().over(order) - 1).cast("long"))
+    entries = json_ranges.read_files(placed, ["scan_id", "bucket", "place"], "files", size)
+    # Out of a generator, so that no rule moves the parsing into the filter as well.
+    read = entries.where(~F.col("ord").isin(json_ranges.HEAD, json_ranges.TAIL)).select(
+        "scan_id", "bucket", "place", "ord", F.explode(F.array(F.from_json("value", S.SCAN_FILE))).alias("f"))
+    return read.where(F.coalesce(F.col("f.path"), F.lit("")) != "").select(
+        "scan_id", F.col("scan_id").alias("sbom_id"), "bucket", F.shiftleft("place", _FILE_ORDER).bitwiseOR(F.col("ord")).alias("ord"), "f.path",
         paths.top_dir(F.col("f.path")).alias("top"), "f.type",
         F.col("f.detected_license_expression_spdx").alias("expr"), F.col("f.license_detections").alias("detections"))
 
