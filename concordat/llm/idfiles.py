@@ -14,6 +14,7 @@ are ordered by their texts; an empty table makes no rows; other columns are not
 
 from __future__ import annotations
 
+import contextlib
 import re
 import struct
 import zlib
@@ -23,7 +24,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from concordat.llm import packets, rangecoder, storage
@@ -33,6 +34,7 @@ from concordat.session import pin, ship_package
 END_ID = 2
 FILE_TEXT = 32 << 20  # bytes of text that a file is meant to hold
 AT_ONCE = 4 << 20  # bytes of text that are encoded together
+BATCH = 1000  # rows that a worker is given together
 _LENGTH = "<Q"
 
 
@@ -179,6 +181,18 @@ def _write(path: str, folder: str, end: int, batches: Iterator[pa.RecordBatch])
     yield pa.record_batch([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], _MANIFEST_NAMES)
 
 
+@contextlib.contextmanager
+def _small_batches(spark: SparkSession):
+    """Texts go to the workers by BATCH rows; Spark's 10,000 are a whole file's texts, held twice beside the encoder."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(limit, before)
+
+
 def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end: int = END_ID, file_text: int = FILE_TEXT) -> DataFrame:
     """Writes the files and returns the manifest, a table with start: the ids of all files before."""
     ship_package(docs.sparkSession)
@@ -188,7 +202,8 @@ def write_ids(docs: DataFrame, tokenizer: str, folder: str | None = None, end: i
     ranged = rows.repartitionByRange(max(1, -(-size // file_text)), F.col("doc_id"), F.xxhash64("text"))
     # Where equal doc_ids meet a border between files, the hash comes first; within a file likewise, so order is one.
     ordered = ranged.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    manifest = pin(ordered.mapInArrow(partial(_write, tokenizer, folder, end), _MANIFEST))
+    with _small_batches(docs.sparkSession):
+        manifest = pin(ordered.mapInArrow(partial(_write, tokenizer, folder, end), _MANIFEST))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)).cast("long"))
 

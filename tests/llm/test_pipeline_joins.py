@@ -1,7 +1,9 @@
 """Joins of the pipeline whose sides Spark sizes too low, and the two operators of its second stage."""
 
+import pytest
+
 import corpus_pipeline
-from concordat.llm import decontaminate, mixing, near_copies, simhash
+from concordat.llm import decontaminate, idfiles, mixing, near_copies, simhash
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -64,3 +66,17 @@ def test_second_stage_has_both_operators(spark):
     assert kept(near_copies.keep_one(docs)) == [0, 1, 2, 4, 5, 6]
     assert kept(simhash.keep_one(docs)) == [0, 2, 3, 4, 5, 6]
     assert kept(corpus_pipeline.simhash_near_dedup(spark, docs, "")) == [0, 2, 4, 5, 6]
+
+
+def test_texts_come_in_small_batches(spark, monkeypatch):
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    seen, before = [], spark.conf.get(limit)
+
+    def noting(df):
+        seen.append(spark.conf.get(limit))
+        raise KeyError("stopped")
+
+    monkeypatch.setattr(idfiles, "pin", noting)
+    with pytest.raises(KeyError):
+        idfiles.write_ids(documents(spark, ["a b c"]), "")
+    assert seen == [str(idfiles.BATCH)] and int(before) > idfiles.BATCH and spark.conf.get(limit) == before
